@@ -25,10 +25,17 @@ from shelfspark.sources import fixtures as fx
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def round6(c):
+    """Round to 6 places with plain IEEE arithmetic (``floor(x*1e6+0.5)/1e6``),
+    so both engines resolve exact halves the same way."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor(c * F.lit(1e6) + F.lit(0.5)).cast("double") / F.lit(1e6)
+
+
+def rounded(df: DataFrame) -> DataFrame:
     """Round every floating column (engine-neutral comparison)."""
     return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name)
+        round6(f.name).alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields])
 
@@ -246,7 +253,7 @@ def q_top_agegroup_popular(spark, d):
 
 def q_top_weighted(spark, d):
     w = _L(spark, d).weighted
-    return rounded(_top(w, F.round("recency_weighted_score", 6), ["CustomerID", "ProductID"]))
+    return rounded(_top(w, round6("recency_weighted_score"), ["CustomerID", "ProductID"]))
 
 
 def q_top_products_by_quantity(spark, d):
@@ -358,8 +365,13 @@ def _top_sql(table: str, col: str, tiebreak: list[str], cols: str = "*", k: int
     return f"SELECT {cols} FROM {table} ORDER BY {order} LIMIT {k}"
 
 
+def R6(x: str) -> str:
+    """SQL twin of ``round6``."""
+    return f"(CAST(floor(({x}) * 1e6 + 0.5e0) AS DOUBLE) / 1e6)"
+
+
 def _r(cols: list[str]) -> str:
-    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+    return ", ".join(f"{R6(c)} AS {c}" for c in cols)
 
 
 def _hist_sql(src: str, col: str, bins: int) -> str:
@@ -369,8 +381,8 @@ def _hist_sql(src: str, col: str, bins: int) -> str:
 , b AS (SELECT CASE WHEN st.hi = st.lo THEN 0
           ELSE least(CAST(floor((x - st.lo) / ((st.hi - st.lo) / {float(bins)})) AS INTEGER), {bins - 1}) END AS bin,
           st.lo, st.hi FROM vals, st)
-SELECT bin, round(lo + bin * ((hi - lo) / {float(bins)}), 6) AS bin_start,
-  round(lo + (bin + 1) * ((hi - lo) / {float(bins)}), 6) AS bin_end, COUNT(*) AS n
+SELECT bin, {R6(f"lo + bin * ((hi - lo) / {float(bins)})")} AS bin_start,
+  {R6(f"lo + (bin + 1) * ((hi - lo) / {float(bins)})")} AS bin_end, COUNT(*) AS n
 FROM b GROUP BY bin, lo, hi"""
 
 
@@ -384,22 +396,31 @@ def _ev_weighted() -> str:
 
 HYB = "CustomerID, ProductID, " + _r(["cf_weighted_score", "recency_weighted_score",
                                       "content_similarity_score", "hybrid_score"])
-ENRICHED_R = ("OrderID, CustomerID, CustomerName, Age, Gender, CustomerLocation, AgeGroup, ProductID, "
-              "ProductName, Category, Brand, round(CurrentProductPrice, 6) AS CurrentProductPrice, "
-              "round(PriceAtPurchase, 6) AS PriceAtPurchase, round(DiscountPercent, 6) AS DiscountPercent, "
-              "Stock, round(ProductRating, 6) AS ProductRating, ReviewsCount, InteractionType, Quantity, "
-              "PaymentMethod, SizeSelected, ColorSelected, Season, EventTime")
-PRODUCTS_R = ("ProductID, ProductName, Category, Brand, Description, AvailableColors, AvailableSizes, "
-              "round(MRP, 6) AS MRP, round(Price, 6) AS Price, round(DiscountPercent, 6) AS DiscountPercent, "
-              "Stock, round(Rating, 6) AS Rating, ReviewsCount, IsUpdated, LastUpdated, ingest_ts")
-SALES_R = ("OrderID, CustomerID, ProductID, InteractionType, Quantity, round(PriceAtPurchase, 6) AS PriceAtPurchase, "
-           "PaymentMethod, SizeSelected, ColorSelected, Category, Brand, DiscountUsed, Season, EventTime, ingest_ts")
-CUST_AGE_R = ("CustomerID, CustomerName, Age, Gender, Location, SubscriptionStatus, PaymentMethod, "
-              "PreviousPurchases, FrequencyOfPurchases, PreferredSeason, round(AvgReviewRating, 6) AS AvgReviewRating, AgeGroup")
-CUST_CLEAN_R = ("CustomerID, CustomerName, ContactNumber, Age, Gender, Location, SubscriptionStatus, PaymentMethod, "
-                "PreviousPurchases, FrequencyOfPurchases, PreferredSeason, round(AvgReviewRating, 6) AS AvgReviewRating, ingest_ts")
-VERSIONS_R = ("ProductID, ProductName, Brand, AvailableColors, AvailableSizes, round(MRP, 6) AS MRP, "
-              "round(Price, 6) AS Price, LastUpdated, Version")
+
+
+def _cols_r(spec: str) -> str:
+    """Column list where names marked with ``~`` are rounded (R6)."""
+    out = []
+    for c in (x.strip() for x in spec.split(",")):
+        out.append(f"{R6(c[1:])} AS {c[1:]}" if c.startswith("~") else c)
+    return ", ".join(out)
+
+
+ENRICHED_R = _cols_r("OrderID, CustomerID, CustomerName, Age, Gender, CustomerLocation, AgeGroup, ProductID, "
+                     "ProductName, Category, Brand, ~CurrentProductPrice, ~PriceAtPurchase, ~DiscountPercent, "
+                     "Stock, ~ProductRating, ReviewsCount, InteractionType, Quantity, "
+                     "PaymentMethod, SizeSelected, ColorSelected, Season, EventTime")
+PRODUCTS_R = _cols_r("ProductID, ProductName, Category, Brand, Description, AvailableColors, AvailableSizes, "
+                     "~MRP, ~Price, ~DiscountPercent, Stock, ~Rating, ReviewsCount, IsUpdated, LastUpdated, ingest_ts")
+SALES_R = _cols_r("OrderID, CustomerID, ProductID, InteractionType, Quantity, ~PriceAtPurchase, "
+                  "PaymentMethod, SizeSelected, ColorSelected, Category, Brand, DiscountUsed, Season, EventTime, ingest_ts")
+CUST_AGE_R = _cols_r("CustomerID, CustomerName, Age, Gender, Location, SubscriptionStatus, PaymentMethod, "
+                     "PreviousPurchases, FrequencyOfPurchases, PreferredSeason, ~AvgReviewRating, AgeGroup")
+CUST_CLEAN_R = _cols_r("CustomerID, CustomerName, ContactNumber, Age, Gender, Location, SubscriptionStatus, "
+                       "PaymentMethod, PreviousPurchases, FrequencyOfPurchases, PreferredSeason, ~AvgReviewRating, "
+                       "ingest_ts")
+VERSIONS_R = _cols_r("ProductID, ProductName, Brand, AvailableColors, AvailableSizes, ~MRP, ~Price, "
+                     "LastUpdated, Version")
 
 W = O.with_ctes
 ORACLE: dict[str, str] = {
@@ -432,7 +453,7 @@ ORACLE: dict[str, str] = {
     "hybrid_scores": W(f"SELECT {HYB} FROM hybrid", "hybrid"),
     "hybrid_scores_onepass": W(f"SELECT {HYB} FROM hybrid", "hybrid"),
     "final_recommendations": W("SELECT CustomerID, CAST(rn AS INTEGER) AS rank, ProductID, "
-                               "round(hybrid_score, 6) AS hybrid_score FROM ranked_recs WHERE rn <= 10",
+                               + R6("hybrid_score") + " AS hybrid_score FROM ranked_recs WHERE rn <= 10",
                                "ranked_recs"),
     "final_recommendation_lists": W("SELECT CustomerID, string_agg(CAST(ProductID AS VARCHAR), ',' ORDER BY rn) "
                                     "AS recommended_products FROM ranked_recs WHERE rn <= 10 GROUP BY CustomerID",
@@ -460,7 +481,7 @@ ORACLE: dict[str, str] = {
                           "interaction_count, has_interacted, " + _r(["user_product_affinity"])
                           + ", is_repeat_interaction, label FROM labeled", "labeled"),
     "label_positive": W("SELECT ProductID, CustomerID, label FROM labeled WHERE label = 1", "labeled"),
-    "feature_profile": W("SELECT column_name, round(value, 6) AS value, COUNT(*) AS n_rows FROM ("
+    "feature_profile": W("SELECT column_name, " + R6("value") + " AS value, COUNT(*) AS n_rows FROM ("
                          + " UNION ALL ".join(
                              f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM labeled"
                              for c in fea.PROFILE_COLUMNS)
@@ -477,7 +498,7 @@ ORACLE: dict[str, str] = {
     "top_category_prefs": W(_top_sql("preferences", "purchase_count", ["CustomerID", "Category"]), "preferences"),
     "top_agegroup_popular": W(_top_sql("agegroup_popular", "purchase_count", ["AgeGroup", "ProductID"]),
                               "agegroup_popular"),
-    "top_weighted": W(_top_sql("weighted", "round(recency_weighted_score, 6)", ["CustomerID", "ProductID"],
+    "top_weighted": W(_top_sql("weighted", R6("recency_weighted_score"), ["CustomerID", "ProductID"],
                                "CustomerID, ProductID, " + _r(["recency_weighted_score"])
                                + ", interaction_events, last_interaction_ts"), "weighted"),
     "top_products_by_quantity": W("SELECT ProductID, CAST(SUM(Quantity) AS BIGINT) AS total_quantity FROM enriched "
@@ -492,8 +513,9 @@ ORACLE: dict[str, str] = {
                                "enriched"),
     "eda_user_activity_hist": "",
     "eda_recency_hist": "",
-    "eda_price_band_share": W("SELECT price_band, COUNT(*) AS n, round(COUNT(*) * 100.0e0 / "
-                              "(SELECT COUNT(*) FROM price_bands), 6) AS share_pct FROM price_bands "
+    "eda_price_band_share": W("SELECT price_band, COUNT(*) AS n, "
+                              + R6("COUNT(*) * 100.0e0 / (SELECT COUNT(*) FROM price_bands)")
+                              + " AS share_pct FROM price_bands "
                               "GROUP BY price_band", "price_bands"),
     "eda_age_purchases": W("SELECT AgeGroup, CAST(SUM(purchase_count) AS BIGINT) AS purchases FROM agegroup_popular "
                            "WHERE AgeGroup IS NOT NULL GROUP BY AgeGroup", "agegroup_popular"),
@@ -513,7 +535,7 @@ ORACLE: dict[str, str] = {
         "SELECT ProductID, 'size' AS variant_type, trim(v) AS variant FROM (SELECT ProductID, "
         "unnest(string_split(AvailableSizes, ',')) AS v FROM latest_versions WHERE AvailableSizes <> 'NA') b "
         "WHERE trim(v) <> ''", "latest_versions"),
-    "discount_percent": W("SELECT ProductID, round(MRP, 6) AS MRP, round(Price, 6) AS Price, "
+    "discount_percent": W("SELECT ProductID, " + R6("MRP") + " AS MRP, " + R6("Price") + " AS Price, "
                           "CASE WHEN MRP <> 0 THEN round((MRP - Price) / MRP * 100, 2) END AS DiscountPercent "
                           "FROM latest_versions", "latest_versions"),
     "activity_class": W("SELECT CustomerID, FrequencyOfPurchases, CASE WHEN lower(COALESCE(FrequencyOfPurchases, '')) "
