@@ -147,18 +147,7 @@ def candidate_provenance(union: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFr
     Columns: CustomerID, ProductID, candidate_source (lowest-numbered),
     num_sources, candidate_sources (sorted array).
     """
-    prio = F.array_position(F.array(*[F.lit(s) for s in SOURCES]), F.col("candidate_source"))
-    w = Window.partitionBy("CustomerID").orderBy(F.col("ProductID").asc())
-    kept = (union.withColumn("_r", F.dense_rank().over(w))
-                 .where(F.col("_r") <= limit)
-                 .withColumn("_prio", prio))
-    agg = (kept.groupBy("CustomerID", "ProductID")
-               .agg(F.min("_prio").alias("_best"),
-                    F.sort_array(F.collect_set("candidate_source")).alias("candidate_sources")))
-    best = F.element_at(F.array(*[F.lit(s) for s in SOURCES]), F.col("_best").cast("int"))
-    return agg.select("CustomerID", "ProductID", best.alias("candidate_source"),
-                      F.size("candidate_sources").cast("long").alias("num_sources"),
-                      "candidate_sources")
+    return _provenance(_cut_per_user(union, limit))
 
 
 def all_sources(gold: dict, limit: int | None = DEFAULT_LIMIT,
@@ -183,10 +172,133 @@ def all_sources(gold: dict, limit: int | None = DEFAULT_LIMIT,
     return union_all(frames)
 
 
+# ---- adaptive per-user cut ------------------------------------------------
+def _memberships(gold: dict, active: DataFrame) -> DataFrame:
+    """(CustomerID, candidate_source, grp) for the four group-fan-out sources."""
+    def m(users: DataFrame, col: str, source: str) -> DataFrame:
+        return users.select("CustomerID", F.lit(source).alias("candidate_source"),
+                            F.col(col).cast("string").alias("grp")).where(F.col("grp").isNotNull())
+    return union_all([
+        m(_restrict(gold["preferences"].select("CustomerID", "Category"), None), "Category", "same_category"),
+        m(_restrict(gold["enriched"].select("CustomerID", "Brand").distinct(), active), "Brand", "brand_affinity"),
+        m(_restrict(gold["customers_age"].select("CustomerID", "AgeGroup"), active), "AgeGroup", "age_group"),
+        m(_restrict(gold["customers_age"].select("CustomerID", F.col("Location")), active), "Location", "location"),
+    ])
+
+
+def _group_lists(gold: dict, limit: int) -> DataFrame:
+    """(candidate_source, grp, ids): each group's ``limit + 1`` lowest ProductIDs,
+    ascending. The per-group window limit runs before the collect, so no
+    group is ever gathered whole."""
+    def g(df: DataFrame, col: str, source: str) -> DataFrame:
+        cut = top_n(df.select(F.col(col).cast("string").alias("grp"), "ProductID")
+                      .where(F.col("grp").isNotNull() & F.col("ProductID").isNotNull()),
+                    "grp", F.col("ProductID").asc(), limit + 1)
+        return (cut.groupBy("grp").agg(F.array_sort(F.collect_list("ProductID")).alias("ids"))
+                   .select(F.lit(source).alias("candidate_source"), "grp", "ids"))
+    return union_all([
+        g(gold["features"], "Category", "same_category"),
+        g(gold["features"], "Brand", "brand_affinity"),
+        g(gold["agegroup_popular"], "AgeGroup", "age_group"),
+        g(gold["location_pop"], "CustomerLocation", "location"),
+    ])
+
+
+def _ungrouped(gold: dict, active: DataFrame, top_list: int) -> DataFrame:
+    return union_all([
+        user_history(gold["interactions"]),
+        bought_together(gold["interactions"], gold["fbt"]),
+        trending(active, gold["trending"], top_list),
+        discount(active, gold["features"], top_list),
+    ])
+
+
+def _cut_per_user(union: DataFrame, limit: int) -> DataFrame:
+    """Keep the ``limit`` lowest distinct ProductIDs per user (all copies)."""
+    w = Window.partitionBy("CustomerID").orderBy(F.col("ProductID").asc())
+    return union.withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") <= limit)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """Write a multi-use intermediate once to the shared checkpoint folder and
+    read it back (a written table cuts the lineage and survives executor loss)."""
+    from shelfspark.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def adaptive_candidates(gold: dict, limit: int = DEFAULT_LIMIT, top_list: int = DEFAULT_TOP_LIST,
+                        slack: float = 4.0) -> DataFrame:
+    """The cut union of all eight sources (same rows as ``all_sources`` followed
+    by the per-user cut), computed with far fewer intermediate rows.
+
+    Each group keeps its ``limit + 1`` lowest ids (sorted array). A group's
+    id density is estimated from its list (ids kept / highest id kept);
+    a user's threshold is T = slack * limit / (sum of the densities of the
+    user's groups), i.e. about ``slack * limit`` ids expected below T.
+    Round 1 takes every group id <= T plus the ungrouped sources. Let x
+    be the user's limit-th lowest id in round 1 and t the lowest group id
+    left out. If t > x, every id of the user's full union below x is in
+    round 1, with every source proposing it: round 1 is exact for that
+    user. Users failing the check are recomputed with the full per-group
+    cut (only if there are any). The estimate only affects speed, never
+    the result. Columns: CustomerID, ProductID, candidate_source.
+    """
+    active = active_users(gold["interactions"])
+    members = _memberships(gold, active)
+    lists = _group_lists(gold, limit)
+    top = F.least(F.size("ids"), F.lit(limit))
+    density = top / (F.element_at("ids", top).cast("double") + F.lit(1.0))
+    per_user = Window.partitionBy("CustomerID")
+    thr = F.lit(slack * limit) / F.sum("_d").over(per_user)
+    joined = (members.join(lists, ["candidate_source", "grp"])
+                     .withColumn("_d", density).withColumn("_T", thr))
+    taken = (joined.withColumn("_take", F.filter("ids", lambda v: v <= F.col("_T")))
+                   .withColumn("_e", F.try_element_at("ids", F.size("_take") + 1)))
+    round1 = union_all([
+        taken.select("CustomerID", F.explode("_take").alias("ProductID"), "candidate_source", "_e"),
+        _ungrouped(gold, active, top_list).withColumn("_e", F.lit(None).cast("long")),
+    ])
+    # t: lowest group id left out for the user (NULL: none), over all rows
+    # before the cut; x: the limit-th lowest id kept (NULL: fewer, i.e. +inf).
+    # Both windows share the cut's partitioning: one shuffle in total.
+    with_t = round1.withColumn("_t", F.min("_e").over(per_user))
+    kept = _cut_per_user(with_t, limit)
+    kept = kept.withColumn("_x", F.when(F.max("_r").over(per_user) >= limit,
+                                        F.max("ProductID").over(per_user)))
+    exact = F.col("_t").isNull() | (F.col("_x").isNotNull() & (F.col("_t") > F.col("_x")))
+    checked = _written(kept.select("CustomerID", "ProductID", "candidate_source",
+                                   exact.alias("_exact")), "cand-round1")
+    passed = checked.where("_exact").select("CustomerID", "ProductID", "candidate_source")
+    failed = checked.where(~F.col("_exact")).select("CustomerID").distinct()
+    if failed.isEmpty():
+        return passed
+    full = union_all([
+        joined.join(failed, "CustomerID", "left_semi")
+              .select("CustomerID", F.explode(F.slice("ids", 1, limit)).alias("ProductID"),
+                      "candidate_source"),
+        _ungrouped(gold, active, top_list).join(failed, "CustomerID", "left_semi"),
+    ])
+    redo = _cut_per_user(full, limit).select("CustomerID", "ProductID", "candidate_source")
+    return union_all([passed, redo])
+
+
+def _provenance(kept: DataFrame) -> DataFrame:
+    prio = F.array_position(F.array(*[F.lit(s) for s in SOURCES]), F.col("candidate_source"))
+    agg = (kept.withColumn("_prio", prio).groupBy("CustomerID", "ProductID")
+               .agg(F.min("_prio").alias("_best"),
+                    F.sort_array(F.collect_set("candidate_source")).alias("candidate_sources")))
+    best = F.element_at(F.array(*[F.lit(s) for s in SOURCES]), F.col("_best").cast("int"))
+    return agg.select("CustomerID", "ProductID", best.alias("candidate_source"),
+                      F.size("candidate_sources").cast("long").alias("num_sources"),
+                      "candidate_sources")
+
+
 def candidates_with_sources(gold: dict, limit: int = DEFAULT_LIMIT,
                             top_list: int = DEFAULT_TOP_LIST) -> DataFrame:
     """Final candidates with provenance (feeds FEA1)."""
-    return candidate_provenance(all_sources(gold, limit, top_list), limit)
+    return _provenance(adaptive_candidates(gold, limit, top_list))
 
 
 def final_candidates(gold: dict, limit: int = DEFAULT_LIMIT,

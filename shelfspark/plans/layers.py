@@ -47,6 +47,19 @@ class Layers:
         sales = clean.conform_sales(fx.sales(spark, sf_dir), ingest)
         return cls(fx.customers(spark, sf_dir), fx.products(spark, sf_dir), sales, as_of=as_of, **kw)
 
+    def materialize(self, *names: str) -> "Layers":
+        """Write the named tables once (in order) as Parquet under the shared
+        checkpoint folder and read them back: later branches of the same job
+        scan a written table instead of recomputing its lineage, exactly as
+        the medallion runner does between layers. Returns ``self``."""
+        from shelfspark.session import scratch_path
+        for name in names:
+            df = getattr(self, name)
+            path = scratch_path(df.sparkSession, f"layer-{name}")
+            df.write.mode("overwrite").parquet(path)
+            self.__dict__[name] = df.sparkSession.read.parquet(path)
+        return self
+
     # ---- gold -------------------------------------------------------
     @cached_property
     def customers_age(self) -> DataFrame:
