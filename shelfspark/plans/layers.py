@@ -47,17 +47,24 @@ class Layers:
         sales = clean.conform_sales(fx.sales(spark, sf_dir), ingest)
         return cls(fx.customers(spark, sf_dir), fx.products(spark, sf_dir), sales, as_of=as_of, **kw)
 
-    def materialize(self, *names: str) -> "Layers":
-        """Write the named tables once (in order) as Parquet under the shared
-        checkpoint folder and read them back: later branches of the same job
-        scan a written table instead of recomputing its lineage, exactly as
-        the medallion runner does between layers. Returns ``self``."""
+    def materialize(self, *names: str, root: str | None = None,
+                    table_names: dict | None = None) -> "Layers":
+        """Write the named tables once (in order) as Parquet and read them back:
+        later branches scan a written table instead of recomputing its
+        lineage. Without ``root`` the tables go to fresh folders under the
+        shared checkpoint folder; with ``root`` to ``root/<table name>``
+        (the medallion runner). Returns ``self``."""
+        import os
         from shelfspark.session import scratch_path
         for name in names:
             df = getattr(self, name)
-            path = scratch_path(df.sparkSession, f"layer-{name}")
+            spark = df.sparkSession
+            if root is None:
+                path = scratch_path(spark, f"layer-{name}")
+            else:
+                path = os.path.join(root, (table_names or {}).get(name, name))
             df.write.mode("overwrite").parquet(path)
-            self.__dict__[name] = df.sparkSession.read.parquet(path)
+            self.__dict__[name] = spark.read.parquet(path)
         return self
 
     # ---- gold -------------------------------------------------------
