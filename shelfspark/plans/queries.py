@@ -278,6 +278,18 @@ def q_preview_price_profile(spark, d):
     return rounded(explore.preview(_L(spark, d).price_profile, "CustomerID"))
 
 
+def q_preview_product_features(spark, d):
+    return rounded(explore.preview(_L(spark, d).features, "ProductID"))
+
+
+def q_preview_price_bands(spark, d):
+    return rounded(explore.preview(_L(spark, d).price_bands, "ProductID"))
+
+
+def q_top_discounted(spark, d):
+    return rounded(cnd.top_discounted(_L(spark, d).features))
+
+
 def q_eda_interaction_types(spark, d):
     return explore.interaction_type_counts(_L(spark, d).enriched)
 
@@ -519,6 +531,16 @@ ORACLE: dict[str, str] = {
                                                            "total_spent"])
                                + ", total_orders FROM price_profile ORDER BY CustomerID NULLS FIRST LIMIT 50",
                                "price_profile"),
+    "preview_product_features": W("SELECT ProductID, ProductName, Category, Brand, "
+                                  + _r(["CurrentProductPrice", "DiscountPercent"]) + ", Stock, "
+                                  + _r(["ProductRating"]) + ", ReviewsCount FROM features "
+                                  "ORDER BY ProductID LIMIT 50", "features"),
+    "preview_price_bands": W("SELECT ProductID, ProductName, Category, Brand, " + _r(["CurrentProductPrice"])
+                             + ", price_band FROM price_bands ORDER BY ProductID LIMIT 50", "price_bands"),
+    "top_discounted": W("SELECT ProductID, ProductName, Category, Brand, "
+                        + _r(["CurrentProductPrice", "DiscountPercent"]) + ", Stock, "
+                        + _r(["ProductRating"]) + ", ReviewsCount FROM features WHERE DiscountPercent > 0 "
+                        "ORDER BY DiscountPercent DESC, ProductID ASC LIMIT 50", "features"),
     "eda_interaction_types": W("SELECT InteractionType, COUNT(*) AS n FROM enriched GROUP BY InteractionType",
                                "enriched"),
     "eda_user_activity_hist": "",
