@@ -104,3 +104,16 @@ def test_results_unchanged_by_repartitioning(spark, L):
     sales = L.silver_sales.repartition(11)
     L2 = Layers(L.silver_customers, L.silver_products, sales)
     assert _rows(L2.ranked_recs) == _rows(L.ranked_recs)
+
+
+def test_hot_order_salting_equals_plain(spark):
+    """A single order holding a third of all items: the salted path gives the
+    same pairs and supports as the plain self-join."""
+    from shelfspark.operators.gold import frequently_bought_together
+    rows = [("hot", p, "purchase") for p in range(60)]
+    rows += [(f"o{i}", p, "purchase") for i in range(40) for p in (i % 7, 7 + i % 5, 20 + i % 3)]
+    df = spark.createDataFrame(rows, "OrderID string, ProductID long, InteractionType string")
+    plain = frequently_bought_together(df, hot_order_items=None)
+    salted = frequently_bought_together(df, hot_order_items=10, salt_buckets=4)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+    assert plain.where("ProductID_A < 60 AND ProductID_B < 60").count() >= 60 * 59 // 2 - 1
