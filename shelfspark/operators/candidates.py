@@ -246,38 +246,48 @@ def adaptive_candidates(gold: dict, limit: int = DEFAULT_LIMIT, top_list: int =
     the result. Columns: CustomerID, ProductID, candidate_source.
     """
     active = active_users(gold["interactions"])
-    members = _memberships(gold, active)
-    lists = _group_lists(gold, limit)
+    # group lists: one row per group, at most limit + 1 ids (small; written once)
     top = F.least(F.size("ids"), F.lit(limit))
-    density = top / (F.element_at("ids", top).cast("double") + F.lit(1.0))
+    lists = _written(_group_lists(gold, limit)
+                     .withColumn("_d", top / (F.element_at("ids", top).cast("double") + F.lit(1.0))),
+                     "cand-group-lists")
+    # memberships with the user's threshold; the per-user sum runs over the
+    # user's groups only (bounded by the number of groups, not by data)
     per_user = Window.partitionBy("CustomerID")
-    thr = F.lit(slack * limit) / F.sum("_d").over(per_user)
-    joined = (members.join(lists, ["candidate_source", "grp"])
-                     .withColumn("_d", density).withColumn("_T", thr))
-    taken = (joined.withColumn("_take", F.filter("ids", lambda v: v <= F.col("_T")))
-                   .withColumn("_e", F.try_element_at("ids", F.size("_take") + 1)))
+    members = _written(
+        _memberships(gold, active).join(lists.select("candidate_source", "grp", "_d"),
+                                        ["candidate_source", "grp"])
+        .select("CustomerID", "candidate_source", "grp",
+                (F.lit(slack * limit) / F.sum("_d").over(per_user)).alias("_T")),
+        "cand-memberships")
+    taken = (members.join(lists.select("candidate_source", "grp", "ids"), ["candidate_source", "grp"])
+                    .withColumn("_take", F.filter("ids", lambda v: v <= F.col("_T")))
+                    .withColumn("_e", F.try_element_at("ids", F.size("_take") + 1)))
+    # t: lowest group id left out for the user (NULL: none left out);
+    # a partial-aggregated groupBy, safe for a user with very many groups
+    t = taken.groupBy("CustomerID").agg(F.min("_e").alias("_t"))
     round1 = union_all([
-        taken.select("CustomerID", F.explode("_take").alias("ProductID"), "candidate_source", "_e"),
-        _ungrouped(gold, active, top_list).withColumn("_e", F.lit(None).cast("long")),
+        taken.select("CustomerID", F.explode("_take").alias("ProductID"), "candidate_source"),
+        _ungrouped(gold, active, top_list),
     ])
-    # t: lowest group id left out for the user (NULL: none), over all rows
-    # before the cut; x: the limit-th lowest id kept (NULL: fewer, i.e. +inf).
-    # Both windows share the cut's partitioning: one shuffle in total.
-    with_t = round1.withColumn("_t", F.min("_e").over(per_user))
-    kept = _cut_per_user(with_t, limit)
+    # the cut ships at most `limit` distinct ids per user and map task, so the
+    # windows after it see a bounded number of rows per user
+    kept = _cut_per_user(round1, limit)
+    # x: the limit-th lowest id kept (NULL: fewer than limit ids, i.e. +inf)
     kept = kept.withColumn("_x", F.when(F.max("_r").over(per_user) >= limit,
                                         F.max("ProductID").over(per_user)))
     exact = F.col("_t").isNull() | (F.col("_x").isNotNull() & (F.col("_t") > F.col("_x")))
-    checked = _written(kept.select("CustomerID", "ProductID", "candidate_source",
-                                   exact.alias("_exact")), "cand-round1")
+    checked = _written(kept.join(t, "CustomerID", "left")
+                           .select("CustomerID", "ProductID", "candidate_source", exact.alias("_exact")),
+                       "cand-round1")
     passed = checked.where("_exact").select("CustomerID", "ProductID", "candidate_source")
     failed = checked.where(~F.col("_exact")).select("CustomerID").distinct()
     if failed.isEmpty():
         return passed
     full = union_all([
-        joined.join(failed, "CustomerID", "left_semi")
-              .select("CustomerID", F.explode(F.slice("ids", 1, limit)).alias("ProductID"),
-                      "candidate_source"),
+        taken.join(failed, "CustomerID", "left_semi")
+             .select("CustomerID", F.explode(F.slice("ids", 1, limit)).alias("ProductID"),
+                     "candidate_source"),
         _ungrouped(gold, active, top_list).join(failed, "CustomerID", "left_semi"),
     ])
     redo = _cut_per_user(full, limit).select("CustomerID", "ProductID", "candidate_source")

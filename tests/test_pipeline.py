@@ -117,3 +117,14 @@ def test_hot_order_salting_equals_plain(spark):
     salted = frequently_bought_together(df, hot_order_items=10, salt_buckets=4)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
     assert plain.where("ProductID_A < 60 AND ProductID_B < 60").count() >= 60 * 59 // 2 - 1
+
+
+@pytest.mark.parametrize("slack", [0.05, 50.0])
+def test_adaptive_fallback_and_loose_threshold_exact(L, slack):
+    """Tiny slack: most users fail the round-1 check and take the fallback;
+    huge slack: round 1 takes nearly everything. Both equal the naive plan."""
+    got = cnd._provenance(cnd.adaptive_candidates(L.gold_inputs(), 200, 50, slack=slack))
+    def key(df):
+        return _rows(df.select("CustomerID", "ProductID", "candidate_source", "num_sources",
+                               F.array_join("candidate_sources", ",")))
+    assert key(got) == key(_naive_candidates(L))
