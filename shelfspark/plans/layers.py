@@ -48,12 +48,15 @@ class Layers:
         return cls(fx.customers(spark, sf_dir), fx.products(spark, sf_dir), sales, as_of=as_of, **kw)
 
     def materialize(self, *names: str, root: str | None = None,
-                    table_names: dict | None = None) -> "Layers":
+                    table_names: dict | None = None,
+                    partitions: dict | None = None) -> "Layers":
         """Write the named tables once (in order) as Parquet and read them back:
         later branches scan a written table instead of recomputing its
         lineage. Without ``root`` the tables go to fresh folders under the
         shared checkpoint folder; with ``root`` to ``root/<table name>``
-        (the medallion runner). Returns ``self``."""
+        (the medallion runner). ``partitions`` maps a name to
+        ``(column, expression)``: the table is written partitioned by that
+        derived column (e.g. the event date of the fact). Returns ``self``."""
         import os
         from shelfspark.session import scratch_path
         for name in names:
@@ -63,7 +66,12 @@ class Layers:
                 path = scratch_path(spark, f"layer-{name}")
             else:
                 path = os.path.join(root, (table_names or {}).get(name, name))
-            df.write.mode("overwrite").parquet(path)
+            part = (partitions or {}).get(name)
+            if part is None:
+                df.write.mode("overwrite").parquet(path)
+            else:
+                col, expr = part
+                df.withColumn(col, expr).write.mode("overwrite").partitionBy(col).parquet(path)
             self.__dict__[name] = spark.read.parquet(path)
         return self
 

@@ -39,3 +39,16 @@ def test_medallion_run(spark):
     n = t.read("bronze_sales").count()
     medallion.run(spark, feeds["customers"], feeds["products"], feeds["sales"], out, as_of="2001-11-05")
     assert t.read("bronze_sales").count() == n
+
+
+def test_trending_prunes_date_partitions(spark):
+    from shelfspark.operators.gold import trending_products
+    path = scratch_path(spark, "t-part")
+    fact = Layers.from_fixtures(spark, SF_SMALL).enriched
+    fact.withColumn("event_date", F.to_date("EventTime")).write.partitionBy("event_date").parquet(path)
+    stored = spark.read.parquet(path)
+    tr = trending_products(stored, "2001-11-05")
+    plan = tr._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    want = trending_products(fact, "2001-11-05")
+    assert sorted(map(str, tr.collect())) == sorted(map(str, want.collect()))
