@@ -128,3 +128,35 @@ def test_adaptive_fallback_and_loose_threshold_exact(L, slack):
         return _rows(df.select("CustomerID", "ProductID", "candidate_source", "num_sources",
                                F.array_join("candidate_sources", ",")))
     assert key(got) == key(_naive_candidates(L))
+
+
+def test_hot_user_candidates_exact(spark):
+    """One customer holds a third of all interactions (every brand, category,
+    many products): the adaptive cut still equals the naive full fan-out."""
+    from shelfspark.operators.clean import conform_sales
+    products = spark.range(400).select(
+        F.col("id").alias("ProductID"), F.concat(F.lit("p"), F.col("id")).alias("ProductName"),
+        (F.col("id") % 5).cast("string").alias("Category"), (F.col("id") % 13).cast("string").alias("Brand"),
+        (F.col("id") * 10.0).alias("Price"), (F.col("id") % 4 * 10.0).alias("DiscountPercent"))
+    customers = spark.range(30).select(
+        F.col("id").alias("CustomerID"), (F.lit(18) + F.col("id") * 2).cast("int").alias("Age"),
+        (F.col("id") % 4).cast("string").alias("Location"))
+    n = 3000
+    hot = spark.range(n // 3).select(
+        F.lit(0).cast("long").alias("CustomerID"), (F.col("id") * 7 % 400).alias("ProductID"),
+        (F.col("id") % 50).alias("o"), F.col("id").alias("i"))
+    rest = spark.range(n - n // 3).select(
+        (F.lit(1) + F.col("id") % 29).alias("CustomerID"), (F.col("id") * 11 % 400).alias("ProductID"),
+        (F.lit(100) + F.col("id") % 400).alias("o"), F.col("id").alias("i"))
+    typed = hot.unionByName(rest).select(
+        F.concat(F.lit("o"), F.col("o")).alias("OrderID"), "CustomerID", "ProductID",
+        F.when(F.col("i") % 3 == 0, "view").otherwise("purchase").alias("InteractionType"),
+        F.lit(1).alias("Quantity"), F.lit(5.0).alias("PriceAtPurchase"),
+        F.lit("2001-10-20 00:00:00").cast("timestamp_ntz").alias("EventTime"))
+    L = Layers(customers, products, conform_sales(typed))
+    def key(df):
+        return _rows(df.select("CustomerID", "ProductID", "candidate_source", "num_sources",
+                               F.array_join("candidate_sources", ",")))
+    got = key(L.candidate_sources)
+    assert got == key(_naive_candidates(L))
+    assert sum(1 for r in got if r[0] == 0) == 200
