@@ -84,29 +84,40 @@ class Layers:
     def enriched(self) -> DataFrame:
         return facts.sales_enriched(self.silver_sales, self.customers_age, self.silver_products)
 
+    # Narrower facts: each gold table reads the narrowest fact that carries
+    # its columns (dimensions are unique per key, so results are identical
+    # to reading the enriched fact, minus joins whose columns are unused).
+    @cached_property
+    def fact(self) -> DataFrame:
+        return facts.sales_fact(self.silver_sales)
+
+    @cached_property
+    def fact_products(self) -> DataFrame:
+        return facts.sales_with_products(self.silver_sales, self.silver_products)
+
     @cached_property
     def interactions(self) -> DataFrame:
-        return gold.user_product_interactions(self.enriched)
+        return gold.user_product_interactions(self.fact)
 
     @cached_property
     def features(self) -> DataFrame:
-        return gold.product_features(self.enriched)
+        return gold.product_features(self.fact_products)
 
     @cached_property
     def fbt(self) -> DataFrame:
-        return gold.frequently_bought_together(self.enriched)
+        return gold.frequently_bought_together(self.fact)
 
     @cached_property
     def trending(self) -> DataFrame:
-        return gold.trending_products(self.enriched, self.as_of)
+        return gold.trending_products(self.fact_products, self.as_of)
 
     @cached_property
     def preferences(self) -> DataFrame:
-        return gold.user_category_preferences(self.enriched)
+        return gold.user_category_preferences(self.fact_products)
 
     @cached_property
     def price_profile(self) -> DataFrame:
-        return gold.user_price_profile(self.enriched)
+        return gold.user_price_profile(self.fact)
 
     @cached_property
     def price_bands(self) -> DataFrame:
@@ -118,7 +129,7 @@ class Layers:
 
     @cached_property
     def weighted(self) -> DataFrame:
-        return gold.user_product_interactions_weighted(self.enriched, self.as_of)
+        return gold.user_product_interactions_weighted(self.fact, self.as_of)
 
     @cached_property
     def location_pop(self) -> DataFrame:
@@ -127,8 +138,7 @@ class Layers:
     @cached_property
     def hybrid(self) -> DataFrame:
         """One-aggregation hybrid scores (no customer join, no re-joins)."""
-        fact = facts.sales_with_products(self.silver_sales, self.silver_products)
-        return scores.hybrid_scores_from_fact(fact, self.as_of)
+        return scores.hybrid_scores_from_fact(self.fact_products, self.as_of)
 
     @cached_property
     def hybrid_joined(self) -> DataFrame:
@@ -148,7 +158,8 @@ class Layers:
     def gold_inputs(self) -> dict:
         return {
             "interactions": self.interactions, "preferences": self.preferences,
-            "features": self.features, "enriched": self.enriched, "fbt": self.fbt,
+            # brand affinity reads (CustomerID, Brand): the product-only fact suffices
+            "features": self.features, "enriched": self.fact_products, "fbt": self.fbt,
             "customers_age": self.customers_age, "agegroup_popular": self.agegroup_popular,
             "trending": self.trending, "location_pop": self.location_pop,
         }

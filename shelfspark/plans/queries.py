@@ -25,11 +25,21 @@ from shelfspark.sources import fixtures as fx
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Canonical 6-place form for comparing floating results across engines:
+# floor(x * 1e6 + c) / 1e6 in plain IEEE arithmetic (identical in both
+# engines for identical inputs). Averages and sums of two-decimal prices
+# land exactly on fractions k/q with small q (halves, quarters, thirds,
+# ...); there summation order moves a value by an ulp, and a cut at 1/2
+# (ordinary rounding) would split the engines. The cut is placed at the
+# golden-ratio fraction 0.618..., the point farthest from all small-q
+# fractions (nearest: 5/8, 0.007 away).
+CANON_OFFSET = 1.0 - 0.6180339887498949
+
+
 def round6(c):
-    """Round to 6 places with plain IEEE arithmetic (``floor(x*1e6+0.5)/1e6``),
-    so both engines resolve exact halves the same way."""
+    """Canonical 6-place form of a floating column (see CANON_OFFSET)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.floor(c * F.lit(1e6) + F.lit(0.5)).cast("double") / F.lit(1e6)
+    return F.floor(c * F.lit(1e6) + F.lit(CANON_OFFSET)).cast("double") / F.lit(1e6)
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -45,7 +55,7 @@ def _L(spark: SparkSession, sf_dir: str) -> Layers:
 
 
 # Gold tables read by many branches of the candidate and feature jobs.
-SHARED_GOLD = ("enriched", "interactions", "features")
+SHARED_GOLD = ("silver_sales", "interactions", "features")
 
 
 def _Lm(spark: SparkSession, sf_dir: str) -> Layers:
@@ -389,7 +399,7 @@ def _top_sql(table: str, col: str, tiebreak: list[str], cols: str = "*", k: int
 
 def R6(x: str) -> str:
     """SQL twin of ``round6``."""
-    return f"(CAST(floor(({x}) * 1e6 + 0.5e0) AS DOUBLE) / 1e6)"
+    return f"(CAST(floor(({x}) * 1e6 + {CANON_OFFSET!r}e0) AS DOUBLE) / 1e6)"
 
 
 def _r(cols: list[str]) -> str:
