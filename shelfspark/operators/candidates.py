@@ -220,12 +220,8 @@ def _cut_per_user(union: DataFrame, limit: int) -> DataFrame:
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
-    """Write a multi-use intermediate once to the shared checkpoint folder and
-    read it back (a written table cuts the lineage and survives executor loss)."""
-    from shelfspark.session import scratch_path
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    from shelfspark.session import written
+    return written(df, name)
 
 
 def adaptive_candidates(gold: dict, limit: int = DEFAULT_LIMIT, top_list: int = DEFAULT_TOP_LIST,

@@ -58,21 +58,19 @@ class Layers:
         ``(column, expression)``: the table is written partitioned by that
         derived column (e.g. the event date of the fact). Returns ``self``."""
         import os
-        from shelfspark.session import scratch_path
+        from shelfspark.session import written
         for name in names:
             df = getattr(self, name)
-            spark = df.sparkSession
-            if root is None:
-                path = scratch_path(spark, f"layer-{name}")
-            else:
-                path = os.path.join(root, (table_names or {}).get(name, name))
+            path = None if root is None else os.path.join(root, (table_names or {}).get(name, name))
             part = (partitions or {}).get(name)
             if part is None:
-                df.write.mode("overwrite").parquet(path)
+                self.__dict__[name] = written(df, f"layer-{name}", path)
             else:
+                from shelfspark.session import scratch_path
                 col, expr = part
+                path = path or scratch_path(df.sparkSession, f"layer-{name}")
                 df.withColumn(col, expr).write.mode("overwrite").partitionBy(col).parquet(path)
-            self.__dict__[name] = spark.read.parquet(path)
+                self.__dict__[name] = df.sparkSession.read.parquet(path)
         return self
 
     # ---- gold -------------------------------------------------------

@@ -65,3 +65,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "shelfspark", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def written(df, name: str, path: str | None = None):
+    """Write ``df`` once as Parquet (default: a fresh folder under the shared
+    checkpoint folder) and return a reader of it. A written table cuts the
+    lineage: later branches scan it instead of recomputing it, and a lost
+    executor never recomputes what was written."""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
