@@ -1,26 +1,32 @@
 """Candidate generation from eight sources (CND0-CND9, JN5-JN11, SET1,
 DED5, FLT7, AGG10, TOP3-TOP4, WIN3).
 
-Bounded fan-out. The final table keeps the ``limit`` lowest ProductIDs
-per user. Any product in a user's final list is also among the ``limit``
-lowest of every group (category, brand, age group, location) that put it
-there, because that group's products are a subset of the user's union.
-So each group's product list is cut to its ``limit`` lowest ids *before*
-the many-to-many join: exact (same pairs, same provenance) and the join
-emits at most users x groups x limit rows instead of users x catalogue.
-``group_cut=None`` gives the uncut source (all pairs).
+The source functions (``user_history`` ... ``location``) return each
+source as defined: with ``group_cut=None`` every pair (the registered
+``cand_*`` queries). The final table keeps the ``limit`` lowest
+ProductIDs per user, which allows two exact reductions:
+
+1. Per-group cut. Any product in a user's final list is among the
+   ``limit`` lowest of every group (category, brand, age group, location)
+   that proposes it, because the group is a subset of the user's union.
+   So a group never needs more than its ``limit`` lowest ids.
+2. Adaptive per-user threshold (``adaptive_candidates``, the default
+   path). Round 1 takes from each of a user's groups only the ids below a
+   per-user threshold estimated from group densities; a per-user check
+   proves round 1 exact, and only users failing it are recomputed with
+   the full per-group cut. Intermediate rows drop from users x groups x
+   limit to about a few x limit per user.
 
 Top-50 lists (trending, discount) are attached to every active user as a
 scalar subquery (one aggregate row holding at most 50 ids, a proven
 bound) and exploded per user: no cross join and no shuffle of users.
 
-The union is cut per user with ``dense_rank() <= limit`` over ProductID
-(a WindowGroupLimit before the shuffle too, so a hot user ships at most
-``limit`` distinct ids per task), then aggregated by (user, product) for
-provenance; the window's hash partitioning on CustomerID already
-clusters (CustomerID, ProductID), so that aggregate adds no shuffle.
-The surviving source of a pair is the lowest-numbered one (the reference
-keeps an arbitrary one).
+Per-user cuts use ``dense_rank() <= limit`` over ProductID: a
+WindowGroupLimit runs before the shuffle too, so a hot user ships at most
+``limit`` distinct ids per map task. Provenance is one aggregate per
+(user, product); the surviving source of a pair is the lowest-numbered
+one (the reference keeps an arbitrary one) and ``candidate_sources``
+lists every source proposing it.
 """
 
 from __future__ import annotations
