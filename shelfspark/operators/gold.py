@@ -117,18 +117,22 @@ def trending_products(enriched: DataFrame, as_of=None, days: int = 30) -> DataFr
         # a fact stored partitioned by event date: the same bound on the
         # partition column lets the scan skip older partitions
         recent = recent.where(F.col("event_date") >= start)
-    # COUNT(DISTINCT) needs all rows of a product together, so the string
-    # labels are taken in a separate reduced pass and joined back.
-    nums = (recent.groupBy("ProductID")
-            .agg(F.count(F.lit(1)).alias("purchase_count"),
-                 F.sum("Quantity").cast("long").alias("total_quantity"),
-                 F.countDistinct("CustomerID").alias("unique_customers"),
-                 F.max("EventTime").alias("last_purchase_ts")))
-    labels = _labelled_agg(recent, ["ProductID"], ["ProductName", "Category", "Brand"],
-                           [F.count(F.lit(1)).alias("_n")], [])
-    return labels.join(nums, "ProductID").select(
-        "ProductID", "ProductName", "Category", "Brand", "purchase_count",
-        "total_quantity", "unique_customers", "last_purchase_ts")
+    # One pass, three levels: (product, customer, labels) with hash
+    # aggregation over the raw rows, then (product, customer), then product:
+    # the distinct-customer count is the number of non-NULL customers left
+    # at level two, and string MAX only runs on reduced rows.
+    labels = ["ProductName", "Category", "Brand"]
+    lvl1 = recent.groupBy("ProductID", "CustomerID", *labels).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("Quantity").alias("_q"), F.max("EventTime").alias("_ts"))
+    lvl2 = lvl1.groupBy("ProductID", "CustomerID").agg(
+        *[F.max(c).alias(c) for c in labels], F.sum("_n").alias("_n"), F.sum("_q").alias("_q"),
+        F.max("_ts").alias("_ts"))
+    return lvl2.groupBy("ProductID").agg(
+        *[F.max(c).alias(c) for c in labels],
+        F.sum("_n").cast("long").alias("purchase_count"),
+        F.sum("_q").cast("long").alias("total_quantity"),
+        F.count("CustomerID").alias("unique_customers"),
+        F.max("_ts").alias("last_purchase_ts"))
 
 
 def user_category_preferences(enriched: DataFrame) -> DataFrame:
