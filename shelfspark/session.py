@@ -47,11 +47,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """The shared folder that the session names in ``spark.checkpoint.dir``.
+
+    A cluster must set it (every executor writes and reads there), so an unset
+    folder is an error; only a one-machine ``local[...]`` session, as in tests
+    and the benchmark, gets a folder of its own.
+    """
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="shelfspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -60,11 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "shelfspark", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder name under the shared checkpoint folder (its URI scheme is kept)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfspark/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def written(df, name: str, path: str | None = None):
@@ -75,4 +77,4 @@ def written(df, name: str, path: str | None = None):
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
