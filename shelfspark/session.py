@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +65,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hands this package to the executors' Python workers, once per context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_shelfspark_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="shelfspark-"), "shelfspark.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.join("shelfspark", os.path.relpath(full, root)))
+    sc.addPyFile(path)  # Spark serves it to the executors
+    sc._shelfspark_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder (its URI scheme is kept)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfspark/{name}-{uuid.uuid4().hex[:12]}"
