@@ -11,13 +11,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import quality, secrets
+from shelfspark.llm import bpe, lines, quality, secrets, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def split_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokens.write(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
+    return tokens.read(manifest).withColumnRenamed("id", "doc_id")
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    out = bpe.encode(docs.select("doc_id", "text"), tokenizer_file("byte_bpe_50k.tiktoken"), split_pattern())
+    return bpe.digests(out).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(_table(spark, sf_dir, "documents"))
+
+
+def q_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.drop_repeated(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document's source stands for the owner; a source's texts in one
     language stand for one repository of it."""
@@ -39,6 +70,9 @@ def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_output": q_tokens,
     "op2_secret_scan": q_secrets,
+    "op3_byte_bpe": q_bpe,
+    "op5_line_dedup": q_lines,
     "op10_quality_rules": q_quality,
 }
