@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, lines, quality, secrets, tokens
+from shelfspark.llm import bpe, lines, neardup, pitmanyor, quality, secrets, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,21 @@ def q_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def q_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                      F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def q_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pitmanyor.held_out("doc_id", 1)
+    model = pitmanyor.fit(docs.where(~out))
+    scored = pitmanyor.score(docs, model).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document's source stands for the owner; a source's texts in one
     language stand for one repository of it."""
@@ -74,5 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": q_secrets,
     "op3_byte_bpe": q_bpe,
     "op5_line_dedup": q_lines,
+    "op6_minhash_near_dedup": q_near_dup,
+    "op9_pitman_yor_scores": q_language_model,
     "op10_quality_rules": q_quality,
 }
