@@ -107,7 +107,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out.T
 
 
-def sketches(docs: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
+def sketches(docs: DataFrame, id_col: str, text: str, shingle: int, row_col: str | None = None) -> DataFrame:
     """row, id, a, b (digest), n (set size), bands, sig (a byte per coordinate)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,8 +129,8 @@ def sketches(docs: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame
                      pa.array([x.tobytes() for x in (mix(sig) & np.uint64(255)).astype(np.uint8)], pa.binary())],
                     names=["row", "id", "a", "b", "n", "bands", "sig"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
-                       F.col(text).cast("string").alias("text"))
+    row = F.col(row_col).cast("long") if row_col else F.monotonically_increasing_id()
+    rows = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(task, "row long, id long, a long, b long, n long, bands array<long>, sig binary")
 
 
@@ -249,12 +249,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    percent: int = PERCENT) -> DataFrame:
-    """One row per document: row, id, n_shingles, component (a row number that
+                    percent: int = PERCENT, row_col: str | None = None) -> DataFrame:
+    """One row per document: row (``row_col`` if given, else numbered here), id, n_shingles, component (a row number that
     its members share), component_id, and first: whether it stands for its
     component (smallest id, then row; null ids last)."""
     small_batches(docs.sparkSession)
-    sk = written(sketches(docs, id_col, text, shingle), "sketches")
+    sk = written(sketches(docs, id_col, text, shingle, row_col), "sketches")
     full = sk.where("n > 0")
     node = full.groupBy("a", "b").agg(F.min("row").alias("node"), F.min_by("id", "row").alias("any_id"))
     node = written(node, "nodes")

@@ -8,16 +8,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, lines, neardup, pitmanyor, quality, secrets, tokens
+from shelfspark.llm import bpe, decontaminate, lines, neardup, pii, pitmanyor, quality, secrets, tokens, toxicity
+from shelfspark.llm.words import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def joined_spans(found: Column, kinds: tuple[str, ...]) -> Column:
+    """kind:start:end of each span, comma-joined, in the array's order."""
+    names = F.array(*[F.lit(k) for k in kinds])
+    return F.array_join(F.transform(found, lambda s: F.concat_ws(
+        ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
@@ -49,6 +57,30 @@ def q_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def q_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_windows", "item_windows", "n_slots",
+                      "n_changed", "reparameterised")
+
+
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out("doc_id", 0)
+    net = toxicity.fit(docs, _table(spark, sf_dir, "labels").where(~out))
+    return toxicity.score(docs, net).select("doc_id", out.alias("held_out"), "score",
+                                            (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = lambda k: F.size(F.filter("found", lambda s: s["kind"] == k)).cast("long")
+    base = F.filter("found", lambda s: s["kind"] < 4)
+    return found.select(
+        "doc_id", n(0).alias("n_email"), n(1).alias("n_ip"), n(2).alias("n_card"), n(3).alias("n_phone"),
+        F.sha2(joined_spans(base, pii.KINDS), 256).alias("base_sha256"),
+        joined_spans(F.col("found"), pii.KINDS).alias("spans"))
+
+
 def q_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
@@ -57,7 +89,7 @@ def q_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = pitmanyor.held_out("doc_id", 1)
+    out = held_out("doc_id", 1)
     model = pitmanyor.fit(docs.where(~out))
     scored = pitmanyor.score(docs, model).withColumnRenamed("id", "doc_id")
     return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known",
@@ -73,8 +105,8 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("found", lambda s: s["kind"] < 3)
     return found.select(
         "doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
-        F.sha2(secrets.joined_spans(base), 256).alias("base_sha256"),
-        secrets.joined_spans(F.col("found")).alias("spans"),
+        F.sha2(joined_spans(base, secrets.KINDS), 256).alias("base_sha256"),
+        joined_spans(F.col("found"), secrets.KINDS).alias("spans"),
         F.size(F.filter("found", lambda s: s["live"])).cast("long").alias("n_live"),
         F.size(F.filter("found", lambda s: ~s["live"])).cast("long").alias("n_example"))
 
@@ -88,8 +120,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": q_tokens,
     "op2_secret_scan": q_secrets,
     "op3_byte_bpe": q_bpe,
+    "op4_template_decontamination": q_decontaminate,
     "op5_line_dedup": q_lines,
     "op6_minhash_near_dedup": q_near_dup,
+    "op7_toxicity_gru": q_toxicity,
+    "op8_pii_crf": q_pii,
     "op9_pitman_yor_scores": q_language_model,
     "op10_quality_rules": q_quality,
 }

@@ -35,7 +35,7 @@ MIN_ASSIGN = 8
 #: From so many distinct owners on, a value is a copied example.
 EXAMPLE_OWNERS = 3
 
-_KINDS = ("assign", "access", "hex", "generic")
+KINDS = ("assign", "access", "hex", "generic")
 _EMPTY = "array<struct<start:bigint,end:bigint,kind:int,value:string>>"
 
 
@@ -114,10 +114,3 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", repo: Colu
     return rows.select("_row", "_id").join(per_doc, "_row", "left").select(
         F.col("_id").alias(id_col),
         F.coalesce("found", F.array().cast(per_doc.schema["found"].dataType)).alias("found"))
-
-
-def joined_spans(found: Column, kinds: tuple[str, ...] = _KINDS) -> Column:
-    """kind:start:end of each span, comma-joined, in the array's order."""
-    names = F.array(*[F.lit(k) for k in kinds])
-    return F.array_join(F.transform(found, lambda s: F.concat_ws(
-        ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
