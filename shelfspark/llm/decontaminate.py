@@ -40,7 +40,7 @@ _NAME, _NUM, _UNIT = "\u0001", "\u0002num", "\u0002unit"
 
 def with_words(df: DataFrame) -> DataFrame:
     """Adds ``words`` of ``text``: without punctuation, names marked by a leading \\u0001."""
-    marked = F.regexp_replace(F.coalesce("text", F.lit("")), "(?<=[\\p{Ll},] )(\\p{Lu}\\p{L}+)", f"{_NAME}$1")
+    marked = F.regexp_replace(F.coalesce("text", F.lit("")), "(?<=[\\p{Ll},] )(\\p{Lu}\\p{Ll}+)", f"{_NAME}$1")
     clean = F.btrim(F.regexp_replace(marked, "[^\\p{L}\\p{N}\\s\u0001]+", ""), F.lit(" \t\n\x0b\x0c\r"))
     df = df.withColumn("_clean", clean)
     return df.withColumn("words", F.when(F.col("_clean") == "", F.array().cast("array<string>"))
