@@ -11,12 +11,15 @@
    block pair the signatures tell which pairs can be similar at all; of those a
    spanning forest is taken, best estimates first, not all pairs.
 4. The forest's pairs are verified on their full shingle sets and the links
-   joined to components. Then every pair of different components that meets in
-   a bucket, can be similar and was not tried is verified too, so no link
-   between components is lost.
+   joined to components. Buckets that still hold several components go on with
+   signatures of LONG coordinates: again a forest between components first,
+   then every pair of different components that can be similar and was not
+   tried. So no link between components is lost, and what is verified beyond
+   the forests is only what lies just below the threshold.
 
 A pair at the threshold misses all 32 bands with probability 5e-8, and falls
-below the signature bound (0.65 at 0.8) with probability 1e-5.
+below the bounds of the signatures (0.65 of 128, 0.745 of 1024 at 0.8) with
+probability 1e-5.
 
 Nulls and texts without words have an empty set and are linked with nothing.
 Rows of one doc_id are documents of their own; a component's id is its smallest
@@ -41,6 +44,8 @@ BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
 #: Signatures that agree in fewer than PERCENT / 100 - MARGIN of the coordinates are not verified.
 MARGIN = 0.15
+#: Coordinates of the signatures that settle what the first forest left open, and their margin.
+LONG, LONG_MARGIN = 1024, 0.055
 BLOCK = 512
 #: Texts of at most so many candidates are picked by a broadcast join.
 BROADCAST_ROWS = 1_000_000
@@ -49,10 +54,10 @@ _perm: list[np.ndarray] = []
 
 
 def permutation() -> np.ndarray:
-    """The second permutation, followed by its own first COORDINATES values."""
+    """The second permutation, followed by its own first LONG values."""
     if not _perm:
         p = np.random.default_rng(20).permutation(1 << UNIVERSE_BITS).astype(np.int32)
-        _perm.append(np.concatenate([p, p[:COORDINATES]]))
+        _perm.append(np.concatenate([p, p[:LONG]]))
     return _perm[0]
 
 
@@ -93,20 +98,25 @@ def shingle_sets(t: Texts, words: np.ndarray, k: int) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """(n, COORDINATES) MinHash values; 0 for empty sets."""
+def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarray:
+    """(n, coordinates) MinHash values; 0 for empty sets."""
     size = np.fromiter(map(len, sets), np.int64, len(sets))
-    out = np.zeros((COORDINATES, len(sets)), np.int32)
+    out = np.zeros((coordinates, len(sets)), np.int32)
     full = np.flatnonzero(size)
     if len(full):
         place = (mix(np.concatenate(sets)) >> np.uint64(64 - UNIVERSE_BITS)).astype(np.int64)
         first = (np.cumsum(size) - size)[full]
         perm, top = permutation(), 1 << UNIVERSE_BITS
-        for k in range(COORDINATES):
+        for k in range(coordinates):
             out[k, full] = np.minimum.reduceat(perm[k:k + top].take(place), first)
     return out.T
 
 
+def _bytes(sig: np.ndarray) -> list[bytes]:
+    """A byte of each coordinate, by row."""
+    return [x.tobytes() for x in (mix(sig) & np.uint64(255)).astype(np.uint8)]
+
+
 def sketches(docs: DataFrame, id_col: str, text: str, shingle: int, row_col: str | None = None) -> DataFrame:
     """row, id, a, b (digest), n (set size), bands, sig (a byte per coordinate)."""
 
@@ -126,7 +136,7 @@ def sketches(docs: DataFrame, id_col: str, text: str, shingle: int, row_col: str
                     [rows.column(0), rows.column(1), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array(n),
                      pa.ListArray.from_arrays(pa.array(np.arange(len(t) + 1, dtype=np.int32) * BANDS),
                                               pa.array(band.reshape(-1).view(np.int64))),
-                     pa.array([x.tobytes() for x in (mix(sig) & np.uint64(255)).astype(np.uint8)], pa.binary())],
+                     pa.array(_bytes(sig), pa.binary())],
                     names=["row", "id", "a", "b", "n", "bands", "sig"])
 
     row = F.col(row_col).cast("long") if row_col else F.monotonically_increasing_id()
@@ -134,10 +144,11 @@ def sketches(docs: DataFrame, id_col: str, text: str, shingle: int, row_col: str
     return rows.mapInArrow(task, "row long, id long, a long, b long, n long, bands array<long>, sig binary")
 
 
-def _agreeing(keys, nodes, sizes, sig, groups, bound: int, percent: int, forest: bool) -> list[tuple[int, int]]:
-    """Pairs of rows with one key whose signatures agree in ``bound`` places or
-    more and that lie in different groups; with ``forest`` a spanning forest of
-    them by key, best agreement first. A key's rows are next to each other."""
+def _agreeing(keys, nodes, sizes, sigs, groups, bounds, percent: int, forest: bool) -> list[tuple[int, int]]:
+    """Pairs of rows with one key that lie in different groups and whose
+    signatures (``sigs``, the short ones first) all agree in their ``bounds``
+    places or more; with ``forest`` a spanning forest of the key's groups, best
+    agreement first. A key's rows are next to each other."""
     n, found = len(keys), []
     step = 1
     while step < n:
@@ -148,29 +159,32 @@ def _agreeing(keys, nodes, sizes, sig, groups, bound: int, percent: int, forest:
         small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
         can = (100 * small >= percent * large) & (groups[i] != groups[j])
         i, j = i[can], j[can]
-        for s in range(0, len(i), 100_000):
-            x, y = i[s:s + 100_000], j[s:s + 100_000]
-            agree = (sig[x] == sig[y]).sum(1)
-            go = agree >= bound
-            if go.any():
-                found.append(np.stack([x[go], y[go], agree[go]], 1))
+        for s in range(0, len(i), 50_000):
+            x, y, agree = i[s:s + 50_000], j[s:s + 50_000], None
+            for sig, bound in zip(sigs, bounds):
+                parts = [(sig[x[c:c + 5000]] == sig[y[c:c + 5000]]).sum(1) for c in range(0, len(x), 5000)]
+                agree = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+                go = agree >= bound
+                x, y, agree = x[go], y[go], agree[go]
+            if len(x):
+                found.append(np.stack([x, y, agree], 1))
         step += 1
     if not found:
         return []
     pairs = np.concatenate(found)
     if forest:
         pairs = pairs[np.lexsort((-pairs[:, 2], keys[pairs[:, 0]]))]
-        parent = list(range(n))
+        parent: dict[tuple, tuple] = {}
 
-        def root(v: int) -> int:
-            while parent[v] != v:
-                parent[v] = parent[parent[v]]
-                v = parent[v]
+        def root(v: tuple) -> tuple:
+            while (up := parent.setdefault(v, v)) != v:
+                parent[v] = v = parent[up]
             return v
 
         chosen = []
-        for x, y, _ in pairs.tolist():
-            if (p := root(x)) != (q := root(y)):
+        for x, y, key, g, h in zip(*pairs[:, :2].T.tolist(), keys[pairs[:, 0]].tolist(), groups[pairs[:, 0]].tolist(),
+                                   groups[pairs[:, 1]].tolist()):
+            if (p := root((key, g))) != (q := root((key, h))):
                 parent[p] = q
                 chosen.append((x, y))
         pairs = np.array(chosen, np.int64).reshape(-1, 2)
@@ -179,21 +193,22 @@ def _agreeing(keys, nodes, sizes, sig, groups, bound: int, percent: int, forest:
 
 
 def candidate_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """(u, v) with u < v from ``members`` (key, size of the bucket, node, n, sig, group)."""
-    bound = int(np.ceil(COORDINATES * (percent / 100 - MARGIN)))
+    """(u, v) with u < v from ``members`` (key, size of the bucket, node, n, sig, group and, if there, long)."""
+    kinds = ["sig", "long"] if "long" in members.columns else ["sig"]
+    bounds = [int(np.ceil(COORDINATES * (percent / 100 - MARGIN))), int(np.ceil(LONG * (percent / 100 - LONG_MARGIN)))]
     blocks = F.ceil(F.col("bucket") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     dealt = (members.withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
              .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
-                     "node", "n", "group", "sig"))
+                     "node", "n", "group", *kinds))
     dealt = dealt.repartition("key").sortWithinPartitions("key", "node")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(part: pa.Table) -> pa.RecordBatch:
             key, node, n, group = (part.column(c).to_numpy() for c in ("key", "node", "n", "group"))
-            sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint8).reshape(len(key), -1)
-            pairs = np.array(_agreeing(key, node, n, sig, group, bound, percent, forest), np.int64).reshape(-1, 2)
+            sigs = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(len(key), -1) for c in kinds]
+            pairs = np.array(_agreeing(key, node, n, sigs, group, bounds, percent, forest), np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
         held = None
@@ -266,8 +281,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     signed = shared.join(sig, "node")
     pairs = written(candidate_pairs(signed.withColumn("group", F.col("node")), percent, forest=True), "pairs")
 
-    def sets_of(some: DataFrame) -> DataFrame:
-        ids = written(some.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(node, "node"), "wanted")
+    def from_texts(some: DataFrame, long: bool) -> DataFrame:
+        """(node, value): the shingle sets of ``some`` (node), or their long signatures."""
+        ids = written(some.distinct().join(node, "node"), "wanted")
         wanted = ids.select(F.col("any_id").alias("want")).distinct()
         if wanted.count() <= BROADCAST_ROWS:
             wanted = F.broadcast(wanted)
@@ -278,24 +294,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             for batch in batches:
                 for t in texts(batch.column(0), lower=True):
                     words = t.hashes()
-                    d = digests(t, words).view(np.int64)
-                    raw = [s.tobytes() for s in shingle_sets(t, words, shingle)]
+                    d, sets = digests(t, words).view(np.int64), shingle_sets(t, words, shingle)
+                    raw = _bytes(signatures(sets, LONG).astype(np.uint64)) if long else [x.tobytes() for x in sets]
                     yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(raw, pa.binary())],
-                                                     names=["a", "b", "shingles"])
+                                                     names=["a", "b", "value"])
+
+        found = own.mapInArrow(task, "a long, b long, value binary")
+        # rows of one id may hold other texts, or several copies of one: one value per digest
+        return found.join(ids.select("a", "b", "node"), ["a", "b"]).dropDuplicates(["node"]).select("node", "value")
 
-        found = own.mapInArrow(task, "a long, b long, shingles binary")
-        # rows of one id may hold other texts, or several copies of one: one set per digest
-        return found.join(ids.select("a", "b", "node"), ["a", "b"]).dropDuplicates(["node"]).select("node", "shingles")
+    def linked(some: DataFrame, name: str) -> DataFrame:
+        sets = from_texts(some.select(F.explode(F.array("u", "v")).alias("node")), long=False)
+        return written(verified(some, sets.withColumnRenamed("value", "shingles"), percent), name)
 
-    links = written(verified(pairs, sets_of(pairs), percent), "links")
+    links = linked(pairs, "links")
     comp = components(links)
-    grouped = signed.join(comp, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
-    more = candidate_pairs(grouped, percent, forest=False).join(pairs, ["u", "v"], "left_anti")
-    more = written(more, "more-pairs")
-    if not more.isEmpty():
-        late = written(verified(more, sets_of(more), percent), "late-links")
+    rest = None
+    for forest in (True, False):
+        # buckets that hold rows of several components
+        grouped = (signed if rest is None else rest).drop("group").join(comp, "node", "left") \
+            .withColumn("group", F.coalesce("root", "node")).drop("root")
+        mixed = grouped.groupBy("key").agg((F.min("group") < F.max("group")).alias("mixed")).where("mixed").select("key")
+        rest = grouped.join(mixed, "key", "left_semi")
+        if "long" not in rest.columns:
+            rest = written(rest, "open-buckets")
+            rest = rest.join(from_texts(rest.select("node"), long=True).withColumnRenamed("value", "long"), "node")
+        rest = written(rest, "open-buckets")
+        more = written(candidate_pairs(rest, percent, forest).join(pairs, ["u", "v"], "left_anti"), "more-pairs")
+        if more.isEmpty():  # the forest may hold tried pairs alone, and leave others to the last turn
+            continue
+        late = linked(more, "more-links")
+        pairs, links = pairs.unionByName(more), links.unionByName(late)
         if not late.isEmpty():
-            comp = components(links.unionByName(late))
+            comp = components(links)
 
     rows = (sk.select("row", "id", "n", "a", "b").join(node.select("a", "b", "node"), ["a", "b"], "left")
             .join(comp, "node", "left")
