@@ -79,22 +79,25 @@ def assign_ids(new: DataFrame, existing: DataFrame, existing_id: str,
     """Give each row of ``new`` a consecutive id after ``max(existing_id)``,
     in ``order`` (a total order for a deterministic numbering).
 
-    Distributed: a range-partitioned sort, a per-partition row count (one
-    row per partition), a running sum over those counts, and a join back
-    on the partition id. ``order`` columns must be ascending column names.
+    Distributed: a range-partitioned sort is written once, each row with its
+    partition and its place in it; row counts per partition, a running sum over
+    them (one row per partition) and the ids all come from that one table, so
+    both sides mean the same partitions whatever the planner does. ``order``
+    columns must be ascending column names.
     """
+    from shelfspark.session import written
+
     order_cols = _cols(order)
     base = existing.agg(F.coalesce(F.max(existing_id), F.lit(0)).cast("long")).scalar()
-    ordered = (new.repartitionByRange(*order_cols)
-               .sortWithinPartitions(*order_cols)
-               .withColumn("_pid", F.spark_partition_id())
-               .withColumn("_mid", F.monotonically_increasing_id()))
+    ordered = written(new.repartitionByRange(*order_cols)
+                      .sortWithinPartitions(*order_cols)
+                      .withColumn("_pid", F.spark_partition_id())
+                      .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "assigned-ids")
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
         (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     # offsets has one row per partition: a proven, tiny broadcast.
     out = ordered.join(F.broadcast(offsets), "_pid")
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (out.withColumn(id_col, base + F.col("_off") + pos + F.lit(1))
-               .drop("_pid", "_mid", "_off"))
+    return (out.withColumn(id_col, base + F.col("_off") + F.col("_pos") + F.lit(1))
+               .drop("_pid", "_pos", "_off"))

@@ -1,6 +1,6 @@
 """Top-N recommendations per user (WIN2, REC1, AGG9).
 
-Ranking order is ``round(hybrid_score, 6) DESC, ProductID ASC`` so ties
+Ranking order is ``round(hybrid_score, 12) DESC, ProductID ASC`` so ties
 are decided the same way on every run (the reference leaves them open).
 ``row_number() <= n`` plans as a WindowGroupLimit before and after the
 shuffle: a user with millions of scored products ships ``n`` rows per
@@ -18,7 +18,7 @@ from shelfspark.functions.frames import top_n
 
 def ranked_recommendations(hybrid: DataFrame, n: int = 10) -> DataFrame:
     """Exploded form: (CustomerID, rank, ProductID, hybrid_score)."""
-    order = [F.round("hybrid_score", 6).desc(), F.col("ProductID").asc()]
+    order = [F.round("hybrid_score", 12).desc(), F.col("ProductID").asc()]
     ranked = top_n(hybrid, "CustomerID", order, n, rank_col="rank")
     return ranked.select("CustomerID", "rank", "ProductID", "hybrid_score")
 

@@ -2,7 +2,7 @@
 ``(spark, sf_dir) -> DataFrame`` over the whole driver tables, and the
 matching DuckDB oracle SQL.
 
-Compared outputs round floating columns to 6 places and render arrays as
+Compared outputs show floating columns at twelve significant digits and render arrays as
 sorted comma strings (both sides), so value hashes are engine-neutral.
 """
 
@@ -25,21 +25,14 @@ from shelfspark.sources import fixtures as fx
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# Canonical 6-place form for comparing floating results across engines:
-# floor(x * 1e6 + c) / 1e6 in plain IEEE arithmetic (identical in both
-# engines for identical inputs). Averages and sums of two-decimal prices
-# land exactly on fractions k/q with small q (halves, quarters, thirds,
-# ...); there summation order moves a value by an ulp, and a cut at 1/2
-# (ordinary rounding) would split the engines. The cut is placed at the
-# golden-ratio fraction 0.618..., the point farthest from all small-q
-# fractions (nearest: 5/8, 0.007 away).
-CANON_OFFSET = 1.0 - 0.6180339887498949
-
-
 def round6(c):
-    """Canonical 6-place form of a floating column (see CANON_OFFSET)."""
+    """A floating column at twelve significant digits, whatever its magnitude.
+
+    Summation order moves a value by an ulp; both engines print twelve digits
+    and read them back, so equal results are equal doubles and tiny scores
+    stay what they are."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.floor(c * F.lit(1e6) + F.lit(CANON_OFFSET)).cast("double") / F.lit(1e6)
+    return F.when(c.isNotNull(), F.format_string("%.11e", c.cast("double")).cast("double"))
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -378,7 +371,7 @@ def q_stream_bronze_sales(spark, d):
 
 
 def q_stream_dedup_sales(spark, d):
-    return _streaming().stream_dedup_roundtrip(spark, fx.raw_sales(spark, d), _ingest())
+    return rounded(_streaming().stream_dedup_roundtrip(spark, fx.raw_sales(spark, d), _ingest()))
 
 
 def q_stream_snapshot_products(spark, d):
@@ -399,7 +392,7 @@ def _top_sql(table: str, col: str, tiebreak: list[str], cols: str = "*", k: int
 
 def R6(x: str) -> str:
     """SQL twin of ``round6``."""
-    return f"(CAST(floor(({x}) * 1e6 + {CANON_OFFSET!r}e0) AS DOUBLE) / 1e6)"
+    return f"CAST(printf('%.11e', CAST(({x}) AS DOUBLE)) AS DOUBLE)"
 
 
 def _r(cols: list[str]) -> str:
@@ -588,6 +581,7 @@ ORACLE: dict[str, str] = {
                     "+ ROW_NUMBER() OVER (ORDER BY s_suppkey) AS NewID FROM supplier",
     "csv_roundtrip_customers": W(f"SELECT {CUST_CLEAN_R} FROM clean_customers", "clean_customers"),
     "stream_bronze_sales": W("SELECT * FROM fx_raw_sales", "fx_raw_sales"),
+    "stream_dedup_sales": W(f"SELECT {SALES_R} FROM clean_sales", "clean_sales"),
     "stream_snapshot_products": W(f"SELECT {PRODUCTS_R} FROM clean_products", "clean_products"),
 }
 
@@ -610,5 +604,5 @@ ORACLE["eda_recency_hist"] = _hist_query(
 ORACLE["eda_hybrid_hist"] = _hist_query("hy AS (SELECT * FROM hybrid)", ["hybrid"], "hy", "hybrid_score", 50)
 
 # Rows-only (no SQL oracle): non-deterministic by design or iterative.
-ROWS_ONLY = {"sample_sales", "als_recommendations", "stream_dedup_sales"}
+ROWS_ONLY = {"sample_sales", "als_recommendations"}
 ORACLE = {k: v for k, v in ORACLE.items() if k in QUERIES and k not in ROWS_ONLY}

@@ -3,7 +3,7 @@
 Usage: python tests/oracle_compare.py [sf_dir] [key ...]
 
 Per key: row counts, column names, and an order-insensitive comparison of
-the values (columns sorted by name, rows sorted, floats to 6 places).
+the values (columns sorted by name, rows sorted, floats as they are).
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "<null>"
-        return f"{round(v, 6):.6f}"
+        return repr(v)
     if hasattr(v, "isoformat"):
         return str(v).replace("T", " ")
     try:
