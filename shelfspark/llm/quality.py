@@ -119,7 +119,9 @@ def ordered(docs: DataFrame, rules: list[Rule], text: str = "text", sample_rows:
 
 def cascade(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None,
             sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Adds the counters, ``base_failed`` and ``kept`` to every document."""
+    """Adds the counters, ``base_failed`` and ``kept`` to every document. Write
+    the result before filtering by it: the planner would copy the counters'
+    nested expressions into the filter many times."""
     chain = ordered(docs, rules or default_rules(), text, sample_rows)
     verdict = F.when(base_failed(), F.lit(False))
     for rule in chain:
