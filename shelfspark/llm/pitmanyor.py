@@ -355,7 +355,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
                 often = known[at] == words if len(known) else np.zeros(len(words), bool)
                 row, place, hit = x.words_of(), at[inverse], often[inverse]
                 n = len(x)
-                sums = [np.bincount(row[hit], v, n) for v in (base[place[hit]], logs[place[hit]])]
+                sums = [np.bincount(row[hit], v, n).astype(float) for v in (base[place[hit]], logs[place[hit]])]
                 rare = np.flatnonzero(~often)
                 spelt = np.zeros(len(words))
                 if len(rare):
