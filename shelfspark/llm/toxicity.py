@@ -33,6 +33,7 @@ TRAIN_ROWS, TRAIN_WINDOWS = 3000, 128
 MIN_DOCS = 3  # training texts that hold a word before it gets a vector of its own
 WORD, CHARS, HIDDEN, ATTENTION = 10, 6, 8, 8
 TRIGRAMS = 1 << 12
+STEPS = 12  # updates in an epoch, at least: small training tables have smaller batches
 EPOCHS, RERANK, BATCH, RATE = 6, 3, 384, 0.015
 
 _PUNCT = np.ones(256, bool)
@@ -242,8 +243,9 @@ def train(column, toxic: np.ndarray, seed: int = 1) -> Network:
         clean = toxic[wrow[heads]] == 0
         chosen = np.concatenate([worst, other[clean]])
         rng.shuffle(chosen)
-        for s in range(0, len(chosen), BATCH):
-            some = chosen[s:s + BATCH]
+        batch = int(np.clip(len(chosen) // STEPS, 16, BATCH))
+        for s in range(0, len(chosen), batch):
+            some = chosen[s:s + batch]
             # the words of this batch alone; the place after the last is for no word
             ids = _ids(w.of, first[some], length[some], len(w.keys))
             used, local = np.unique(ids, return_inverse=True)
