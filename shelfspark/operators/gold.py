@@ -58,23 +58,18 @@ def order_items(enriched: DataFrame) -> DataFrame:
     return purchases(enriched).select("OrderID", "ProductID").distinct()
 
 
-def _pairs(items: DataFrame) -> DataFrame:
-    a, b = items.alias("a"), items.alias("b")
-    return a.join(b, (F.col("a.OrderID") == F.col("b.OrderID"))
-                  & (F.col("a.ProductID") < F.col("b.ProductID"))).select(
-        F.col("a.ProductID").alias("ProductID_A"), F.col("b.ProductID").alias("ProductID_B"))
-
-
-def _salted_pairs(items: DataFrame, buckets: int) -> DataFrame:
-    """Pairs of very large orders, spread over ``buckets``^2 join keys per
-    order: item p gets bucket h(p); the left side is replicated over every
-    right bucket and vice versa, so the pair (p, q) meets exactly once, on
-    key (order, h(p), h(q))."""
-    h = F.pmod(F.xxhash64("ProductID"), F.lit(buckets)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)))
-    a = items.select("OrderID", F.col("ProductID").alias("ProductID_A"),
+def _pairs(items: DataFrame, chunk_items: int) -> DataFrame:
+    """Each order's pairs a < b. An order has ceil(items / ``chunk_items``)
+    buckets, one in ordinary orders; item p is in bucket h(p). The left side
+    is replicated over every right bucket and vice versa, so the pair (p, q)
+    meets exactly once, on key (order, h(p), h(q))."""
+    sizes = items.groupBy("OrderID").agg(F.ceil(F.count(F.lit(1)) / chunk_items).alias("_k"))
+    dealt = items.join(sizes, "OrderID")
+    h = F.pmod(F.xxhash64("ProductID"), F.col("_k"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1))
+    a = dealt.select("OrderID", F.col("ProductID").alias("ProductID_A"),
                      h.alias("_ba"), every.alias("_bb"))
-    b = items.select("OrderID", F.col("ProductID").alias("ProductID_B"),
+    b = dealt.select("OrderID", F.col("ProductID").alias("ProductID_B"),
                      every.alias("_ba"), h.alias("_bb"))
     return (a.join(b, ["OrderID", "_ba", "_bb"])
              .where(F.col("ProductID_A") < F.col("ProductID_B"))
@@ -82,28 +77,15 @@ def _salted_pairs(items: DataFrame, buckets: int) -> DataFrame:
 
 
 def frequently_bought_together(enriched: DataFrame, min_support: int = 1,
-                               hot_order_items: int | None = 10_000,
-                               salt_buckets: int = 16) -> DataFrame:
+                               chunk_items: int = 1_000) -> DataFrame:
     """JN2 + AGG3 gold_frequently_bought_together.
 
     Items are distinct per order, so ``COUNT(DISTINCT OrderID)`` per pair is
-    ``COUNT(*)``: one aggregate level instead of two. Ordinary orders use a
-    sort-merge self-join on OrderID with the ``a < b`` residual. Orders with
-    more than ``hot_order_items`` distinct items (found with a partial-
-    aggregated count) are split off and joined with a salted key, so one
-    huge order is spread over ``salt_buckets``^2 tasks instead of one.
-    The pair count itself stays exact; its output is inherently every
-    co-purchased pair. ``hot_order_items=None`` disables the split.
+    ``COUNT(*)``: one aggregate level instead of two. One join key holds about
+    ``chunk_items`` items a side, whatever the size of its order (``_pairs``).
+    The output is inherently every co-purchased pair.
     """
-    items = order_items(enriched)
-    if hot_order_items is None:
-        pairs = _pairs(items)
-    else:
-        hot = (items.groupBy("OrderID").agg(F.count(F.lit(1)).alias("_n"))
-                    .where(F.col("_n") > hot_order_items).select("OrderID"))
-        pairs = _pairs(items.join(hot, "OrderID", "left_anti")).unionByName(
-            _salted_pairs(items.join(hot, "OrderID", "left_semi"), salt_buckets))
-    return (pairs.groupBy("ProductID_A", "ProductID_B")
+    return (_pairs(order_items(enriched), chunk_items).groupBy("ProductID_A", "ProductID_B")
                  .agg(F.count(F.lit(1)).alias("together_orders"))
                  .where(F.col("together_orders") >= min_support))
 
