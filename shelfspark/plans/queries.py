@@ -370,6 +370,16 @@ def q_csv_roundtrip_customers(spark, d):
     return _streaming().csv_roundtrip(spark, fx.raw_customers(spark, d), "customers", _ingest())
 
 
+def q_csv_inferred_customers(spark, d):
+    """SRC4: a CSV feed of the customer table, read back with inferred types."""
+    from shelfspark.session import scratch_path
+    from shelfspark.sources.csv import read_csv_inferred, write_feed
+    path = scratch_path(spark, "csv-inferred-customers")
+    write_feed(spark.read.parquet(f"{d}/customer.parquet")
+               .select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), path)
+    return read_csv_inferred(spark, path)
+
+
 def q_stream_bronze_sales(spark, d):
     return _streaming().stream_bronze_roundtrip(spark, fx.raw_sales(spark, d))
 
@@ -584,6 +594,7 @@ ORACLE: dict[str, str] = {
     "assigned_ids": "SELECT s_suppkey, s_name, (SELECT COALESCE(MAX(c_custkey), 0) FROM customer) "
                     "+ ROW_NUMBER() OVER (ORDER BY s_suppkey) AS NewID FROM supplier",
     "csv_roundtrip_customers": W(f"SELECT {CUST_CLEAN_R} FROM clean_customers", "clean_customers"),
+    "csv_inferred_customers": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "stream_bronze_sales": W("SELECT * FROM fx_raw_sales", "fx_raw_sales"),
     "stream_dedup_sales": W(f"SELECT {SALES_R} FROM clean_sales", "clean_sales"),
     "stream_snapshot_products": W(f"SELECT {PRODUCTS_R} FROM clean_products", "clean_products"),
