@@ -12,10 +12,12 @@
    spanning forest is taken, best estimates first, not all pairs.
 4. The forest's pairs are verified on their full shingle sets and the links
    joined to components. Buckets that still hold several components go on with
-   signatures of LONG coordinates: again a forest between components first,
-   then every pair of different components that can be similar and was not
-   tried. So no link between components is lost, and what is verified beyond
-   the forests is only what lies just below the threshold.
+   signatures of LONG coordinates and, for sets of up to EXACT shingles, the
+   sets themselves, which settle a pair on the spot: again a forest between
+   components first, then every pair of different components that can be
+   similar and was not tried. So no link between components is lost, and what
+   leaves a bucket beyond the forests is only pairs with a larger set that lie
+   just below the threshold.
 
 A pair at the threshold misses all 32 bands with probability 5e-8, and falls
 below the bounds of the signatures (0.65 of 128, 0.745 of 1024 at 0.8) with
@@ -46,6 +48,8 @@ COORDINATES = BANDS * ROWS
 MARGIN = 0.15
 #: Coordinates of the signatures that settle what the first forest left open, and their margin.
 LONG, LONG_MARGIN = 1024, 0.055
+#: Sets of up to so many shingles go along whole with their long signature.
+EXACT = 1024
 BLOCK = 512
 #: Texts of at most so many candidates are picked by a broadcast join.
 BROADCAST_ROWS = 1_000_000
@@ -144,12 +148,25 @@ def sketches(docs: DataFrame, id_col: str, text: str, shingle: int, row_col: str
     return rows.mapInArrow(task, "row long, id long, a long, b long, n long, bands array<long>, sig binary")
 
 
-def _agreeing(keys, nodes, sizes, sigs, groups, bounds, percent: int, forest: bool) -> list[tuple[int, int]]:
+def _agreeing(keys, nodes, sizes, sigs, sets, groups, bounds, percent: int, forest: bool) -> list[tuple[int, int]]:
     """Pairs of rows with one key that lie in different groups and whose
     signatures (``sigs``, the short ones first) all agree in their ``bounds``
-    places or more; with ``forest`` a spanning forest of the key's groups, best
-    agreement first. A key's rows are next to each other."""
-    n, found = len(keys), []
+    places or more, less those whose ``sets`` (bytes; None where not at hand)
+    are both there and not similar enough; with ``forest`` a spanning forest of
+    the key's groups, best agreement first. A key's rows are next to each other."""
+    n, found, opened = len(keys), [], {}
+
+    def whole(k: int) -> set:
+        if k not in opened:
+            opened[k] = set(np.frombuffer(sets[k], np.uint64).tolist())
+        return opened[k]
+
+    def similar(a: int, b: int) -> bool:
+        if sets[a] is None or sets[b] is None:
+            return True
+        both = len(whole(a) & whole(b))
+        return 100 * both >= percent * (int(sizes[a]) + int(sizes[b]) - both)
+
     step = 1
     while step < n:
         i = np.flatnonzero(keys[step:] == keys[:-step])
@@ -166,6 +183,9 @@ def _agreeing(keys, nodes, sizes, sigs, groups, bounds, percent: int, forest: bo
                 agree = np.concatenate(parts) if parts else np.zeros(0, np.int64)
                 go = agree >= bound
                 x, y, agree = x[go], y[go], agree[go]
+            if sets is not None:
+                go = np.fromiter(map(similar, x.tolist(), y.tolist()), bool, len(x))
+                x, y, agree = x[go], y[go], agree[go]
             if len(x):
                 found.append(np.stack([x, y, agree], 1))
         step += 1
@@ -193,22 +213,24 @@ def _agreeing(keys, nodes, sizes, sigs, groups, bounds, percent: int, forest: bo
 
 
 def candidate_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """(u, v) with u < v from ``members`` (key, size of the bucket, node, n, sig, group and, if there, long)."""
+    """(u, v) with u < v from ``members`` (key, size of the bucket, node, n, sig, group and, if there, long and shingles)."""
     kinds = ["sig", "long"] if "long" in members.columns else ["sig"]
+    whole = ["shingles"] if "long" in members.columns else []
     bounds = [int(np.ceil(COORDINATES * (percent / 100 - MARGIN))), int(np.ceil(LONG * (percent / 100 - LONG_MARGIN)))]
     blocks = F.ceil(F.col("bucket") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     dealt = (members.withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
              .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
-                     "node", "n", "group", *kinds))
+                     "node", "n", "group", *kinds, *whole))
     dealt = dealt.repartition("key").sortWithinPartitions("key", "node")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(part: pa.Table) -> pa.RecordBatch:
             key, node, n, group = (part.column(c).to_numpy() for c in ("key", "node", "n", "group"))
             sigs = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(len(key), -1) for c in kinds]
-            pairs = np.array(_agreeing(key, node, n, sigs, group, bounds, percent, forest), np.int64).reshape(-1, 2)
+            sets = part.column("shingles").to_pylist() if whole else None
+            pairs = np.array(_agreeing(key, node, n, sigs, sets, group, bounds, percent, forest), np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
         held = None
@@ -282,7 +304,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     pairs = written(candidate_pairs(signed.withColumn("group", F.col("node")), percent, forest=True), "pairs")
 
     def from_texts(some: DataFrame, long: bool) -> DataFrame:
-        """(node, value): the shingle sets of ``some`` (node), or their long signatures."""
+        """(node, shingles) of ``some`` (node); with ``long`` also their long
+        signatures, and shingles of sets of up to EXACT alone."""
         ids = written(some.distinct().join(node, "node"), "wanted")
         wanted = ids.select(F.col("any_id").alias("want")).distinct()
         if wanted.count() <= BROADCAST_ROWS:
@@ -295,17 +318,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 for t in texts(batch.column(0), lower=True):
                     words = t.hashes()
                     d, sets = digests(t, words).view(np.int64), shingle_sets(t, words, shingle)
-                    raw = _bytes(signatures(sets, LONG).astype(np.uint64)) if long else [x.tobytes() for x in sets]
-                    yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(raw, pa.binary())],
-                                                     names=["a", "b", "value"])
+                    raw = [x.tobytes() if not long or len(x) <= EXACT else None for x in sets]
+                    sig = _bytes(signatures(sets, LONG).astype(np.uint64)) if long else [None] * len(raw)
+                    yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(raw, pa.binary()),
+                                                      pa.array(sig, pa.binary())], names=["a", "b", "shingles", "long"])
 
-        found = own.mapInArrow(task, "a long, b long, value binary")
+        found = own.mapInArrow(task, "a long, b long, shingles binary, long binary")
         # rows of one id may hold other texts, or several copies of one: one value per digest
-        return found.join(ids.select("a", "b", "node"), ["a", "b"]).dropDuplicates(["node"]).select("node", "value")
+        one = found.join(ids.select("a", "b", "node"), ["a", "b"]).dropDuplicates(["node"])
+        return one.select("node", "shingles", *(["long"] if long else []))
 
     def linked(some: DataFrame, name: str) -> DataFrame:
         sets = from_texts(some.select(F.explode(F.array("u", "v")).alias("node")), long=False)
-        return written(verified(some, sets.withColumnRenamed("value", "shingles"), percent), name)
+        return written(verified(some, sets, percent), name)
 
     links = linked(pairs, "links")
     comp = components(links)
@@ -318,7 +343,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         rest = grouped.join(mixed, "key", "left_semi")
         if "long" not in rest.columns:
             rest = written(rest, "open-buckets")
-            rest = rest.join(from_texts(rest.select("node"), long=True).withColumnRenamed("value", "long"), "node")
+            rest = rest.join(from_texts(rest.select("node"), long=True), "node")
         rest = written(rest, "open-buckets")
         more = written(candidate_pairs(rest, percent, forest).join(pairs, ["u", "v"], "left_anti"), "more-pairs")
         if more.isEmpty():  # the forest may hold tried pairs alone, and leave others to the last turn
