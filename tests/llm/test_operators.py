@@ -211,6 +211,19 @@ def test_near_duplicate_group_with_many_links(spark):
     assert [got[i].component_id for i in range(len(some))] == want
 
 
+@pytest.mark.parametrize("forest", [True, False])
+def test_sets_at_hand_settle_pairs(forest):
+    base = np.arange(100, dtype=np.uint64) * np.uint64(977)
+    some = [base, np.concatenate([base[:95], base[:5] + np.uint64(1)]), np.concatenate([base[:88], base[:12] + np.uint64(2)])]
+    sigs = [np.zeros((3, neardup.COORDINATES), np.uint8)]  # signatures alone let every pair through
+    zero, node, size = np.zeros(3, np.int64), np.arange(3), np.full(3, 100)
+    pairs = lambda held: {tuple(p) for p in neardup._agreeing(zero, node, size, sigs, held, node, [1], 80, forest)}
+    raw = [x.tobytes() for x in some]
+    assert pairs(raw) == {(0, 1)}  # 95 of 105; 88 of 112 fall short
+    assert len(pairs([None, raw[1], raw[2]])) == 2  # what is not at hand goes on to be verified
+    assert len(pairs(None)) == (2 if forest else 3)
+
+
 def test_language_model(spark, sf, rows):
     tok = {i: WORD.findall((t or "").encode().lower().decode()) + ["\n"] for i, t, *_ in rows}
     out = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in tok}
