@@ -153,12 +153,16 @@ class Spelling:
         self.top = self.parts["top"]  # (samples, 256)
 
     def words(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """(words, samples) probability of each word's spelling."""
+        """log10 probability of each word's spelling, averaged over the samples; long words don't underflow."""
         cells, size = spelled(raw, starts, ends)
         distinct, back = np.unique(cells, return_inverse=True)
         logs = np.log(self._cells(distinct))[back]
         first = np.cumsum(size) - size
-        return np.exp(np.add.reduceat(logs, first, axis=0)) if len(size) else logs
+        if not len(size):
+            return np.zeros(0)
+        logs = np.add.reduceat(logs, first, axis=0)
+        top = logs.max(1)
+        return (top + np.log(np.exp(logs - top[:, None]).mean(1))) / np.log(10)
 
     def _cells(self, cells: np.ndarray) -> np.ndarray:
         p = self.top[:, cells & 255].T.copy()
@@ -200,7 +204,7 @@ def _spelling_file(samples: DataFrame, top: np.ndarray) -> bytes:
 @dataclass
 class Model:
     spelling: str  # place of the lookup arrays
-    vocabulary: DataFrame  # hash, c, tables (averaged), weight (of the spelling)
+    vocabulary: DataFrame  # hash, c, p (log10 of the spelling's weight), tables (averaged)
     frequent: list[str]  # places of the frequent words' arrays
     at_least: int  # count from which a word is frequent
     tokens: int  # N
@@ -277,7 +281,7 @@ def fit(docs: DataFrame, text: str = "text", folder: str | None = None, frequent
         model = Spelling(shared.get(spelling))
         for batch in batches:
             raw, a, b = _flat(batch.column(0).to_pylist())
-            p = model.words(raw, a, b).mean(1) if len(a) else np.zeros(0)
+            p = model.words(raw, a, b)
             yield pa.RecordBatch.from_arrays([pa.array(span_hashes(raw, a, b).view(np.int64)), batch.column(1), pa.array(p)],
                                              names=["hash", "c", "p"])
 
@@ -291,7 +295,7 @@ def fit(docs: DataFrame, text: str = "text", folder: str | None = None, frequent
                 h, c, p = (batch.column(k).to_numpy() for k in range(3))
                 seed = int(mix(h.view(np.uint64)).sum() & np.uint64(0x7FFFFFFF)) + sweep  # the same after a lost task
                 rng = np.random.default_rng(seed)
-                t = sum(seat(c, fresh * p, rng) for _ in range(SAMPLES)) / SAMPLES
+                t = sum(seat(c, fresh * 10.0 ** p, rng) for _ in range(SAMPLES)) / SAMPLES
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(t)],
                                                  names=["hash", "c", "p", "tables"])
 
@@ -344,7 +348,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
             order = np.argsort(h)
             known, c, p, t = h[order], c[order], p[order], t[order]
             base = np.log10((c + 0.5) / denominator)
-            logs = np.log10((c - DISCOUNT * t) / (STRENGTH + all_n) + back * (1 - one_end) * p)
+            logs = np.log10((c - DISCOUNT * t) / (STRENGTH + all_n) + back * (1 - one_end) * 10.0 ** p)
             del h, c, p, t, order, parts
         else:
             known, base, logs = np.zeros(0, np.int64), np.zeros(1), np.zeros(1)
@@ -359,7 +363,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
                 rare = np.flatnonzero(~often)
                 spelt = np.zeros(len(words))
                 if len(rare):
-                    spelt[rare] = spell.words(x.data, x.starts[where[rare]], x.ends[where[rare]]).mean(1)
+                    spelt[rare] = spell.words(x.data, x.starts[where[rare]], x.ends[where[rare]])
                 pair, times = np.unique(row[~hit].astype(np.int64) * len(words) + inverse[~hit], return_counts=True) \
                     if len(words) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
                 who, which = (pair // len(words), pair % len(words)) if len(words) else (pair, pair)
@@ -380,10 +384,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
         .select("row", "x.hash", "x.n", "x.p")
     known = model.vocabulary.where(F.col("c") < model.at_least).select("hash", "c", "tables")
     c, t = F.coalesce("c", F.lit(0)), F.coalesce("tables", F.lit(0.0))
-    own = (c - F.lit(DISCOUNT) * t) / F.lit(STRENGTH + all_n) + F.lit(back * (1 - one_end)) * F.col("p")
+    spelt = F.col("p") + F.lit(float(np.log10(back * (1 - one_end))))  # log10: a long word's weight is below the least double
+    own = F.when(c > 0, F.log10((c - F.lit(DISCOUNT) * t) / F.lit(STRENGTH + all_n) + F.pow(F.lit(10.0), spelt))).otherwise(spelt)
     rest = rare.join(known, "hash", "left").groupBy("row").agg(
         F.sum(F.col("n") * F.log10((c + 0.5) / F.lit(denominator))).alias("rare_base"),
-        F.sum(F.col("n") * F.log10(F.greatest(own, F.lit(1e-300)))).alias("rare_logs"),
+        F.sum(F.col("n") * own).alias("rare_logs"),
         F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("n_rare"))
     zero = lambda name: F.coalesce(name, F.lit(0))
     return first.select("row", "id", "n_tokens", "n_often", "base", "logs").join(rest, "row", "left").select(

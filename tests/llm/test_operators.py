@@ -256,6 +256,16 @@ def test_frequent_and_joined_words_score_alike(spark, sf):
     assert all(a[i].score == pytest.approx(b[i].score, rel=1e-9) and a[i].n_known == b[i].n_known for i in a)
 
 
+def test_long_unseen_words_have_no_floor(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = pitmanyor.fit(docs)
+    some = spark.createDataFrame([(k, "Qz7" * k) for k in (50, 100, 200, 400)], "doc_id long, text string")
+    got = {k: r.score for k, r in by_id(pitmanyor.score(some, model), "id").items()}
+    assert got[400] < got[200] < got[100] < -300
+    # every further copy of the three bytes costs the same in each sample
+    assert got[400] - got[200] == pytest.approx(2 * (got[200] - got[100]), rel=0.05)
+
+
 def test_quality(spark, sf, rows):
     got = by_id(queries.q_quality(spark, sf))
     for i, text, *_ in rows:
