@@ -1,7 +1,9 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-A text is a sequence of words and one end token. Words are seated in one
-restaurant whose base measure spells them: byte by byte, each byte seated in
+A text is a sequence of words and one end token. Each word is seated in the
+restaurant of the word before it (the first one in that of the end token), whose
+parent is one restaurant of all words: its customers are the tables of the word
+contexts. Its base measure spells words: byte by byte, each byte seated in
 the restaurant of the ORDER - 1 bytes before it, whose parent is the restaurant
 of one byte less, down to the empty context over uniform bytes. So all contexts
 share parents, and a word that was never seen still has its spelling's
@@ -14,10 +16,15 @@ A sweep goes from the longest contexts to the shortest, as a restaurant's
 customers are its children's tables. After BURN_IN sweeps SAMPLES are kept, and
 predictive probabilities are averaged over them.
 
-All counts cover all training texts. Word counts are a shuffled table; byte
-contexts are dealt to tasks by their last byte. Scoring looks up at most
-FREQUENT words in memory, all other words by a join on their hashes. The
-spelling model is bounded by the distinct byte sequences of length ORDER.
+All counts cover all training texts. Words and word pairs (context, word) are
+shuffled tables, counted with map-side aggregation; a pair seen once has one
+table, so only the others are joined with their words and seated again, in
+PAIR_SWEEPS sweeps. Byte contexts are dealt to tasks by their last byte.
+Scoring sums log10 of each word's probability without its context, of each
+context's weight of its parent, and each seen pair's gain over that. It looks up
+at most FREQUENT words and FREQUENT pairs in memory, all others by joins on their
+hashes. The spelling model is bounded by the distinct byte sequences of length
+ORDER.
 
 Null and empty texts are scored as the end token alone; without any training
 text all probabilities come from the base measure.
@@ -35,15 +42,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm import shared
-from shelfspark.llm.words import mix, small_batches, span_hashes, texts
+from shelfspark.llm.words import Texts, mix, small_batches, span_hashes, texts
 from shelfspark.session import scratch_path, written
 
 ORDER = 5
 DISCOUNT, STRENGTH = 0.75, 1.0
 BURN_IN, SAMPLES = 2, 3
+PAIR_SWEEPS = 2
 FREQUENT = 1_000_000
 _SHARDS = 16
 _BEFORE, _AFTER = 0x20, 0x0A  # bytes that no word holds: before its first, after its last
+_END = int(span_hashes(np.array([_AFTER], np.uint8), np.zeros(1, np.int64), np.ones(1, np.int64)).view(np.int64)[0])
 
 
 def seat(customers: np.ndarray, fresh: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -204,13 +213,178 @@ def _spelling_file(samples: DataFrame, top: np.ndarray) -> bytes:
 @dataclass
 class Model:
     spelling: str  # place of the lookup arrays
-    vocabulary: DataFrame  # hash, c, p (log10 of the spelling's weight), tables (averaged)
+    vocabulary: DataFrame  # hash, c, p1, room, logs of words and end token, see _seat_words
+    pairs: DataFrame  # context, word, c, tables (averaged)
     frequent: list[str]  # places of the frequent words' arrays
     at_least: int  # count from which a word is frequent
+    frequent_pairs: list[str]  # places of the frequent pairs' gains
+    pairs_at_least: int
     tokens: int  # N
     kinds: int  # V
     ends: int  # training texts
-    tables: float
+    unseen: float  # log10 of the weight of an unseen word's spelling
+    end: float  # log10 of the end token's probability without its context, and of the start's weight of its parent
+
+
+def pair_keys(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(mix(context.view(np.uint64)) + word.view(np.uint64)).view(np.int64)
+
+
+def sequence(x: Texts, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, context, word) of all tokens, the end tokens too; ``hashes`` are the words'."""
+    n = len(x)
+    row = x.words_of()
+    size = np.diff(x.row_word) + 1
+    word = np.full(len(hashes) + n, _END, np.int64)
+    word[np.arange(len(hashes)) + row] = hashes
+    context = np.empty_like(word)
+    context[1:], context[:1] = word[:-1], _END  # an end token comes before the next text's first
+    return np.repeat(np.arange(n), size), context, word
+
+
+def pair_counts(docs: DataFrame, text: str) -> DataFrame:
+    """(context, word, c) over all texts."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in texts(batch.column(0), lower=True):
+                _, context, word = sequence(t, t.hashes().view(np.int64))
+                _, where, n = np.unique(pair_keys(context, word), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(context[where]), pa.array(word[where]), pa.array(n.astype(np.int64))],
+                                                 names=["context", "word", "n"])
+
+    rows = docs.select(F.col(text).cast("string")).mapInArrow(task, "context long, word long, n long")
+    return rows.groupBy("context", "word").agg(F.sum("n").alias("c"))
+
+
+def _at_least(df: DataFrame, limit: int) -> int:
+    """The lowest count from which at most ``limit`` rows are, by counts in steps of an eighth of a power of two."""
+    bins = sorted(((r["bin"], r["n"]) for r in df.groupBy(F.floor(F.log2("c") * 8).cast("int").alias("bin")).agg(
+        F.count("*").alias("n")).collect()), reverse=True)
+    at_least, held = 1 << 62, 0
+    for b, n in bins:
+        if held + n > limit:
+            break
+        held, at_least = held + n, int(np.ceil(2 ** (b / 8) - 1e-9))
+    return at_least
+
+
+def _files(df: DataFrame, key: str, folder: str, name: str) -> list[str]:
+    """Writes the columns of ``df`` as arrays sorted by ``key``; returns their places."""
+    columns = df.columns
+
+    def pack(table: pa.Table) -> pa.Table:
+        out = io.BytesIO()
+        order = np.argsort(table.column(key).to_numpy())
+        np.savez(out, **{c: table.column(c).to_numpy()[order] for c in columns})
+        return pa.table({"path": [shared.put(folder, f"{name}.npz", out.getvalue())]})
+
+    shards = df.withColumn("shard", F.pmod(key, F.lit(_SHARDS))).groupBy("shard").applyInArrow(pack, "path string")
+    return [r["path"] for r in written(shards, f"{name}-files").collect()]
+
+
+def _arrays(places: list[str], key: str, *columns: str) -> list[np.ndarray]:
+    """The key, sorted, and the columns of all files; a single zero row without files, whose key is never looked for."""
+    parts = []
+    for place in places:
+        with np.load(io.BytesIO(shared.get(place))) as z:
+            parts.append([z[c] for c in (key, *columns)])
+    if not parts:
+        return [np.zeros(0, np.int64), *[np.zeros(1)] * len(columns)]
+    out = [np.concatenate(x) for x in zip(*parts)]
+    order = np.argsort(out[0])
+    return [x[order] for x in out]
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each wanted key, and whether it is there."""
+    at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+    return at, keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
+
+
+def _seat_words(weighed: DataFrame, single: DataFrame, more: DataFrame | None, name: str) -> tuple[DataFrame, float, float]:
+    """The words' own restaurant, given the pairs' tables: ``weighed`` with p1 (the
+    probability without a context), room (the weight of the parent in the word's
+    restaurant as a context) and logs (log10 of p1, plus log10 of the parent's
+    share in that restaurant); and this restaurant's averaged tables and customers."""
+    sums = lambda by, out: more.groupBy(F.col(by).alias("hash")).agg(
+        *[F.sum(f"t{s}").alias(f"{out}{s}") for s in range(SAMPLES)])
+    seated = weighed.join(single, "hash", "left")
+    if more is not None:
+        seated = seated.join(sums("word", "k"), "hash", "left").join(sums("context", "r"), "hash", "left")
+    own = lambda c: F.coalesce(F.col(c) if c in seated.columns else F.lit(None), F.lit(0)).cast("long")
+    seated = written(seated.select("hash", "c", "p", *[(own("one") + own(f"k{s}")).alias(f"k{s}") for s in range(SAMPLES)], (
+        own("ones") + sum(own(f"r{s}") for s in range(SAMPLES)) / F.lit(float(SAMPLES))).alias("held")), f"{name}-customers")
+    all_k = [float(x) for x in seated.agg(*[F.coalesce(F.sum(f"k{s}"), F.lit(0)) for s in range(SAMPLES)]).first()]
+    tables = float(seated.count())
+
+    def sit(fresh: float, sweep: int):
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                batch = batch.take(pa.array(np.argsort(batch.column(0).to_numpy())))
+                h, p = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+                k = [batch.column(3 + s).to_numpy() for s in range(SAMPLES)]
+                seed = int(mix(h.view(np.uint64)).sum() & np.uint64(0x7FFFFFFF)) + sweep  # the same after a lost task
+                rng = np.random.default_rng(seed)
+                t = sum(seat(x, fresh * 10.0 ** p, rng) for x in k) / SAMPLES
+                yield pa.RecordBatch.from_arrays([*[batch.column(j) for j in range(3)], pa.array(sum(k) / SAMPLES),
+                                                  batch.column(3 + SAMPLES), pa.array(t)],
+                                                 names=["hash", "c", "p", "k", "held", "tables"])
+        return seated.mapInArrow(task, "hash long, c long, p double, k double, held double, tables double")
+
+    for sweep in range(2):  # the second sweep's seating follows the first one's number of tables
+        out = written(sit(STRENGTH + DISCOUNT * tables, sweep), name)
+        tables = float(out.agg(F.coalesce(F.sum("tables"), F.lit(0.0))).first()[0])
+    customers = sum(all_k) / SAMPLES
+    p1 = (F.col("k") - F.lit(DISCOUNT) * F.col("tables") + F.lit(STRENGTH + DISCOUNT * tables) * F.pow(F.lit(10.0), F.col("p"))) \
+        / F.lit(STRENGTH + customers)
+    room = F.lit(STRENGTH) + F.lit(DISCOUNT) * F.col("held")
+    out = out.select("hash", "c", p1.alias("p1"), room.alias("room"))
+    return out.withColumn("logs", F.log10("p1") + F.log10(F.col("room") / (F.col("c") + F.lit(STRENGTH)))), tables, customers
+
+
+def _seat_pairs(more: DataFrame, words: DataFrame, sweep: int, name: str) -> DataFrame:
+    """The tables of the pairs seen more than once, SAMPLES times, given their words and contexts."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = pair_keys(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            order = np.argsort(keys)
+            batch = batch.take(pa.array(order))
+            rng = np.random.default_rng(int(mix(keys.view(np.uint64)).sum() & np.uint64(0x7FFFFFFF)) + sweep)
+            c, fresh = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(j) for j in range(3)], *[pa.array(seat(c, fresh, rng).astype(np.int64)) for _ in range(SAMPLES)]],
+                names=["context", "word", "c", *[f"t{s}" for s in range(SAMPLES)]])
+
+    rows = more.select("context", "word", "c").join(words.select(F.col("hash").alias("word"), "p1"), "word").join(
+        words.select(F.col("hash").alias("context"), "room"), "context")
+    return written(rows.select("context", "word", "c", (F.col("p1") * F.col("room")).alias("fresh")).mapInArrow(
+        task, "context long, word long, c long, " + ", ".join(f"t{s} long" for s in range(SAMPLES))), name)
+
+
+def _gains(pairs: DataFrame, vocabulary: DataFrame, places: list[str], at_least: int) -> DataFrame:
+    """(pair, gain): log10 of a seen pair's probability over its parent's share."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, p1, room = _arrays(places, "hash", "p1", "room")
+        for batch in batches:
+            context, word, own = (batch.column(k).to_numpy() for k in range(3))
+            a, has_a = _find(known, context)
+            b, has_b = _find(known, word)
+            share = np.where(has_a & has_b, room[a] * p1[b], np.nan)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pair_keys(context, word)), batch.column(2),
+                                              pa.array(share)], names=["context", "word", "pair", "own", "share"])
+
+    kind = "context long, word long, pair long, own double, share double"
+    rows = pairs.select("context", "word", (F.col("c") - F.lit(DISCOUNT) * F.col("tables")).alias("own")).mapInArrow(task, kind)
+    gain = F.log10(F.col("own") / F.col("share") + 1).alias("gain")
+    out = rows.where(~F.isnan("share")).select("pair", gain)
+    if at_least <= 1:  # all words are in memory
+        return out
+    rest = rows.where(F.isnan("share")).drop("share").join(vocabulary.select(F.col("hash").alias("word"), "p1"), "word").join(
+        vocabulary.select(F.col("hash").alias("context"), "room"), "context").withColumn("share", F.col("p1") * F.col("room"))
+    return out.unionByName(rest.select("pair", gain))
 
 
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
@@ -285,81 +459,73 @@ def fit(docs: DataFrame, text: str = "text", folder: str | None = None, frequent
             yield pa.RecordBatch.from_arrays([pa.array(span_hashes(raw, a, b).view(np.int64)), batch.column(1), pa.array(p)],
                                              names=["hash", "c", "p"])
 
-    weighed = written(counts.select("word", "c").mapInArrow(weigh, "hash long, c long, p double"), "word-weights")
-    tables = float(kinds)
-    for sweep in range(2):  # the second sweep's seating follows the first one's number of tables
-        fresh = STRENGTH + DISCOUNT * tables
+    one_end = 1.0 / 256  # the end token is one more word, of even weight
 
-        def sit(batches: Iterator[pa.RecordBatch], fresh: float = fresh, sweep: int = sweep) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                h, c, p = (batch.column(k).to_numpy() for k in range(3))
-                seed = int(mix(h.view(np.uint64)).sum() & np.uint64(0x7FFFFFFF)) + sweep  # the same after a lost task
-                rng = np.random.default_rng(seed)
-                t = sum(seat(c, fresh * 10.0 ** p, rng) for _ in range(SAMPLES)) / SAMPLES
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(t)],
-                                                 names=["hash", "c", "p", "tables"])
-
-        seated = weighed.mapInArrow(sit, "hash long, c long, p double, tables double")
-        if sweep == 0:
-            tables = float(seated.agg(F.coalesce(F.sum("tables"), F.lit(0.0))).first()[0])
-    vocabulary = written(seated, "vocabulary")
-    tables = float(vocabulary.agg(F.coalesce(F.sum("tables"), F.lit(0.0))).first()[0])
-    # the lowest count from which at most ``frequent`` words are, by counts in steps of an eighth of a power of two
-    bins = sorted(((r["bin"], r["n"]) for r in vocabulary.groupBy(F.floor(F.log2("c") * 8).cast("int").alias("bin")).agg(
-        F.count("*").alias("n")).collect()), reverse=True)
-    at_least, held = 1 << 62, 0
-    for b, n in bins:
-        if held + n > frequent:
-            break
-        held, at_least = held + n, int(np.ceil(2 ** (b / 8) - 1e-9))
-
-    def pack(table: pa.Table) -> pa.Table:
-        out = io.BytesIO()
-        order = np.argsort(table.column("hash").to_numpy())
-        np.savez(out, **{c: table.column(c).to_numpy()[order] for c in ("hash", "c", "p", "tables")})
-        return pa.table({"path": [shared.put(folder, "words.npz", out.getvalue())]})
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Spelling(shared.get(spelling))
+        for batch in batches:
+            raw, a, b = _flat(batch.column(0).to_pylist())
+            p = model.words(raw, a, b) + np.log10(1 - one_end)
+            yield pa.RecordBatch.from_arrays([pa.array(span_hashes(raw, a, b).view(np.int64)), batch.column(1), pa.array(p)],
+                                             names=["hash", "c", "p"])
 
-    often = vocabulary.where(F.col("c") >= at_least).withColumn("shard", F.pmod("hash", F.lit(_SHARDS)))
-    places = [r["path"] for r in written(often.groupBy("shard").applyInArrow(pack, "path string"), "word-files").collect()]
-    return Model(spelling, vocabulary, places, at_least, int(total) + ends, int(kinds) + (ends > 0), ends, tables)
+    weighed = counts.select("word", "c").mapInArrow(weigh, "hash long, c long, p double")
+    if ends:
+        weighed = weighed.unionByName(spark.createDataFrame([(_END, ends, float(np.log10(one_end)))], "hash long, c long, p double"))
+    weighed = written(weighed, "word-weights")
+    pairs = written(pair_counts(docs, text), "pair-counts")
+    once = pairs.where("c = 1")
+    single = written(once.groupBy(F.col("word").alias("hash")).agg(F.count("*").alias("one")).join(
+        once.groupBy(F.col("context").alias("hash")).agg(F.count("*").alias("ones")), "hash", "full"), "single-pairs")
+    more = pairs.where("c > 1").select("context", "word", "c", *[F.lit(1).cast("long").alias(f"t{s}") for s in range(SAMPLES)])
+    words, tables, customers = _seat_words(weighed, single, more, "words")
+    for sweep in range(PAIR_SWEEPS):
+        more = _seat_pairs(more, words, sweep, "pair-seating")
+        words, tables, customers = _seat_words(weighed, single, more, "words")
+    vocabulary = written(words, "vocabulary")
+    mean = sum(F.col(f"t{s}") for s in range(SAMPLES)) / F.lit(float(SAMPLES))
+    seated = once.select("context", "word", "c", F.lit(1.0).alias("tables")).unionByName(
+        more.select("context", "word", "c", mean.alias("tables")))
+    at_least, pairs_at_least = _at_least(vocabulary, frequent), _at_least(pairs, frequent)
+    places = _files(vocabulary.where(F.col("c") >= at_least), "hash", folder, "words")
+    gains = _files(_gains(seated.where(F.col("c") >= pairs_at_least), vocabulary, places, at_least), "pair", folder, "pairs")
+    unseen = float(np.log10((STRENGTH + DISCOUNT * tables) / (STRENGTH + customers)))
+    at_end = vocabulary.where(F.col("hash") == _END).first()
+    return Model(spelling, vocabulary, seated, places, at_least, gains, pairs_at_least, int(total) + ends, int(kinds) + (ends > 0),
+                 ends, unseen + float(np.log10(1 - one_end)), at_end["logs"] if at_end else unseen + float(np.log10(one_end)))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_tokens, n_known, base_score and score (log10 probabilities) of every text."""
     small_batches(docs.sparkSession)
-    # the end token is one more dish, seated like a word at a single table of even weight
-    all_n, kinds, ends = model.tokens, model.kinds, model.ends
+    all_n, kinds, ends, unseen, end_score = model.tokens, model.kinds, model.ends, model.unseen, model.end
     denominator = all_n + 0.5 * (kinds + 1)
-    seats = model.tables + (ends > 0)
-    back = (STRENGTH + DISCOUNT * seats) / (STRENGTH + all_n)  # weight of the spelling
-    one_end = 1.0 / 256
     end_base = float(np.log10((ends + 0.5) / denominator))
-    end_score = float(np.log10(max(ends - DISCOUNT * (ends > 0), 0) / (STRENGTH + all_n) + back * one_end))
-    places, spelling = model.frequent, model.spelling
+    places, pair_places, spelling = model.frequent, model.frequent_pairs, model.spelling
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spell = Spelling(shared.get(spelling))
-        parts = []
-        for place in places:
-            with np.load(io.BytesIO(shared.get(place))) as z:
-                parts.append([z[c] for c in ("hash", "c", "p", "tables")])
-        if parts:
-            h, c, p, t = (np.concatenate(x) for x in zip(*parts))
-            order = np.argsort(h)
-            known, c, p, t = h[order], c[order], p[order], t[order]
-            base = np.log10((c + 0.5) / denominator)
-            logs = np.log10((c - DISCOUNT * t) / (STRENGTH + all_n) + back * (1 - one_end) * 10.0 ** p)
-            del h, c, p, t, order, parts
-        else:
-            known, base, logs = np.zeros(0, np.int64), np.zeros(1), np.zeros(1)
+        known, c, logs = _arrays(places, "hash", "c", "logs")
+        base = np.log10((c + 0.5) / denominator)
+        often_pairs, gains = _arrays(pair_places, "pair", "gain")
         for batch in batches:
             for x in texts(batch.column(2), lower=True):
                 words, where, inverse = np.unique(x.hashes().view(np.int64), return_index=True, return_inverse=True)
-                at = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
-                often = known[at] == words if len(known) else np.zeros(len(words), bool)
+                at, often = _find(known, words)
                 row, place, hit = x.words_of(), at[inverse], often[inverse]
                 n = len(x)
                 sums = [np.bincount(row[hit], v, n).astype(float) for v in (base[place[hit]], logs[place[hit]])]
+                whose, context, word = sequence(x, words[inverse])
+                keys = pair_keys(context, word)
+                spot, seen = _find(often_pairs, keys)
+                sums[1] += np.bincount(whose[seen], gains[spot[seen]], n)
+                whose, keys = whose[~seen], keys[~seen]
+                order = np.lexsort((keys, whose))
+                whose, keys = whose[order], keys[order]
+                new = np.ones(len(keys), bool)
+                new[1:] = (whose[1:] != whose[:-1]) | (keys[1:] != keys[:-1])
+                head = np.flatnonzero(new)
+                held = np.searchsorted(whose[head], np.arange(n + 1)).astype(np.int32)
                 rare = np.flatnonzero(~often)
                 spelt = np.zeros(len(words))
                 if len(rare):
@@ -370,28 +536,34 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
                 bounds = np.searchsorted(who, np.arange(n + 1)).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(v)) for v in
                          (words[which], times.astype(np.int64), spelt[which])]
+                lists += [pa.ListArray.from_arrays(pa.array(held), pa.array(v)) for v in
+                          (keys[head], np.diff(head, append=len(keys)).astype(np.int32))]
                 rows = batch.slice(x.first, n)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(1), pa.array(np.diff(x.row_word).astype(np.int64) + 1),
                      pa.array(np.bincount(row[hit], minlength=n).astype(np.int64)), *map(pa.array, sums), *lists],
-                    names=["row", "id", "n_tokens", "n_often", "base", "logs", "hash", "n", "p"])
+                    names=["row", "id", "n_tokens", "n_often", "base", "logs", "hash", "n", "p", "pair", "times"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
                        F.col(text).cast("string").alias("text"))
     first = written(rows.mapInArrow(task, "row long, id long, n_tokens long, n_often long, base double, logs double, "
-                                          "hash array<long>, n array<long>, p array<double>"), "frequent-scores")
+                                          "hash array<long>, n array<long>, p array<double>, pair array<long>, times array<int>"), "frequent-scores")
     rare = first.where(F.size("hash") > 0).select("row", F.explode(F.arrays_zip("hash", "n", "p")).alias("x")) \
         .select("row", "x.hash", "x.n", "x.p")
-    known = model.vocabulary.where(F.col("c") < model.at_least).select("hash", "c", "tables")
-    c, t = F.coalesce("c", F.lit(0)), F.coalesce("tables", F.lit(0.0))
-    spelt = F.col("p") + F.lit(float(np.log10(back * (1 - one_end))))  # log10: a long word's weight is below the least double
-    own = F.when(c > 0, F.log10((c - F.lit(DISCOUNT) * t) / F.lit(STRENGTH + all_n) + F.pow(F.lit(10.0), spelt))).otherwise(spelt)
+    known = model.vocabulary.where(F.col("c") < model.at_least).select("hash", "c", "logs")
+    c = F.coalesce("c", F.lit(0))
+    own = F.coalesce("logs", F.col("p") + F.lit(unseen))  # log10: a long word's weight is below the least double
     rest = rare.join(known, "hash", "left").groupBy("row").agg(
         F.sum(F.col("n") * F.log10((c + 0.5) / F.lit(denominator))).alias("rare_base"),
         F.sum(F.col("n") * own).alias("rare_logs"),
         F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("n_rare"))
+
+    gains = _gains(model.pairs.where(F.col("c") < model.pairs_at_least), model.vocabulary, places, model.at_least)
+    pairs = first.where(F.size("pair") > 0).select("row", F.explode(F.arrays_zip("pair", "times")).alias("x"))
+    paired = pairs.select("row", "x.pair", "x.times").join(gains, "pair").groupBy("row").agg(
+        F.sum(F.col("times") * F.col("gain")).alias("pair_logs"))
     zero = lambda name: F.coalesce(name, F.lit(0))
-    return first.select("row", "id", "n_tokens", "n_often", "base", "logs").join(rest, "row", "left").select(
+    return first.select("row", "id", "n_tokens", "n_often", "base", "logs").join(rest, "row", "left").join(paired, "row", "left").select(
         "id", "n_tokens", (F.col("n_often") + zero("n_rare") + F.lit(int(ends > 0))).cast("long").alias("n_known"),
         (F.col("base") + zero("rare_base") + F.lit(end_base)).alias("base_score"),
-        (F.col("logs") + zero("rare_logs") + F.lit(end_score)).alias("score"))
+        (F.col("logs") + zero("rare_logs") + zero("pair_logs") + F.lit(end_score)).alias("score"))

@@ -266,6 +266,45 @@ def test_long_unseen_words_have_no_floor(spark, sf):
     assert got[400] - got[200] == pytest.approx(2 * (got[200] - got[100]), rel=0.05)
 
 
+def test_word_order_counts(spark):
+    rng = random.Random(2)
+    chain = {f"w{i}": [f"w{rng.randrange(30)}" for _ in range(2)] for i in range(30)}  # two words may follow each
+
+    def walk(n):
+        out = ["w0"]
+        while len(out) < n:
+            out.append(rng.choice(chain[out[-1]]))
+        return out
+
+    train = spark.createDataFrame([(i, " ".join(walk(60))) for i in range(60)], "doc_id long, text string")
+    new = walk(60)
+    some = spark.createDataFrame([(0, " ".join(new)), (1, " ".join(rng.sample(new, 60)))], "doc_id long, text string")
+    for frequent in (1000, 10):  # pairs in memory, pairs by joins
+        got = by_id(pitmanyor.score(some, pitmanyor.fit(train, frequent=frequent)), "id")
+        assert got[0].score > got[1].score + 10 and got[0].base_score == pytest.approx(got[1].base_score)
+
+
+@pytest.mark.parametrize("frequent", [1000, 3])
+def test_words_after_a_context_sum_to_one(spark, frequent):
+    train = spark.createDataFrame([(i, t) for i, t in enumerate(["a b a c", "a b b", "c a b", "b a a b c"] * 5)], "doc_id long, text string")
+    model = pitmanyor.fit(train, frequent=frequent)
+    words = {r.hash: r for r in model.vocabulary.collect()}
+    pairs = {(r.context, r.word): r for r in model.pairs.collect()}
+    new = 10 ** model.unseen  # all unseen words' share of the words' restaurant, by their spelling
+    assert len(words) == 4 and 0 < 1 - sum(w.p1 for w in words.values()) < new + 1e-9
+    for u, r in words.items():
+        assert sum(p.c for (a, _), p in pairs.items() if a == u) == r.c
+        own = sum(p.c - pitmanyor.DISCOUNT * p.tables for (a, _), p in pairs.items() if a == u)
+        assert own + r.room == pytest.approx(r.c + pitmanyor.STRENGTH)  # the rest goes to the parent
+    (t,) = texts(pa.array(["a c b b a"]), lower=True)
+    h, want = [pitmanyor._END, *t.hashes().view(np.int64).tolist(), pitmanyor._END], 0.0
+    for u, w in zip(h, h[1:]):
+        p = pairs.get((u, w))
+        want += math.log10(((p.c - pitmanyor.DISCOUNT * p.tables if p else 0) + words[u].room * words[w].p1) / (words[u].c + pitmanyor.STRENGTH))
+    (got,) = pitmanyor.score(spark.createDataFrame([(1, "a c b b a")], "doc_id long, text string"), model).collect()
+    assert got.score == pytest.approx(want, rel=1e-9)
+
+
 def test_quality(spark, sf, rows):
     got = by_id(queries.q_quality(spark, sf))
     for i, text, *_ in rows:
