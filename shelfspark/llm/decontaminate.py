@@ -2,18 +2,24 @@
 
 1. Texts become templates: words in lower case without punctuation, in which
    numbers, names (capitalised within a sentence) and units are replaced by
-   typed placeholders.
-2. Hashes of all windows of WINDOW template words of the benchmark are joined
-   with those of the documents, so a question with other numbers or names still
-   matches. Items of fewer words are matched by windows of their whole length;
-   items of fewer than MIN_WORDS words say too little and match nothing.
+   typed placeholders. A second template leaves names as words, so that a copy
+   in lower case matches too.
+2. Hashes of all windows of the benchmark's template words are joined with those
+   of the documents, so a question with other numbers or names still matches.
+   Windows have WINDOW words, those of items of up to 2 * WINDOW words have
+   fewer (at least MIN_WINDOW), so that some remain beside one changed word.
+   Items of fewer than MIN_WORDS words say too little and match nothing.
 3. Matches of one document and item that lie on one diagonal (same shift
-   between item and document) form an alignment. Its slots, the pairs of
-   placeholder values, must be consistent: a value of the item stands for one
-   value of the document throughout and the other way round. Inconsistent
-   alignments are dropped.
-4. An item is found in a document if consistent alignments cover COVERAGE of
-   the item's windows.
+   between item and document) form an alignment. Its slots are the pairs of
+   placeholder values, in lower case. A value of the item stands for the value
+   of the document that it meets most often (among equals, for itself); two
+   values of the item may stand for one of the document, but one that more
+   than MERGED values would stand for tells nothing. Windows that hold a slot
+   against this are dropped, the others stay.
+4. An item is found in a document if the windows that stay cover COVERAGE of the
+   item's words and MIN_WORDS at least, or a run of RUN words in one alignment,
+   whatever its share. A changed word in the middle of an item of 4 to 6 words
+   may leave too few words.
 
 The join is a broadcast join while the benchmark has at most BROADCAST_WINDOWS
 windows, a shuffled one beyond that; only the windows' hashes and places take
@@ -23,12 +29,14 @@ result. Null and empty texts hold and match nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.session import written
 
-WINDOW, MIN_WORDS, COVERAGE = 8, 4, 0.5
+WINDOW, MIN_WINDOW, MIN_WORDS, COVERAGE, RUN, MERGED = 8, 3, 4, 0.5, 13, 2
 BROADCAST_WINDOWS = 500_000
 #: Fixed list of unit words; they count as units next to nothing else.
 UNITS = ["mm", "cm", "km", "kg", "mg", "ml", "lb", "lbs", "oz", "ft", "inch", "inches", "mile", "miles", "meter", "meters",
@@ -40,7 +48,7 @@ _NAME, _NUM, _UNIT = "\u0001", "\u0002num", "\u0002unit"
 
 def with_words(df: DataFrame) -> DataFrame:
     """Adds ``words`` of ``text``: without punctuation, names marked by a leading \\u0001."""
-    marked = F.regexp_replace(F.coalesce("text", F.lit("")), "(?<=[\\p{Ll},] )(\\p{Lu}\\p{Ll}+)", f"{_NAME}$1")
+    marked = F.regexp_replace(F.coalesce("text", F.lit("")), "([\\p{Ll},]\\s+)(?=\\p{Lu}\\p{Ll})", f"$1{_NAME}")
     clean = F.btrim(F.regexp_replace(marked, "[^\\p{L}\\p{N}\\s\u0001]+", ""), F.lit(" \t\n\x0b\x0c\r"))
     df = df.withColumn("_clean", clean)
     return df.withColumn("words", F.when(F.col("_clean") == "", F.array().cast("array<string>"))
@@ -56,47 +64,90 @@ def is_slot(word: Column) -> Column:
     return word.startswith(_NAME) | word.rlike("[0-9]") | F.lower(word).isin(UNITS)
 
 
-def _windows(hashes: str, size: int) -> Column:
-    """Hash of each window of ``size`` template words; the size is part of it."""
-    n = F.size(hashes)
-    return F.when(n >= size, F.transform(
-        F.sequence(F.lit(0), F.greatest(n - size, F.lit(0))),
-        lambda i: F.xxhash64(F.lit(size), *[F.get(hashes, i + k) for k in range(size)]),
-    )).otherwise(F.array().cast("array<bigint>"))
+def _window(hashes: Column, at: Column, size: int) -> Column:
+    return F.xxhash64(F.lit(size), *[F.get(hashes, at + k) for k in range(size)])
+
+
+def _windows(size: int) -> Column:
+    """(at, size, hash) of each window of ``size`` words of both templates; the
+    size is part of the hash. Windows without names have one hash."""
+    n, named, plain = F.size("named"), F.col("named"), F.col("plain")
+    every = F.sequence(F.lit(0), F.greatest(n - size, F.lit(0)))
+    entry = lambda hashes: lambda i: F.struct(i.alias("at"), F.lit(size).alias("w"), _window(hashes, i, size).alias("window"))
+    near = F.transform("names_at", lambda p: F.sequence(F.greatest(p - size + 1, F.lit(0)), F.least(p, n - size)))
+    other = F.transform(F.array_distinct(F.flatten(near)), entry(plain))
+    return F.when(n >= size, F.concat(F.transform(every, entry(named)), other)).otherwise(F.array().cast(_WINDOWS))
+
+
+_WINDOWS = "array<struct<at:int,w:int,window:bigint>>"
 
 
 def _templates(df: DataFrame) -> DataFrame:
-    """Adds ``words`` and ``hashes`` of the template words to (.., text)."""
-    return with_words(df).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(canonical(w))))
+    """Adds ``words`` of (.., text), the hashes of both templates' words and the places of names."""
+    df = with_words(df).withColumn("named", F.transform("words", lambda w: F.xxhash64(canonical(w))))
+    df = df.withColumn("plain", F.zip_with("words", "named", lambda w, h: F.when(
+        w.startswith(_NAME), F.xxhash64(canonical(F.translate(w, _NAME, "")))).otherwise(h)))
+    return df.withColumn("names_at", F.filter(F.transform("words", lambda w, i: F.when(w.startswith(_NAME), i)), lambda i: i.isNotNull()))
+
+
+def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def _against(slots: Column) -> Column:
+    """Places of the slots that the alignment's majority contradicts."""
+    pair = lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc"))
+    counted = F.transform(F.array_distinct(F.transform(slots, pair)), lambda p: F.struct(
+        p["item"].alias("item"), F.size(F.filter(slots, lambda s: (s["item"] == p["item"]) & (s["doc"] == p["doc"]))).alias("n"),
+        (p["item"] == p["doc"]).alias("same"), p["doc"].alias("doc")))
+    rank = lambda p: F.struct(p["n"], p["same"], p["doc"])
+    best = lambda c: F.filter(c, lambda p: ~F.exists(c, lambda q: (q["item"] == p["item"]) & (rank(q) > rank(p))))
+    good = lambda b: F.transform(F.filter(b, lambda p: p["same"] | (
+        F.size(F.filter(b, lambda q: q["doc"] == p["doc"])) <= MERGED)), pair)
+    out = lambda g: F.transform(F.filter(slots, lambda s: ~F.array_contains(g, pair(s))), lambda s: s["at"])
+    return _bound(counted, lambda c: _bound(best(c), lambda b: _bound(good(b), out)))
+
+
+def _longest_run(places: Column) -> Column:
+    """The most consecutive numbers in a sorted array."""
+    zero = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("n"), F.lit(0).alias("top"))
+
+    def step(acc, j):
+        n = F.when(j == acc["last"] + 1, acc["n"] + 1).otherwise(1)
+        return F.struct(j.alias("last"), n.alias("n"), F.greatest(acc["top"], n).alias("top"))
+
+    return F.aggregate(places, zero, step, lambda a: a["top"])
 
 
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id",
          item_text: str = "text", window: int = WINDOW, coverage: float = COVERAGE,
-         broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+         broadcast_windows: int = BROADCAST_WINDOWS, run: int = RUN) -> DataFrame:
     """One row per document (id and text) and item found in it: ``key`` (hash of
-    id and text), id, item, n_windows, item_windows, n_slots, n_changed (slots
-    of another value) and whether that makes it a re-parameterised copy."""
+    id and text), id, item, n_windows, item_windows, n_words (the item's words
+    that they cover), item_words, n_slots, n_changed (slots of another value)
+    and whether that makes it a re-parameterised copy."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("text")).dropDuplicates()
     items = _templates(items).withColumn("item_key", F.xxhash64("item", "text")).where(F.size("words") >= MIN_WORDS)
-    items = written(items.withColumn("w", F.least(F.size("words"), F.lit(window))).select(
-        "item", "item_key", "words", "hashes", "w"), "benchmark-templates")
-    sizes = sorted(r["w"] for r in items.select("w").distinct().collect())  # WINDOW - MIN_WORDS + 1 values at most
+    n = F.size("words")
+    own_size = F.least(F.lit(window), F.greatest(F.lit(min(MIN_WINDOW, window)), F.floor((n - 1) / 2).cast("int")))
+    items = written(items.withColumn("w", own_size).select("item", "item_key", "words", "named", "plain", "names_at", "w"),
+                    "benchmark-templates")
+    sizes = sorted(r["w"] for r in items.select("w").distinct().collect())  # WINDOW - MIN_WINDOW + 1 values at most
     if not sizes:
         sizes = [window]
-    own = F.when(F.col("w") == sizes[0], _windows("hashes", sizes[0]))
+    own = F.when(F.col("w") == sizes[0], _windows(sizes[0]))
     for size in sizes[1:]:
-        own = own.when(F.col("w") == size, _windows("hashes", size))
-    probes = written(items.select("item", "item_key", "w", F.posexplode(own).alias("item_at", "window")), "benchmark-windows")
-    item_sizes = probes.groupBy("item_key").agg(F.count("*").alias("item_windows"))
+        own = own.when(F.col("w") == size, _windows(size))
+    probes = written(items.select("item", "item_key", F.explode(own).alias("x")).select(
+        "item", "item_key", "x.w", F.col("x.at").alias("item_at"), "x.window"), "benchmark-windows")
+    item_sizes = items.select("item_key", (n - F.col("w") + 1).cast("long").alias("item_windows"), n.cast("long").alias("item_words"))
     few = probes.count() <= broadcast_windows
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text")).where(F.col("text").isNotNull())
     rows = rows.withColumn("key", F.xxhash64("id", "text"))
-    hashed = _templates(rows).select("key", "hashes")
-    exploded = None
-    for size in sizes:
-        one = hashed.select("key", F.posexplode(_windows("hashes", size)).alias("at", "window"))
-        exploded = one if exploded is None else exploded.unionByName(one)
+    hashed = _templates(rows).select("key", "named", "plain", "names_at")
+    exploded = hashed.select("key", F.explode(F.concat(*[_windows(size) for size in sizes])).alias("x")).select("key", "x.at", "x.window")
     right = F.broadcast(probes) if few else probes
     hits = exploded.join(right, "window")
     aligned = written(hits.groupBy("key", "item_key", (F.col("at") - F.col("item_at")).alias("shift")).agg(
@@ -108,22 +159,30 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: st
     held = rows.join(wanted, "key", "left_semi").dropDuplicates(["key"])
     held = written(with_words(held).select("key", "id", F.col("words").alias("doc_words")), "matched-documents")
     both = aligned.join(held, "key").join(items.select("item", "item_key", "words"), "item_key")
-    covered = F.array_distinct(F.flatten(F.transform("found", lambda p: F.sequence(p, p + F.col("w") - 1))))
-    plain = lambda w: F.translate(w, _NAME, "")
-    both = both.withColumn("covered", covered)
-    slots = F.transform(F.filter("covered", lambda j: is_slot(F.get("words", j))), lambda j: F.struct(
-        plain(F.get("words", j)).alias("item"), plain(F.get("doc_words", j + F.col("shift").cast("int"))).alias("doc")))
-    both = both.withColumn("slots", slots)
-    distinct = lambda field: F.size(F.array_distinct(F.transform("slots", lambda s: s[field])))
-    pairs = F.size(F.array_distinct("slots"))
-    both = both.withColumn("consistent", (pairs == distinct("item")) & (pairs == distinct("doc")))
-    out = both.where("consistent").groupBy("key", "item_key").agg(
+    def covered(found: str) -> Column:
+        return F.array_sort(F.array_distinct(F.flatten(F.transform(found, lambda p: F.sequence(p, p + F.col("w") - 1)))))
+
+    value = lambda w: F.lower(F.translate(w, _NAME, ""))
+    slots = F.transform(F.filter(covered("found"), lambda j: is_slot(F.get("words", j))), lambda j: F.struct(
+        j.alias("at"), value(F.get("words", j)).alias("item"),
+        value(F.get("doc_words", j + F.col("shift").cast("int"))).alias("doc")))
+    both = written(both.select("key", "id", "item", "item_key", "w", "found", slots.alias("slots")), "alignment-slots")
+    kept = _bound(_against(F.col("slots")), lambda against: F.filter("found", lambda p: ~F.exists(
+        against, lambda j: (j >= p) & (j < p + F.col("w")))))
+    both = written(both.withColumn("found", kept), "kept-windows").where(F.size("found") > 0)
+    both = both.select("key", "id", "item", "item_key", "found", covered("found").alias("covered"), F.filter(
+        "slots", lambda s: F.exists("found", lambda p: (s["at"] >= p) & (s["at"] < p + F.col("w")))).alias("slots"))
+    out = both.groupBy("key", "item_key").agg(
         F.first("id").alias("id"), F.first("item").alias("item"),
         F.size(F.array_distinct(F.flatten(F.collect_list("found")))).cast("long").alias("n_windows"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).cast("long").alias("n_words"),
+        F.max(_longest_run(F.col("covered"))).alias("run"),
         F.sum(F.size("slots")).cast("long").alias("n_slots"),
         F.sum(F.size(F.filter("slots", lambda s: s["item"] != s["doc"]))).cast("long").alias("n_changed"))
-    return out.join(item_sizes, "item_key").where(F.col("n_windows") >= F.lit(coverage) * F.col("item_windows")).select(
-        "key", "id", "item", "n_windows", "item_windows", "n_slots", "n_changed", (F.col("n_changed") > 0).alias("reparameterised"))
+    enough = (F.col("n_words") >= F.lit(coverage) * F.col("item_words")) & (F.col("n_words") >= MIN_WORDS)
+    return out.join(item_sizes, "item_key").where(enough | (F.col("run") >= run)).select(
+        "key", "id", "item", "n_windows", "item_windows", "n_words", "item_words", "n_slots", "n_changed",
+        (F.col("n_changed") > 0).alias("reparameterised"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:

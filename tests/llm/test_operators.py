@@ -345,6 +345,38 @@ def test_decontamination(spark, sf):
     assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == [3, 5, 6, 7, 8]
 
 
+def leaks(spark, items, docs):
+    schema = "item_id long, text string"
+    found = decontaminate.find(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"),
+                               spark.createDataFrame(list(enumerate(items)), schema))
+    return {(r.item, r.id) for r in found.collect()}
+
+
+def test_near_copies_and_quotations_of_items(spark):
+    items = [" ".join(f"i{n}{chr(97 + j // 26)}{chr(97 + j % 26)}".translate(str.maketrans("0123456789", "klmnopqrst")) for j in range(n))
+             for n in (7, 8, 9, 12, 14, 15, 18, 22, 59)]
+    docs, want = [], set()
+    for i, item in enumerate(items):
+        w = item.split()
+        m = len(w) // 2
+        for copy in ([*w[:m], "other", *w[m + 1:]], [*w[:m], "more", *w[m:]], [*w[:m], *w[m + 1:]]):
+            want.add((i, len(docs)))
+            docs.append("so it is " + " ".join(copy) + " and then on")
+    want.add((8, len(docs)))
+    docs.append("he said " + " ".join(items[8].split()[20:45]) + " to all of them")  # 25 of 59 words
+    docs += ["he said " + " ".join(items[8].split()[20:32]) + " to all", "it has " + " ".join(items[3].split()[3:8]) + " in it"]
+    assert leaks(spark, items, docs) == want
+
+
+def test_slots_of_near_verbatim_copies(spark):
+    item = "there are 3 red and 5 blue balls in a box that holds 5 km of rope and Tom takes one of them"
+    docs = [item.replace("3", "4").replace("5", "4"),  # two values become one
+            item.replace("holds 5", "holds 7"),  # one of two occurrences changed
+            item.replace("km", "KM"), item.lower(), item.replace(" and Tom", " and\n  Tom"), item.replace("Tom", "Ann"),
+            "there are many red and few blue balls in boxes"]
+    assert leaks(spark, [item], docs) == {(0, k) for k in range(6)}
+
+
 def test_toxicity_learns_and_scores_whole_texts():
     rng = random.Random(1)
     vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(300)]
