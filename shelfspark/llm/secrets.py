@@ -5,8 +5,10 @@
    code points, from the lengths of what lies between the matches.
 2. The hash of each candidate's value is counted over the corpus by distinct
    repositories and distinct owners, with map-side partial aggregation.
-3. A value held by one owner is live-looking, a value that several owners hold
-   is a copied example. Base spans always stay and get their class; generic
+3. A value held by one owner in at most LIVE_REPOS of its repositories and at most
+   LIVE_FOUND times is live-looking; one that several owners or more
+   repositories hold, or that occurs more often, is a copied example. Base
+   spans always stay and get their class; generic
    spans are added where their value is live-looking and no base span covers
    them.
 
@@ -33,7 +35,9 @@ HEX = "[0-9a-f]{32,}"
 GENERIC = "[A-Za-z0-9+/_-]{24,}"
 MIN_ASSIGN = 8
 #: From so many distinct owners on, a value is a copied example.
-EXAMPLE_OWNERS = 3
+EXAMPLE_OWNERS = 2
+#: Within one owner, a live value is in at most so many distinct repositories, and found at most so often.
+LIVE_REPOS, LIVE_FOUND = 2, 10
 
 KINDS = ("assign", "access", "hex", "generic")
 _EMPTY = "array<struct<start:bigint,end:bigint,kind:int,value:string>>"
@@ -91,7 +95,8 @@ def ownership(spans: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", repo: Column | None = None,
-         owner: Column | None = None, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+         owner: Column | None = None, example_owners: int = EXAMPLE_OWNERS,
+         live_repos: int = LIVE_REPOS, live_found: int = LIVE_FOUND) -> DataFrame:
     """``id_col`` and ``found``: array of (start, end, kind, value hash,
     n_repos, n_owners, live), by start, then kind. Every document has a row."""
     repo = F.lit("") if repo is None else repo
@@ -104,8 +109,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", repo: Colu
              .select("_row", "_repo", "_owner", "s.start", "s.end", "s.kind",
                      F.sha2("s.value", 256).alias("hash")))
     labelled = spans.join(ownership(spans), "hash")
-    entry = F.struct("start", "end", "kind", "hash", "n_repos", "n_owners",
-                     (F.col("n_owners") < example_owners).alias("live"))
+    live = (F.col("n_owners") < example_owners) & (F.col("n_repos") <= live_repos) & (F.col("n_found") <= live_found)
+    entry = F.struct("start", "end", "kind", "hash", "n_repos", "n_owners", live.alias("live"))
     per_doc = labelled.groupBy("_row").agg(F.sort_array(F.collect_list(entry)).alias("all"))
     inside = lambda x, b: (b["start"] < x["end"]) & (x["start"] < b["end"])
     based = F.filter("all", lambda x: x["kind"] < 3)

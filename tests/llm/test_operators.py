@@ -113,6 +113,17 @@ def test_secret_ownership(spark):
     assert all(not got[i].found for i in range(4)) and len(got[9].found) == 1 and not got[10].found
 
 
+def test_secret_copied_within_few_owners(spark):
+    many, two, own, wide = ("Zx9Kq2Lm8Rt4Vw7Yb3Nc6Hd1", "Ab3Kq2Lm8Rt4Vw7Yb3Nc6Hd2", "Cd5Kq2Lm8Rt4Vw7Yb3Nc6Hd3", "Ef7Kq2Lm8Rt4Vw7Yb3Nc6Hd4")
+    some = [*[(many, "r", "o1")] * 50, (two, "r1", "o1"), (two, "r2", "o2"), (own, "r1", "o1"), (own, "r2", "o1"),
+            (wide, "r1", "o1"), (wide, "r2", "o1"), (wide, "r3", "o1")]
+    docs = spark.createDataFrame([(i, f"use {v} now", r, o) for i, (v, r, o) in enumerate(some)], "doc_id long, text string, repo string, owner string")
+    got = by_id(secrets.scan(docs, repo=F.col("repo"), owner=F.col("owner")))
+    assert {i for i in got if got[i].found} == {i for i, (v, *_) in enumerate(some) if v == own}
+    loose = by_id(secrets.scan(docs, repo=F.col("repo"), owner=F.col("owner"), example_owners=3, live_repos=9, live_found=99))
+    assert all(r.found for r in loose.values())
+
+
 def brute_pii(t):
     out = [(m.start(), m.end(), 0) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(m.start(), m.end(), 1) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
