@@ -3,7 +3,7 @@
 Patterns find four base kinds in whole texts. The CRF labels words by the
 shapes of themselves and their neighbours; it is trained with exact gradients
 (forward-backward) on the small labelled table EXAMPLES, and decoded by Viterbi
-over batches of padded segments. A word without a digit, "@" or "+" is labelled
+over batches of padded segments. A word without a digit, "@" or "+" that is no "dot" is labelled
 only within REACH words of one that has any: everywhere else the outside label
 is fixed, so segments cover all words that can carry a label. Spans that the
 CRF finds and that touch no base span are added under names of their own
@@ -122,8 +122,10 @@ v1.2.3-beta build 20240101 on x86_64
 """
 LABELS = ("O", "B-email", "I-email", "B-phone", "I-phone", "B-id", "I-id")
 _WORD = re.compile(r"[^\x20\x09-\x0d]+")
+_WHITE = re.compile(r"[\x20\x09-\x0d]+")
 _ENDS = ".,;:!?\"'`#*$%&|<>{}"
-_TRIGGER = re.compile(r"[0-9@+]")
+#: A word that may be part of a span: in whole texts and in single words alike.
+_TRIGGER = re.compile(r"[0-9@+]|(?<![^\x20\x09-\x0d])(?:dot|\(dot\)|\[dot\])(?![^\x20\x09-\x0d])", re.I)
 FEATURES = 1 << 12
 _CUES = frozenset("at dot call phone tel tel. fax text ring reach mail write contact ssn iban passport tax id number security "
                   "(at) [at] (dot) [dot] al".split())
@@ -293,15 +295,14 @@ def train(table: str = EXAMPLES) -> Crf:
 def segments_of(text: str) -> list[list[tuple[int, int]]]:
     """Bounds of the words that may carry a label: those within REACH words of a trigger, in runs."""
     if not _TRIGGER.search(text):
-        if not (" at " in text and " dot " in text):
-            return []
+        return []
     out: list[list[tuple[int, int]]] = []
     recent: list[tuple[int, int]] = []  # words that no segment has yet, REACH at most
     left = 0
     for m in _WORD.finditer(text):
         w = m.span()
         word = m[0]
-        if _TRIGGER.search(word) or word == "dot" or word in ("(dot)", "[dot]"):
+        if _TRIGGER.search(word):
             if left or (out and not recent):
                 out[-1].append(w)
             else:
@@ -336,10 +337,10 @@ def crf_spans(crf: Crf, texts: list[str]) -> list[list[tuple[int, int, int]]]:
                 e += 1
             a = seg[k][0] + core(texts[i][seg[k][0]:seg[k][1]])[0]
             b = seg[e - 1][0] + core(texts[i][seg[e - 1][0]:seg[e - 1][1]])[1]
-            found = texts[i][a:b]
+            found = _WHITE.sub(" ", texts[i][a:b])
             n = sum(c.isdigit() for c in found)
-            if name[2:] == "email" and " dot" in found.replace("(", " ").replace("[", " ") or \
-                    name[2:] == "phone" and 7 <= n <= 15 or name[2:] == "id" and 7 <= n <= 30:
+            if name[2:] == "email" and " dot" in found.lower().replace("(", " ").replace("[", " ") or \
+                    name[2:] == "phone" and 7 <= n <= 15 or name[2:] == "id" and 6 <= n <= 30:
                 out[i].append((a, b, kinds[name[2:]]))
             k = e
     return out

@@ -156,6 +156,19 @@ def test_crf_learns_its_table():
     assert all((a == b).all() for a, b in zip(crf.decode(words), gold))
 
 
+def test_examples_are_found_alone(spark):
+    table = pii.EXAMPLES.splitlines()
+    marked = re.compile(r"\{(email|phone|id) ([^}]*)\}")
+    docs = [(i, marked.sub(r"\2", x)) for i, x in enumerate(table)]
+    got = by_id(pii.find(spark.createDataFrame(docs, "doc_id long, text string")))
+    for i, t in docs:
+        own = [(t[s.start:s.end], pii.KINDS[s.kind]) for s in got[i].found if s.kind > 3]
+        assert own == [(m[2].rstrip("."), f"crf_{m[1]}") for m in marked.finditer(table[i])], t
+    more = ["contact info [at] example [dot] net for help".replace("[dot]", "[Dot]"), "contact info [at] example\n[dot]\nnet for help"]
+    got = by_id(pii.find(spark.createDataFrame(list(enumerate(more)), "doc_id long, text string")))
+    assert all([s.kind for s in got[i].found] == [4] for i in range(len(more)))
+
+
 def test_lines(spark, sf, rows):
     key = lambda x: x.strip(" \t\n\x0b\x0c\r").encode().lower()
     held = defaultdict(set)
