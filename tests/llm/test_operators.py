@@ -485,3 +485,39 @@ def test_pipeline(spark, sf, rows):
     assert not any("Shared Line" in (t or "") for t in dropped.values())
     out = corpus_pipeline.run(spark, sf)
     assert set(out.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
+
+
+def test_pipeline_against_a_plain_version(spark, sf, rows, tmp_path):
+    import corpus_pipeline
+    import public_tokenizers as P
+    import tiktoken
+    leaks_ = ["so it goes. Tom has 3 big apples and Tom sells 2 big apples for 5 dollars a day, they said",
+              "so it goes. Tom has 7 big apples and Tom sells 4 big apples for 9 dollars a day, they said"]
+    rows = [*rows, *[(1000 + k, t, "en", "s0", len(t)) for k, t in enumerate(leaks_)]]
+    d = str(tmp_path)
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{d}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{d}/{name}.parquet")
+    net = toxicity.fit(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet").where(~queries.held_out("doc_id", 0)))
+    (t,) = texts(pa.array([r[1] for r in rows]), lower=True)
+    row, s = toxicity.window_scores(net, t.data, t.starts, t.ends, t.row_word)
+    worst = np.full(len(t), -np.inf)
+    np.maximum.at(worst, row, s)
+    left = {r[0]: r[1] or "" for r, w in zip(rows, worst) if w < 0}
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").encode().lower()
+    held = Counter(k for x in left.values() for k in {key(y) for y in x.split("\n")})
+    short = {i: "\n".join(y for y in x.split("\n") if not key(y) or held[key(y)] < 10) for i, x in left.items()}
+    left = {i: x for i, x in short.items() if x or not left[i]}
+    ids = list(left)
+    group = dict(zip(ids, brute_components([left[i] for i in ids], 5)[0]))
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert {1000, 1001} <= set(ids)  # so decontamination has something to drop
+    got = by_id(corpus_pipeline.run(spark, d))
+    assert set(got) <= set(ids) and not {1000, 1001} & set(got)
+    want = {group[i] for i in ids if i < 1000}  # one of each group, whichever row comes first
+    assert sorted(group[i] for i in got) == sorted(want)
+    for i, r in got.items():
+        own = enc.encode_ordinary(left[i])
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(own), sha(struct.pack(f"<{len(own)}I", *own)), sha(left[i])), i
