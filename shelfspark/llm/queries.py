@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, decontaminate, lines, neardup, pii, pitmanyor, quality, secrets, tokens, toxicity
+from shelfspark.llm import bpe, decontaminate, lines, neardup, pii, pitmanyor, quality, repeats, secrets, tokens, toxicity
 from shelfspark.llm.words import held_out
 
 
@@ -116,6 +116,11 @@ def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality.COUNTERS, "base_failed", "kept")
 
 
+def q_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": q_tokens,
     "op2_secret_scan": q_secrets,
@@ -127,4 +132,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_crf": q_pii,
     "op9_pitman_yor_scores": q_language_model,
     "op10_quality_rules": q_quality,
+    "op12_suffix_array_dedup": q_repeats,
 }
