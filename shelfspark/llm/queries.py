@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, decontaminate, lines, neardup, pii, pitmanyor, quality, repeats, secrets, tokens, toxicity
+from shelfspark.llm import bpe, decontaminate, lines, neardup, pii, pitmanyor, quality, repeats, search, secrets, tokens, toxicity
 from shelfspark.llm.words import held_out
 
 
@@ -116,6 +116,12 @@ def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *quality.COUNTERS, "base_failed", "kept")
 
 
+def q_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = search.index(_table(spark, sf_dir, "documents"))
+    out = search.search(table, search.item_terms(_table(spark, sf_dir, "benchmark")))
+    return out.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 def q_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.remove(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -132,5 +138,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii_crf": q_pii,
     "op9_pitman_yor_scores": q_language_model,
     "op10_quality_rules": q_quality,
+    "op11_max_sketch_search": q_search,
     "op12_suffix_array_dedup": q_repeats,
 }
