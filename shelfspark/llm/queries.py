@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import bpe, decontaminate, lines, neardup, pii, pitmanyor, quality, repeats, search, secrets, tokens, toxicity
+from shelfspark.llm import bpe, decontaminate, lines, neardup, pii, pitmanyor, quality, repeats, search, secrets, tokens, toxicity, variants
 from shelfspark.llm.words import held_out
 
 
@@ -127,6 +127,10 @@ def q_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def q_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(variants.words(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": q_tokens,
     "op2_secret_scan": q_secrets,
@@ -140,4 +144,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": q_quality,
     "op11_max_sketch_search": q_search,
     "op12_suffix_array_dedup": q_repeats,
+    "op13_spelling_variants": q_variants,
 }
