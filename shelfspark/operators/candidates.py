@@ -2,31 +2,30 @@
 DED5, FLT7, AGG10, TOP3-TOP4, WIN3).
 
 The source functions (``user_history`` ... ``location``) return each
-source as defined: with ``group_cut=None`` every pair (the registered
-``cand_*`` queries). The final table keeps the ``limit`` lowest
-ProductIDs per user, which allows two exact reductions:
+source as defined: with ``group_cut=None`` every pair. Four of them fan
+out from groups; ``group_classes`` gives the same pairs as class rows with
+link counts (linear in users), for jobs that need the source itself.
+
+The final table keeps the ``limit`` lowest ProductIDs per user, which
+allows two exact reductions:
 
 1. Per-group cut. Any product in a user's final list is among the
-   ``limit`` lowest of every group (category, brand, age group, location)
-   that proposes it, because the group is a subset of the user's union.
-   So a group never needs more than its ``limit`` lowest ids.
-2. Adaptive per-user threshold (``adaptive_candidates``, the default
-   path). Round 1 takes from each of a user's groups only the ids below a
-   per-user threshold estimated from group densities; a per-user check
-   proves round 1 exact, and only users failing it are recomputed with
-   the full per-group cut. Intermediate rows drop from users x groups x
-   limit to about a few x limit per user.
+   ``limit`` lowest of every group (category, brand, age group, location,
+   partners of a bought product) that proposes it, because the group is a
+   subset of the user's union. So each group is one sorted list of ids.
+2. Adaptive per-user threshold. Round 1 takes from each of a user's lists
+   only the ids below a per-user threshold estimated from list densities;
+   a per-user check proves round 1 exact, and only users failing it are
+   merged again with whole lists. Lists are merged with array functions;
+   a pair becomes a row only when it is known to be kept.
 
 Top-50 lists (trending, discount) are attached to every active user as a
 scalar subquery (one aggregate row holding at most 50 ids, a proven
 bound) and exploded per user: no cross join and no shuffle of users.
 
-Per-user cuts use ``dense_rank() <= limit`` over ProductID: a
-WindowGroupLimit runs before the shuffle too, so a hot user ships at most
-``limit`` distinct ids per map task. Provenance is one aggregate per
-(user, product); the surviving source of a pair is the lowest-numbered
-one (the reference keeps an arbitrary one) and ``candidate_sources``
-lists every source proposing it.
+Provenance is a bit mask per (user, product); the surviving source of a
+pair is the lowest-numbered one (the reference keeps an arbitrary one) and
+``candidate_sources`` lists every source proposing it.
 """
 
 from __future__ import annotations
@@ -147,61 +146,54 @@ def location(location_pop: DataFrame, customers_age: DataFrame, active: DataFram
 
 
 def candidate_provenance(union: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """CND9 core: cut the union to the ``limit`` lowest distinct ProductIDs per
-    user (all copies kept), then one row per pair with its sources.
+    """CND9 as defined: cut the union of tagged sources to the ``limit`` lowest
+    distinct ProductIDs per user (all copies kept), then one row per pair with
+    its sources. Columns as in ``candidates_with_sources``."""
+    return _sources_of(_cut_per_user(union, limit)
+                       .withColumn("_bit", _bit())
+                       .groupBy("CustomerID", "ProductID").agg(F.bit_or("_bit").alias("_mask")))
 
-    Columns: CustomerID, ProductID, candidate_source (lowest-numbered),
-    num_sources, candidate_sources (sorted array).
-    """
-    return _provenance(_cut_per_user(union, limit))
 
+# ---- merge of sorted id lists, with an adaptive per-user cut ----------------
+def _bit():
+    """The bit of ``candidate_source`` in a mask."""
+    return F.coalesce(*[F.when(F.col("candidate_source") == s, F.lit(1 << k)) for k, s in enumerate(SOURCES)])
 
-def all_sources(gold: dict, limit: int | None = DEFAULT_LIMIT,
-                top_list: int = DEFAULT_TOP_LIST) -> DataFrame:
-    """SET1: UNION ALL of the eight tagged sources, groups cut to ``limit``.
 
-    ``gold`` holds DataFrames: interactions, preferences, features,
-    enriched, fbt, customers_age, agegroup_popular, trending, location_pop.
-    """
-    active = active_users(gold["interactions"])
-    frames = [
-        user_history(gold["interactions"]),
-        # Category preferences come from purchases, so every such user is active.
-        same_category(gold["preferences"], gold["features"], None, limit),
-        brand_affinity(gold["enriched"], gold["features"], active, limit),
-        bought_together(gold["interactions"], gold["fbt"]),
-        age_group(gold["customers_age"], gold["agegroup_popular"], active, limit),
-        trending(active, gold["trending"], top_list),
-        discount(active, gold["features"], top_list),
-        location(gold["location_pop"], gold["customers_age"], active, limit),
-    ]
-    return union_all(frames)
-
-
-# ---- adaptive per-user cut ------------------------------------------------
-def _memberships(gold: dict, active: DataFrame) -> DataFrame:
-    """(CustomerID, candidate_source, grp) for the four group-fan-out sources."""
-    def m(users: DataFrame, col: str, source: str) -> DataFrame:
-        return users.select("CustomerID", F.lit(source).alias("candidate_source"),
-                            F.col(col).cast("string").alias("grp")).where(F.col("grp").isNotNull())
-    return union_all([
-        m(_restrict(gold["preferences"].select("CustomerID", "Category"), None), "Category", "same_category"),
-        m(_restrict(gold["enriched"].select("CustomerID", "Brand").distinct(), active), "Brand", "brand_affinity"),
-        m(_restrict(gold["customers_age"].select("CustomerID", "AgeGroup"), active), "AgeGroup", "age_group"),
-        m(_restrict(gold["customers_age"].select("CustomerID", F.col("Location")), active), "Location", "location"),
-    ])
+def _sources_of(masked: DataFrame) -> DataFrame:
+    """(CustomerID, ProductID, _mask) -> the columns of a candidate pair; bit k
+    of the mask stands for ``SOURCES[k]``."""
+    bit = {s: F.col("_mask").bitwiseAND(F.lit(1 << k)) != 0 for k, s in enumerate(SOURCES)}
+    return masked.select(
+        "CustomerID", "ProductID",
+        F.coalesce(*[F.when(bit[s], F.lit(s)) for s in SOURCES]).alias("candidate_source"),
+        F.bit_count("_mask").cast("long").alias("num_sources"),
+        F.array_compact(F.array(*[F.when(bit[s], F.lit(s)) for s in sorted(SOURCES)])).alias("candidate_sources"),
+        *[c for c in masked.columns if c not in ("CustomerID", "ProductID", "_mask")])
 
 
-def _group_lists(gold: dict, limit: int) -> DataFrame:
-    """(candidate_source, grp, ids): each group's ``limit + 1`` lowest ProductIDs,
-    ascending. The per-group window limit runs before the collect, so no
-    group is ever gathered whole."""
+def _lowest(ids, limit: int):
+    """The ``limit`` lowest distinct ids of arrays of ids, ascending."""
+    return F.slice(F.sort_array(F.array_distinct(F.flatten(ids))), 1, limit)
+
+
+def _cut_per_user(union: DataFrame, limit: int) -> DataFrame:
+    """Keep the ``limit`` lowest distinct ProductIDs per user (all copies)."""
+    w = Window.partitionBy("CustomerID").orderBy(F.col("ProductID").asc())
+    return union.withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") <= limit)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    from shelfspark.session import written
+    return written(df, name)
+
+
+def group_products(gold: dict) -> DataFrame:
+    """(candidate_source, grp, ProductID): the list of every group that four of
+    the sources fan out from, each list once."""
     def g(df: DataFrame, col: str, source: str) -> DataFrame:
-        cut = top_n(df.select(F.col(col).cast("string").alias("grp"), "ProductID")
-                      .where(F.col("grp").isNotNull() & F.col("ProductID").isNotNull()),
-                    "grp", F.col("ProductID").asc(), limit + 1)
-        return (cut.groupBy("grp").agg(F.array_sort(F.collect_list("ProductID")).alias("ids"))
-                   .select(F.lit(source).alias("candidate_source"), "grp", "ids"))
+        return (df.select(F.lit(source).alias("candidate_source"), F.col(col).cast("string").alias("grp"), "ProductID")
+                  .where(F.col("grp").isNotNull() & F.col("ProductID").isNotNull()))
     return union_all([
         g(gold["features"], "Category", "same_category"),
         g(gold["features"], "Brand", "brand_affinity"),
@@ -210,111 +202,167 @@ def _group_lists(gold: dict, limit: int) -> DataFrame:
     ])
 
 
-def _ungrouped(gold: dict, active: DataFrame, top_list: int) -> DataFrame:
+def group_members(gold: dict, active: DataFrame) -> DataFrame:
+    """(CustomerID, candidate_source, grp): the groups of every active user, each once."""
+    def m(users: DataFrame, col: str, source: str) -> DataFrame:
+        return users.select("CustomerID", F.lit(source).alias("candidate_source"),
+                            F.col(col).cast("string").alias("grp")).where(F.col("grp").isNotNull())
     return union_all([
-        user_history(gold["interactions"]),
-        bought_together(gold["interactions"], gold["fbt"]),
-        trending(active, gold["trending"], top_list),
-        discount(active, gold["features"], top_list),
+        # category preferences come from purchases, so every such user is active
+        m(_restrict(gold["preferences"].select("CustomerID", "Category"), None), "Category", "same_category"),
+        m(_restrict(gold["enriched"].select("CustomerID", "Brand").distinct(), active), "Brand", "brand_affinity"),
+        m(_restrict(gold["customers_age"].select("CustomerID", "AgeGroup"), active), "AgeGroup", "age_group"),
+        m(_restrict(gold["customers_age"].select("CustomerID", "Location"), active), "Location", "location"),
     ])
 
 
-def _cut_per_user(union: DataFrame, limit: int) -> DataFrame:
-    """Keep the ``limit`` lowest distinct ProductIDs per user (all copies)."""
-    w = Window.partitionBy("CustomerID").orderBy(F.col("ProductID").asc())
-    return union.withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") <= limit)
+def _lists(gold: dict, limit: int) -> DataFrame:
+    """(candidate_source, grp, ids): each group's ``limit + 1`` lowest ProductIDs,
+    ascending. A product's bought-together partners are a group like the others.
+    The per-group window limit runs before the collect, so no group is ever
+    gathered whole."""
+    partners = gold["fbt"].select(F.lit("fbt").alias("candidate_source"), F.col("ProductID_A").cast("string").alias("grp"),
+                                  F.col("ProductID_B").alias("ProductID"))
+    cut = top_n(group_products(gold).unionByName(partners), ["candidate_source", "grp"], F.col("ProductID").asc(), limit + 1)
+    return cut.groupBy("candidate_source", "grp").agg(F.sort_array(F.collect_list("ProductID")).alias("ids"))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    from shelfspark.session import written
-    return written(df, name)
+# Id lists of one user that are merged in one step; a user with more groups is merged in two.
+MERGED_LISTS = 256
 
 
-def adaptive_candidates(gold: dict, limit: int = DEFAULT_LIMIT, top_list: int = DEFAULT_TOP_LIST,
-                        slack: float = 4.0) -> DataFrame:
-    """The cut union of all eight sources (same rows as ``all_sources`` followed
-    by the per-user cut), computed with far fewer intermediate rows.
-
-    Each group keeps its ``limit + 1`` lowest ids (sorted array). A group's
-    id density is estimated from its list (ids kept / highest id kept);
-    a user's threshold is T = slack * limit / (sum of the densities of the
-    user's groups), i.e. about ``slack * limit`` ids expected below T.
-    Round 1 takes every group id <= T plus the ungrouped sources. Let x
-    be the user's limit-th lowest id in round 1 and t the lowest group id
-    left out. If t > x, every id of the user's full union below x is in
-    round 1, with every source proposing it: round 1 is exact for that
-    user. Users failing the check are recomputed with the full per-group
-    cut (only if there are any). The estimate only affects speed, never
-    the result. Columns: CustomerID, ProductID, candidate_source.
+def _merge(lists: DataFrame, users: DataFrame, limit: int) -> DataFrame:
+    """(CustomerID, _bucket, candidate_source, ids, _left_out) and the ungrouped
+    sources of ``users`` -> per candidate pair its source mask, and whether an id
+    that a list left out could belong to the user (``_exact``).
+
+    Lists are merged per (user, source, bucket), then per user, where at most
+    eight arrays of ``limit`` ids meet; no step holds more than MERGED_LISTS lists.
     """
-    active = active_users(gold["interactions"])
-    # group lists: one row per group, at most limit + 1 ids (small; written once)
+    merged = lists.groupBy("CustomerID", "candidate_source", "_bucket").agg(
+        _lowest(F.collect_list("ids"), limit).alias("ids"), F.min("_left_out").alias("_left_out"))
+    rows = union_all([merged.drop("_bucket"), users])
+    per_user = rows.groupBy("CustomerID").agg(
+        F.collect_list(F.struct(_bit().alias("bit"), "ids")).alias("_by"),
+        F.min("_left_out").alias("_left_out"))
+    kept = _lowest(F.transform("_by", lambda r: r["ids"]), limit)
+    # the limit-th lowest id (NULL: fewer than limit ids, so all belong)
+    per_user = per_user.select("CustomerID", "_by", "_left_out", F.try_element_at(kept, F.lit(limit)).alias("_last"))
+    exact = F.col("_left_out").isNull() | F.coalesce(F.col("_left_out") > F.col("_last"), F.lit(False))
+    each = per_user.select("CustomerID", "_last", exact.alias("_exact"), F.explode("_by").alias("r"))
+    pairs = each.select("CustomerID", "_last", "_exact", F.explode("r.ids").alias("ProductID"), F.col("r.bit").alias("bit"))
+    return (pairs.where(F.col("_last").isNull() | (F.col("ProductID") <= F.col("_last")))
+                 .groupBy("CustomerID", "ProductID", "_exact").agg(F.bit_or("bit").alias("_mask")))
+
+
+def _own_lists(gold: dict, active: DataFrame, limit: int, top_list: int) -> DataFrame:
+    """The sources without groups, as one sorted id list per user and source."""
+    none = F.lit(None).cast("long").alias("_left_out")
+    history = (top_n(user_history(gold["interactions"]), "CustomerID", F.col("ProductID").asc(), limit)
+               .groupBy("CustomerID", "candidate_source").agg(F.sort_array(F.collect_list("ProductID")).alias("ids")))
+    def const(ids: DataFrame, source: str) -> DataFrame:
+        lst = ids.agg(F.sort_array(F.collect_list("ProductID"))).scalar()  # at most top_list ids
+        return active.select("CustomerID", F.lit(source).alias("candidate_source"), lst.alias("ids"), none)
+    return union_all([
+        history.select("CustomerID", "candidate_source", "ids", none),
+        const(top_trending(gold["trending"], top_list).select("ProductID"), "trending"),
+        const(top_discounted(gold["features"], top_list).select("ProductID"), "discount"),
+    ])
+
+
+def candidates_with_sources(gold: dict, limit: int = DEFAULT_LIMIT, top_list: int = DEFAULT_TOP_LIST,
+                            slack: float = 2.0) -> DataFrame:
+    """Final candidates with provenance (feeds FEA1): CustomerID, ProductID,
+    candidate_source (lowest-numbered), num_sources, candidate_sources (sorted).
+
+    ``gold`` holds DataFrames: interactions, preferences, features, enriched,
+    fbt, customers_age, agegroup_popular, trending, location_pop.
+
+    Same rows as ``candidate_provenance`` of all eight sources, from sorted id
+    lists. Every group (category, brand, age group, location, partners of a
+    product) has one list of its ``limit + 1`` lowest ids. A group's id density
+    is estimated from its list (ids kept / highest id kept); a user's threshold
+    is T = slack * limit / (sum of the densities of the user's groups), i.e.
+    about ``slack * limit`` ids expected below T. Round 1 merges of each list the
+    ids <= T with the ungrouped sources. Let x be the user's limit-th lowest id
+    in round 1 and t the lowest group id left out. If t > x, every id of the
+    user's full union below x is in round 1, with every source proposing it:
+    round 1 is exact for that user. Users failing the check are merged again with
+    whole lists (only if there are any). The estimate only affects speed, never
+    the result.
+    """
+    active = _written(active_users(gold["interactions"]), "cand-active")
     top = F.least(F.size("ids"), F.lit(limit))
-    lists = _written(_group_lists(gold, limit)
+    lists = _written(_lists(gold, limit)
                      .withColumn("_d", top / (F.element_at("ids", top).cast("double") + F.lit(1.0))),
                      "cand-group-lists")
-    # memberships with the user's threshold; the per-user sum runs over the
-    # user's groups only (bounded by the number of groups, not by data)
-    per_user = Window.partitionBy("CustomerID")
-    members = _written(
-        _memberships(gold, active).join(lists.select("candidate_source", "grp", "_d"),
-                                        ["candidate_source", "grp"])
-        .select("CustomerID", "candidate_source", "grp",
-                (F.lit(slack * limit) / F.sum("_d").over(per_user)).alias("_T")),
-        "cand-memberships")
-    taken = (members.join(lists.select("candidate_source", "grp", "ids"), ["candidate_source", "grp"])
-                    .withColumn("_take", F.filter("ids", lambda v: v <= F.col("_T")))
-                    .withColumn("_e", F.try_element_at("ids", F.size("_take") + 1)))
-    # t: lowest group id left out for the user (NULL: none left out);
-    # a partial-aggregated groupBy, safe for a user with very many groups
-    t = taken.groupBy("CustomerID").agg(F.min("_e").alias("_t"))
-    round1 = union_all([
-        taken.select("CustomerID", F.explode("_take").alias("ProductID"), "candidate_source"),
-        _ungrouped(gold, active, top_list),
-    ])
-    # the cut ships at most `limit` distinct ids per user and map task, so the
-    # windows after it see a bounded number of rows per user
-    kept = _cut_per_user(round1, limit)
-    # x: the limit-th lowest id kept (NULL: fewer than limit ids, i.e. +inf)
-    kept = kept.withColumn("_x", F.when(F.max("_r").over(per_user) >= limit,
-                                        F.max("ProductID").over(per_user)))
-    exact = F.col("_t").isNull() | (F.col("_x").isNotNull() & (F.col("_t") > F.col("_x")))
-    checked = _written(kept.join(t, "CustomerID", "left")
-                           .select("CustomerID", "ProductID", "candidate_source", exact.alias("_exact")),
-                       "cand-round1")
-    passed = checked.where("_exact").select("CustomerID", "ProductID", "candidate_source")
+    bought = gold["interactions"].where(F.col("CustomerID").isNotNull()).select(
+        "CustomerID", F.lit("fbt").alias("candidate_source"), F.col("ProductID").cast("string").alias("grp"))
+    # a user's threshold and number of groups: a partial-aggregated groupBy, then
+    # a join, safe for a user with very many groups
+    members = _written(group_members(gold, active).unionByName(bought)
+                       .join(lists.select("candidate_source", "grp", "_d"), ["candidate_source", "grp"]), "cand-memberships")
+    per_user = members.groupBy("CustomerID").agg(
+        (F.lit(slack * limit) / F.sum("_d")).alias("_T"), F.ceil(F.count(F.lit(1)) / MERGED_LISTS).alias("_k"))
+    taken = (members.select("CustomerID", "candidate_source", "grp").join(per_user, "CustomerID")
+                    .join(lists.select("candidate_source", "grp", "ids"), ["candidate_source", "grp"])
+                    .withColumn("_bucket", F.pmod(F.xxhash64("grp"), F.col("_k"))))
+    low = F.filter("ids", lambda v: v <= F.col("_T"))
+    round1 = taken.select("CustomerID", "candidate_source", "_bucket", low.alias("_low"), "ids").select(
+        "CustomerID", "candidate_source", "_bucket", F.col("_low").alias("ids"),
+        F.try_element_at("ids", F.size("_low") + 1).alias("_left_out"))
+    own = _own_lists(gold, active, limit, top_list)
+    checked = _written(_sources_of(_merge(round1, own, limit)), "cand-round1")
+    passed = checked.where("_exact").drop("_exact")
     failed = checked.where(~F.col("_exact")).select("CustomerID").distinct()
     if failed.isEmpty():
         return passed
-    full = union_all([
-        taken.join(failed, "CustomerID", "left_semi")
-             .select("CustomerID", F.explode(F.slice("ids", 1, limit)).alias("ProductID"),
-                     "candidate_source"),
-        _ungrouped(gold, active, top_list).join(failed, "CustomerID", "left_semi"),
-    ])
-    redo = _cut_per_user(full, limit).select("CustomerID", "ProductID", "candidate_source")
+    whole = taken.join(failed, "CustomerID", "left_semi").select(
+        "CustomerID", "candidate_source", "_bucket", F.slice("ids", 1, limit).alias("ids"), F.lit(None).cast("long").alias("_left_out"))
+    redo = _sources_of(_merge(whole, own.join(failed, "CustomerID", "left_semi"), limit)).drop("_exact")
     return union_all([passed, redo])
 
 
-def _provenance(kept: DataFrame) -> DataFrame:
-    prio = F.array_position(F.array(*[F.lit(s) for s in SOURCES]), F.col("candidate_source"))
-    agg = (kept.withColumn("_prio", prio).groupBy("CustomerID", "ProductID")
-               .agg(F.min("_prio").alias("_best"),
-                    F.sort_array(F.collect_set("candidate_source")).alias("candidate_sources")))
-    best = F.element_at(F.array(*[F.lit(s) for s in SOURCES]), F.col("_best").cast("int"))
-    return agg.select("CustomerID", "ProductID", best.alias("candidate_source"),
-                      F.size("candidate_sources").cast("long").alias("num_sources"),
-                      "candidate_sources")
-
-
-def candidates_with_sources(gold: dict, limit: int = DEFAULT_LIMIT,
-                            top_list: int = DEFAULT_TOP_LIST) -> DataFrame:
-    """Final candidates with provenance (feeds FEA1)."""
-    return _provenance(adaptive_candidates(gold, limit, top_list))
-
-
 def final_candidates(gold: dict, limit: int = DEFAULT_LIMIT,
                      top_list: int = DEFAULT_TOP_LIST) -> DataFrame:
     """CND9 gold_candidate_products: (CustomerID, ProductID, candidate_source)."""
     return candidates_with_sources(gold, limit, top_list).select(
         "CustomerID", "ProductID", "candidate_source")
+
+
+# ---- classes of users with the same groups ----------------------------------
+def group_classes(members: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """CND2, CND3, CND5, CND8 without the fan-out: users with the same set of
+    groups are one class, so each candidate list is built once and users link to it.
+
+    ``members`` has distinct (CustomerID, grp), ``products`` (grp, ProductID).
+    Returns (users, classes):
+
+    * users: CustomerID, class_id, num_candidates: one row per user who has any
+      candidate; the class is named by its lowest CustomerID;
+    * classes: class_id, grp, num_users, num_products: one row per class and group.
+
+    A user's candidate pairs are ``users`` joined with ``classes`` on class_id and
+    with ``products`` on grp; their number is num_candidates. A set of groups is
+    told by its size and two xors of its groups' hashes, so no user's groups are
+    gathered and a class that a third of all users form is pre-aggregated.
+    """
+    sizes = products.groupBy("grp").agg(F.count(F.lit(1)).alias("num_products"))
+    linked = members.join(sizes, "grp")
+    signature = linked.groupBy("CustomerID").agg(
+        F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64("grp")).alias("_a"),
+        F.bit_xor(F.xxhash64(F.lit("second"), "grp")).alias("_b"), F.sum("num_products").alias("num_candidates"))
+    sig = ["_n", "_a", "_b"]
+    named = signature.groupBy(*sig).agg(F.min("CustomerID").alias("class_id"), F.count(F.lit(1)).alias("num_users"))
+    users = signature.join(named, sig).select("CustomerID", "class_id", "num_candidates")
+    classes = (linked.join(named.select(F.col("class_id").alias("CustomerID"), "num_users"), "CustomerID")
+                     .select(F.col("CustomerID").alias("class_id"), "grp", "num_users", "num_products"))
+    return users, classes
+
+
+def source_classes(gold: dict, source: str) -> tuple[DataFrame, DataFrame]:
+    """``group_classes`` of one of the four group sources."""
+    active = active_users(gold["interactions"])
+    own = F.col("candidate_source") == source
+    return group_classes(group_members(gold, active).where(own).select("CustomerID", "grp"),
+                         group_products(gold).where(own).select("grp", "ProductID"))

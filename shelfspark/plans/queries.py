@@ -174,14 +174,36 @@ def q_cand_user_history(spark, d):
     return cnd.user_history(_L(spark, d).interactions)
 
 
+def _source_users(spark, d, source):
+    users, _ = cnd.source_classes(_L(spark, d).gold_inputs(), source)
+    return users.withColumn("candidate_source", F.lit(source))
+
+
+def _source_classes(spark, d, source):
+    return cnd.source_classes(_L(spark, d).gold_inputs(), source)[1]
+
+
 def q_cand_same_category(spark, d):
-    L = _L(spark, d)
-    return cnd.same_category(L.preferences, L.features, L.active)
+    """CND2 as one row per user with class and number of links, not users x products."""
+    return _source_users(spark, d, "same_category")
+
+
+def q_cand_same_category_classes(spark, d):
+    return _source_classes(spark, d, "same_category")
 
 
 def q_cand_brand_affinity(spark, d):
-    L = _L(spark, d)
-    return cnd.brand_affinity(L.enriched, L.features, L.active)
+    """CND3 as one row per user with class and number of links."""
+    return _source_users(spark, d, "brand_affinity")
+
+
+def q_cand_brand_affinity_classes(spark, d):
+    return _source_classes(spark, d, "brand_affinity")
+
+
+def q_cand_group_products(spark, d):
+    """The candidate list of each group, once: classes link to it by grp."""
+    return cnd.group_products(_L(spark, d).gold_inputs())
 
 
 def q_cand_fbt(spark, d):
@@ -190,8 +212,12 @@ def q_cand_fbt(spark, d):
 
 
 def q_cand_age_group(spark, d):
-    L = _L(spark, d)
-    return cnd.age_group(L.customers_age, L.agegroup_popular, L.active)
+    """CND5 as one row per user with class and number of links."""
+    return _source_users(spark, d, "age_group")
+
+
+def q_cand_age_group_classes(spark, d):
+    return _source_classes(spark, d, "age_group")
 
 
 def q_cand_trending(spark, d):
@@ -205,8 +231,12 @@ def q_cand_discount(spark, d):
 
 
 def q_cand_location(spark, d):
-    L = _L(spark, d)
-    return cnd.location(L.location_pop, L.customers_age, L.active)
+    """CND8 as one row per user with class and number of links."""
+    return _source_users(spark, d, "location")
+
+
+def q_cand_location_classes(spark, d):
+    return _source_classes(spark, d, "location")
 
 
 def q_candidates_final(spark, d):
@@ -462,6 +492,47 @@ VERSIONS_R = _cols_r("ProductID, ProductName, Brand, AvailableColors, AvailableS
                      "LastUpdated, Version")
 
 W = O.with_ctes
+
+# source -> the CTE with all its pairs, each active user's groups, each group's products
+GROUP_SOURCES = {
+    "same_category": ("c_cat", "SELECT CustomerID, Category AS grp FROM preferences",
+                      "SELECT Category AS grp, ProductID FROM features", ["preferences", "features"]),
+    "brand_affinity": ("c_brand", "SELECT DISTINCT CustomerID, Brand AS grp FROM enriched",
+                       "SELECT Brand AS grp, ProductID FROM features", ["enriched", "features"]),
+    "age_group": ("c_age", "SELECT CustomerID, AgeGroup AS grp FROM customers_age",
+                  "SELECT AgeGroup AS grp, ProductID FROM agegroup_popular", ["customers_age", "agegroup_popular"]),
+    "location": ("c_loc", "SELECT CustomerID, Location AS grp FROM customers_age",
+                 "SELECT CustomerLocation AS grp, ProductID FROM location_pop", ["customers_age", "location_pop"]),
+}
+
+
+def _class_sql(source: str, body: str) -> str:
+    """``body`` over ``sets``: each user of the source, the sorted list of the
+    user's groups that have products, the lowest user with that list, and how many have it."""
+    pairs, members, products, needs = GROUP_SOURCES[source]
+    return W(f"""SELECT * FROM (
+WITH prods AS ({products}),
+sets AS (SELECT CustomerID, groups, MIN(CustomerID) OVER (PARTITION BY groups) AS class_id,
+    COUNT(*) OVER (PARTITION BY groups) AS num_users
+  FROM (SELECT m.CustomerID, list_sort(list(m.grp)) AS groups FROM ({members}) m
+        WHERE m.CustomerID IN (SELECT CustomerID FROM active) AND m.grp IN (SELECT grp FROM prods)
+        GROUP BY m.CustomerID) g)
+{body.format(pairs=pairs)}) t""", pairs, "active", *needs)
+
+
+def _class_users(source: str) -> str:
+    """The number of links is counted from all pairs of the naive fan-out."""
+    return _class_sql(source, f"""SELECT s.CustomerID, s.class_id, n.num_candidates, '{source}' AS candidate_source
+FROM sets s JOIN (SELECT CustomerID, COUNT(*) AS num_candidates FROM {{pairs}} GROUP BY CustomerID) n
+  ON s.CustomerID = n.CustomerID""")
+
+
+def _class_rows(source: str) -> str:
+    return _class_sql(source, """SELECT r.class_id, r.grp, r.num_users, n.num_products
+FROM (SELECT class_id, num_users, unnest(groups) AS grp FROM sets WHERE CustomerID = class_id) r
+JOIN (SELECT grp, COUNT(*) AS num_products FROM prods GROUP BY grp) n ON r.grp = n.grp""")
+
+
 ORACLE: dict[str, str] = {
     "clean_customers": W(f"SELECT {CUST_CLEAN_R} FROM clean_customers", "clean_customers"),
     "clean_products": W(f"SELECT {PRODUCTS_R} FROM clean_products", "clean_products"),
@@ -499,15 +570,22 @@ ORACLE: dict[str, str] = {
                                     "ranked_recs"),
     "active_users": W("SELECT * FROM active", "active"),
     "cand_user_history": W("SELECT * FROM c_hist", "c_hist"),
-    "cand_same_category": W("SELECT * FROM c_cat", "c_cat"),
-    "cand_brand_affinity": W("SELECT * FROM c_brand", "c_brand"),
+    "cand_same_category": _class_users("same_category"),
+    "cand_same_category_classes": _class_rows("same_category"),
+    "cand_brand_affinity": _class_users("brand_affinity"),
+    "cand_brand_affinity_classes": _class_rows("brand_affinity"),
     "cand_fbt": W("SELECT i.CustomerID, b.ProductID_B AS ProductID, 'fbt' AS candidate_source "
                   "FROM interactions i JOIN fbt b ON i.ProductID = b.ProductID_A WHERE i.CustomerID IS NOT NULL",
                   "interactions", "fbt"),
-    "cand_age_group": W("SELECT * FROM c_age", "c_age"),
+    "cand_age_group": _class_users("age_group"),
+    "cand_age_group_classes": _class_rows("age_group"),
+    "cand_group_products": W(" UNION ALL ".join(
+        f"SELECT '{k}' AS candidate_source, grp, ProductID FROM ({v[2]}) x WHERE grp IS NOT NULL"
+        for k, v in GROUP_SOURCES.items()), "features", "agegroup_popular", "location_pop"),
     "cand_trending": W("SELECT * FROM c_trend", "c_trend"),
     "cand_discount": W("SELECT * FROM c_disc", "c_disc"),
-    "cand_location": W("SELECT * FROM c_loc", "c_loc"),
+    "cand_location": _class_users("location"),
+    "cand_location_classes": _class_rows("location"),
     "candidates_final": W("SELECT CustomerID, ProductID, candidate_source FROM c_final", "c_final"),
     "location_popularity": W("SELECT * FROM location_pop", "location_pop"),
     "candidate_sources": W("SELECT CustomerID, ProductID, num_sources, candidate_sources FROM c_final", "c_final"),

@@ -55,7 +55,7 @@ def test_recommendations_bounded_and_ordered(L):
         assert lists[row.CustomerID][0] == row.ProductID
 
 
-def _naive_candidates(L):
+def _naive_candidates(L, limit=200, top_list=50):
     g = L.gold_inputs()
     a = L.active
     frames = [cnd.user_history(g["interactions"]),
@@ -63,11 +63,11 @@ def _naive_candidates(L):
               cnd.brand_affinity(g["enriched"], g["features"], a, None),
               cnd.bought_together(g["interactions"], g["fbt"]),
               cnd.age_group(g["customers_age"], g["agegroup_popular"], a, None),
-              cnd.trending(a, g["trending"]),
-              cnd.discount(a, g["features"]),
+              cnd.trending(a, g["trending"], top_list),
+              cnd.discount(a, g["features"], top_list),
               cnd.location(g["location_pop"], g["customers_age"], a, None)]
     from shelfspark.functions.frames import union_all
-    return cnd.candidate_provenance(union_all(frames), 200)
+    return cnd.candidate_provenance(union_all(frames), limit)
 
 
 def test_bounded_fanout_equals_naive(L):
@@ -127,11 +127,45 @@ def test_hot_order_salting_equals_plain(spark):
     assert plain.where("ProductID_A < 60 AND ProductID_B < 60").count() >= 60 * 59 // 2 - 1
 
 
+def test_candidates_with_many_lists_per_user(L, monkeypatch):
+    """Users with more lists than one step merges."""
+    monkeypatch.setattr(cnd, "MERGED_LISTS", 3)
+    def key(df):
+        return _rows(df.select("CustomerID", "ProductID", "candidate_source", "num_sources",
+                               F.array_join("candidate_sources", ",")))
+    assert key(cnd.candidates_with_sources(L.gold_inputs(), 20, 5)) == key(_naive_candidates(L, 20, 5))
+
+
+@pytest.mark.parametrize("source", ["same_category", "brand_affinity", "age_group", "location"])
+def test_classes_expand_to_the_source(L, source):
+    """Users x classes x lists are the rows of the source as defined; num_candidates counts them."""
+    g, a = L.gold_inputs(), L.active
+    full = {"same_category": lambda: cnd.same_category(g["preferences"], g["features"], a),
+            "brand_affinity": lambda: cnd.brand_affinity(g["enriched"], g["features"], a),
+            "age_group": lambda: cnd.age_group(g["customers_age"], g["agegroup_popular"], a),
+            "location": lambda: cnd.location(g["location_pop"], g["customers_age"], a)}[source]()
+    users, classes = cnd.source_classes(g, source)
+    lists = cnd.group_products(g).where(F.col("candidate_source") == source)
+    pairs = users.join(classes, "class_id").join(lists, "grp").select("CustomerID", "ProductID", F.lit(source))
+    assert _rows(pairs) == _rows(full)
+    assert _rows(users.select("CustomerID", "num_candidates")) == _rows(full.groupBy("CustomerID").count())
+    assert classes.where("class_id is null or num_users < 1").count() == 0
+
+
+def test_classes_of_shared_groups(spark):
+    members = spark.createDataFrame([(5, "a"), (5, "b"), (3, "b"), (3, "a"), (4, "a"), (9, "none"), (8, "a"), (8, "none")],
+                                    "CustomerID long, grp string")
+    products = spark.createDataFrame([("a", 1), ("a", 2), ("b", 2), ("c", 7)], "grp string, ProductID long")
+    users, classes = cnd.group_classes(members, products)
+    assert _rows(users) == [(3, 3, 3), (4, 4, 2), (5, 3, 3), (8, 4, 2)]
+    assert _rows(classes) == [(3, "a", 2, 2), (3, "b", 2, 1), (4, "a", 2, 2)]
+
+
 @pytest.mark.parametrize("slack", [0.05, 50.0])
 def test_adaptive_fallback_and_loose_threshold_exact(L, slack):
     """Tiny slack: most users fail the round-1 check and take the fallback;
     huge slack: round 1 takes nearly everything. Both equal the naive plan."""
-    got = cnd._provenance(cnd.adaptive_candidates(L.gold_inputs(), 200, 50, slack=slack))
+    got = cnd.candidates_with_sources(L.gold_inputs(), 200, 50, slack=slack)
     def key(df):
         return _rows(df.select("CustomerID", "ProductID", "candidate_source", "num_sources",
                                F.array_join("candidate_sources", ",")))
