@@ -168,8 +168,7 @@ def _sources_of(masked: DataFrame) -> DataFrame:
         "CustomerID", "ProductID",
         F.coalesce(*[F.when(bit[s], F.lit(s)) for s in SOURCES]).alias("candidate_source"),
         F.bit_count("_mask").cast("long").alias("num_sources"),
-        F.array_compact(F.array(*[F.when(bit[s], F.lit(s)) for s in sorted(SOURCES)])).alias("candidate_sources"),
-        *[c for c in masked.columns if c not in ("CustomerID", "ProductID", "_mask")])
+        F.array_compact(F.array(*[F.when(bit[s], F.lit(s)) for s in sorted(SOURCES)])).alias("candidate_sources"))
 
 
 def _lowest(ids, limit: int):
@@ -271,7 +270,7 @@ def _own_lists(gold: dict, active: DataFrame, limit: int, top_list: int) -> Data
 
 
 def candidates_with_sources(gold: dict, limit: int = DEFAULT_LIMIT, top_list: int = DEFAULT_TOP_LIST,
-                            slack: float = 2.0) -> DataFrame:
+                            slack: float = 4.0) -> DataFrame:
     """Final candidates with provenance (feeds FEA1): CustomerID, ProductID,
     candidate_source (lowest-numbered), num_sources, candidate_sources (sorted).
 
@@ -283,7 +282,7 @@ def candidates_with_sources(gold: dict, limit: int = DEFAULT_LIMIT, top_list: in
     product) has one list of its ``limit + 1`` lowest ids. A group's id density
     is estimated from its list (ids kept / highest id kept); a user's threshold
     is T = slack * limit / (sum of the densities of the user's groups), i.e.
-    about ``slack * limit`` ids expected below T. Round 1 merges of each list the
+    about ``slack * limit`` ids, counted once per group, expected below T. Round 1 merges of each list the
     ids <= T with the ungrouped sources. Let x be the user's limit-th lowest id
     in round 1 and t the lowest group id left out. If t > x, every id of the
     user's full union below x is in round 1, with every source proposing it:
@@ -312,14 +311,14 @@ def candidates_with_sources(gold: dict, limit: int = DEFAULT_LIMIT, top_list: in
         "CustomerID", "candidate_source", "_bucket", F.col("_low").alias("ids"),
         F.try_element_at("ids", F.size("_low") + 1).alias("_left_out"))
     own = _own_lists(gold, active, limit, top_list)
-    checked = _written(_sources_of(_merge(round1, own, limit)), "cand-round1")
-    passed = checked.where("_exact").drop("_exact")
+    checked = _written(_merge(round1, own, limit), "cand-round1")
+    passed = _sources_of(checked.where("_exact").drop("_exact"))
     failed = checked.where(~F.col("_exact")).select("CustomerID").distinct()
     if failed.isEmpty():
         return passed
     whole = taken.join(failed, "CustomerID", "left_semi").select(
         "CustomerID", "candidate_source", "_bucket", F.slice("ids", 1, limit).alias("ids"), F.lit(None).cast("long").alias("_left_out"))
-    redo = _sources_of(_merge(whole, own.join(failed, "CustomerID", "left_semi"), limit)).drop("_exact")
+    redo = _sources_of(_merge(whole, own.join(failed, "CustomerID", "left_semi"), limit).drop("_exact"))
     return union_all([passed, redo])
 
 
