@@ -391,6 +391,11 @@ def q_als_recommendations(spark, d):
     return als_recommendations(_L(spark, d).interactions)
 
 
+def q_als_heldout_ranking(spark, d):
+    from shelfspark.operators.cf import held_out_ranking
+    return rounded(held_out_ranking(_L(spark, d).interactions))
+
+
 def _streaming():
     from shelfspark.streaming import ingest
     return ingest
@@ -697,5 +702,5 @@ ORACLE["eda_recency_hist"] = _hist_query(
 ORACLE["eda_hybrid_hist"] = _hist_query("hy AS (SELECT * FROM hybrid)", ["hybrid"], "hy", "hybrid_score", 50)
 
 # Rows-only (no SQL oracle): non-deterministic by design or iterative.
-ROWS_ONLY = {"sample_sales", "als_recommendations"}
+ROWS_ONLY = {"sample_sales", "als_recommendations", "als_heldout_ranking"}
 ORACLE = {k: v for k, v in ORACLE.items() if k in QUERIES and k not in ROWS_ONLY}

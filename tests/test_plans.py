@@ -1,5 +1,5 @@
-"""Structural guard over every registered query plan: no cartesian or
-nested-loop joins, no row-at-a-time Python UDFs."""
+"""Structural guard over every registered query plan of the core: no cartesian
+or nested-loop joins, no row-at-a-time Python UDFs."""
 
 import pytest
 
@@ -7,12 +7,10 @@ import __spark_entry__ as E
 
 from conftest import SF_SMALL
 
-# pyspark.ml's recommendForAllUsers blocks the factor cross product itself
-EXEMPT = {"als_recommendations"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"]
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - EXEMPT))
+@pytest.mark.parametrize("key", sorted(set(E.queries()) - set(E.LLM_QUERIES)))
 def test_plan_shape(spark, key):
     df = E.queries()[key](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
