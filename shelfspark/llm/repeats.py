@@ -41,7 +41,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.words import SLICE_BYTES, Texts, mix, ragged, small_batches, span_hashes, texts, without
+from shelfspark.llm.words import Texts, gram_hashes, mix, ragged, small_batches, span_hashes, texts, without
 from shelfspark.session import scratch_path, written
 
 DEPTH = 50
@@ -51,6 +51,8 @@ SHARD_BYTES = 64_000_000
 HELD = 4_000_000
 #: A key that so many blocks hold gets finer keys, so no task meets all contexts of a common phrase.
 HOT_BLOCKS = 64
+#: Windows whose keys are worked out at once: their arrays stay in a processor's cache.
+PIECE = 1 << 16
 #: Suffixes that are ordered at once.
 SORT_SUFFIXES = 2_000_000
 _KEY_BITS = 48
@@ -100,15 +102,15 @@ class Runs:
         step[part.bounds[:-1][long]] += 1
         step[ends[long] - depth + 1] -= 1
         valid = np.cumsum(step[:-1], dtype=np.int8).astype(bool)
-        found = [self._piece(part.data, valid, at, depth, hot) for at in range(0, len(valid), SLICE_BYTES)]
+        found = [self._piece(part.data, valid, at, depth, hot) for at in range(0, len(valid), PIECE)]
         found = [f for f in found if f is not None] or [(np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 3]
         self.start, self.size, self.base, self.key, self.digest = (np.concatenate(x) for x in zip(*found))
         self.row = np.searchsorted(part.bounds, self.start, "right") - 1
 
     @staticmethod
     def _piece(data, valid, at, depth, hot):
-        """Windows that start in data[at:at + SLICE_BYTES]."""
-        own = data[at:at + SLICE_BYTES + depth - 1]
+        """Windows that start in data[at:at + PIECE]."""
+        own = data[at:at + PIECE + depth - 1]
         n = len(own) - depth + 1
         if n <= 0 or not valid[at:at + n].any():
             return None
@@ -126,8 +128,7 @@ class Runs:
 
 def _least_hashes(data: np.ndarray, depth: int, gram: int) -> np.ndarray:
     """For each window the least hash of the grams in it."""
-    p = np.arange(len(data) - gram + 1)
-    least, width, have = span_hashes(data, p, p + gram), depth - gram + 1, 1
+    least, width, have = gram_hashes(data, gram), depth - gram + 1, 1
     while have < width:  # least hash of `have` neighbouring grams
         more = min(have, width - have)
         least, have = np.minimum(least[:-more], least[more:]), have + more

@@ -74,6 +74,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """64-bit hash of each data[i:i + gram]; the high bits are the better ones."""
+    power, inverse = _power(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * power[: len(data)], out=sums[1:])
+    return (sums[gram:] - sums[:-gram]) * inverse[: len(sums) - gram]
+
+
 @dataclass
 class Texts:
     """Some rows of a batch: bytes, row bounds in them, word bounds, and for

@@ -68,7 +68,7 @@ def test_remove(spark, monkeypatch, depth, shard_bytes, hot):
 def test_remove_in_pieces(spark, monkeypatch):
     """A text longer than a slice is worked on in pieces."""
     rows = corpus(8, 20)
-    monkeypatch.setattr(repeats, "SLICE_BYTES", 100)
+    monkeypatch.setattr(repeats, "PIECE", 100)
     docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string").coalesce(2)
     part = repeats.texts(repeats.pa.array([t for _, t in rows]))
     whole = [repeats.Runs(p, 50) for p in part]
