@@ -68,7 +68,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind) by start, then kind."""
     out = [(a, b, 0) for a, b in emails(text)] if "@" in text else []
     if _DIGIT.search(text):
-        out += [(m.start(), m.end(), 1) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        out += [(m.start(), m.end(), 1) for m in _IP.finditer(text) if all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in m[0].split(".")))]
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if len(digits) <= 19 and luhn(digits):

@@ -5,7 +5,8 @@ Documents are range-partitioned and sorted by id, so the files of partition 0,
 their text's hash). Each task encodes its texts and writes files of about
 FILE_IDS ids, whole documents each, to the shared folder; the manifest (place,
 partition, number in it, ids before it in the partition) is an ordinary table.
-Null and empty texts hold only the end id.
+Null and empty texts hold only the end id. Strings of special tokens in a text
+become their ids, as in the library's plain call.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.llm import shared, simple8b
-from shelfspark.llm.words import SpanCodes, per_row, small_batches, texts
+from shelfspark.llm.words import LOWER, SpanCodes, Texts, per_row, small_batches, texts
 from shelfspark.session import scratch_path, written
 
 #: Ids in a file before the next is begun.
@@ -30,56 +31,59 @@ FILE_IDS = 1 << 20
 MANIFEST = "path string, part int, number int, n_rows long, n_ids long, ids array<long>"
 
 Encode = Callable[[list[bytes]], list]
-_ASCII_WORD = re.compile(rb"[A-Za-z]+\Z")
-_TAIL = re.compile(rb"[!-/:-@\[-`{-~]+\Z")
+_ASCII_WORD = re.compile(rb"[a-z]+\Z")
+_PUNCT = np.zeros(256, bool)
+_PUNCT[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
 
 def word_encoder(vocabulary: str) -> Encode:
-    """Encodes spans without white space with the tokenizers library.
+    """Encodes pieces without white space with the tokenizers library.
 
     The vocabulary's own rules drop white space and never join pieces across
-    it, so the ids of a text are those of its words in order. A word's trailing
-    ASCII punctuation is a piece of its own after a letter or digit; letters of
-    ASCII alone go to the vocabulary's model directly in lower case.
+    it, so the ids of a text are those of its words in order. Pieces of lower-case
+    ASCII letters alone go to the vocabulary's model directly.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(vocabulary)
-    whole.encode_special_tokens = True
-    model, kept = whole.model, {}
-
-    def piece_ids(new: list[bytes]) -> None:
-        rest = []
-        for p in new:
-            if _ASCII_WORD.match(p):
-                kept[p] = [t.id for t in model.tokenize(p.decode().lower())]
-            else:
-                rest.append(p)
-        encoded = whole.encode_batch([p.decode("utf-8", "replace") for p in rest], add_special_tokens=False)
-        kept.update((p, e.ids) for p, e in zip(rest, encoded))
-
-    def encode(spans: list[bytes]) -> list:
-        if len(kept) > 1_000_000:
-            kept.clear()
-        cut = []
-        for span in spans:
-            tail = _TAIL.search(span)
-            head = span[: tail.start()].lower() if tail else span.lower()
-            if tail and head and (head[-1:].isalnum() or _letter_or_digit(head)):
-                cut.append((head, tail[0]))
-            else:
-                cut.append((span.lower(), b""))
-        piece_ids(list({p for pair in cut for p in pair if p and p not in kept}))
-        return [kept[a] + kept[b] if b else kept[a] for a, b in cut]
+    model = whole.model
+
+    def encode(pieces: list[bytes]) -> list:
+        text = [p.decode("utf-8", "replace") for p in pieces]
+        plain = [_ASCII_WORD.match(p) is not None for p in pieces]
+        rest = iter(whole.encode_batch([t for t, simple in zip(text, plain) if not simple], add_special_tokens=False))
+        return [[x.id for x in model.tokenize(t)] if simple else next(rest).ids for t, simple in zip(text, plain)]
 
     return encode
 
 
-def _letter_or_digit(head: bytes) -> bool:
-    import unicodedata
+def pieces(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, starts and ends of the pieces of words, and each row's first piece.
 
-    return unicodedata.category(head.decode("utf-8", "replace")[-1])[0] in "LN"
+    A-Z are lower-cased, as the vocabulary does. Punctuation at a word's end is a
+    piece of its own after an ASCII letter or digit. A word with ``<|`` may hold a
+    special token, which counts as it is written: it stays as it is and whole.
+    """
+    data, starts, ends = LOWER[t.data], t.starts, t.ends
+    core, live = ends.copy(), np.arange(len(ends))
+    while len(live):
+        live = live[(core[live] > starts[live]) & _PUNCT[data[core[live] - 1]]]
+        core[live] -= 1
+    last = data[np.maximum(core - 1, 0)]
+    tail = (core < ends) & (core > starts) & (last < 128)
+    special = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))
+    if len(special):
+        word = np.searchsorted(starts, special, "right") - 1
+        tail[word] = False
+        for a, b in {(int(starts[w]), int(ends[w])) for w in word.tolist()}:
+            data[a:b] = t.data[a:b]
+    at = np.cumsum(1 + tail) - (1 + tail)
+    total = int((1 + tail).sum())
+    first, end = np.empty(total, np.int64), np.empty(total, np.int64)
+    first[at], end[at] = starts, np.where(tail, core, ends)
+    first[at[tail] + 1], end[at[tail] + 1] = core[tail], ends[tail]
+    return data, first, end, np.append(at, total)[t.row_word]
 
 
 def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str | None = None, id_col: str = "doc_id",
@@ -108,8 +112,9 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str | None = No
         for batch in batches:
             batch_ids = batch.column(0).to_pylist()
             for t in texts(batch.column(1)):
-                flat, size = codes(t.data, t.starts, t.ends)
-                per = per_row(size, t.row_word)
+                data, starts, ends, row_piece = pieces(t)
+                flat, size = codes(data, starts, ends)
+                per = per_row(size, row_piece)
                 bounds = np.cumsum(per)
                 flat = np.insert(flat, bounds, end_id)  # an end id closes each row
                 held.append(flat)

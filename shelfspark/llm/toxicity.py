@@ -7,10 +7,11 @@ punctuation at the ends) and the mean vector of its character trigrams. Two
 GRUs read the window in both directions, attention pools their states, and a
 logistic unit scores the window. A text's score is that of its worst window.
 
-Training takes labelled rows only, at most TRAIN_ROWS of them (chosen by the
-hash of their id) and at most TRAIN_WINDOWS windows of each, spread evenly.
-Labels are of texts, not windows: training learns from each text's worst
-window so far, and from others of the clean ones. A word's first component
+Training takes labelled rows only, in the order of their ids' hashes: at most
+TRAIN_ROWS, whose texts have at most TRAIN_BYTES together; of these, every window
+of the whole texts. The driver works on SLICE_BYTES of text at a time. Labels are
+of texts, not windows: training learns from each text's worst window so far, and
+from others of the clean ones. A word's first component
 starts at its log odds in the training rows.
 
 Null and empty texts have one window without words, whose score is the bias.
@@ -23,13 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfspark.llm.words import LOWER, column_bytes, cut, mix, small_batches, span_hashes, texts, without
+from shelfspark.llm.words import mix, ragged, small_batches, span_hashes, texts, without
 
 WINDOW, STRIDE = 32, 16
-TRAIN_ROWS, TRAIN_WINDOWS = 3000, 128
+TRAIN_ROWS, TRAIN_BYTES = 3000, 48_000_000
 MIN_DOCS = 3  # training texts that hold a word before it gets a vector of its own
 WORD, CHARS, HIDDEN, ATTENTION = 10, 6, 8, 8
 TRIGRAMS = 1 << 12
@@ -50,8 +51,7 @@ class Words:
     trigram buckets of ^core$, one after another."""
 
     def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        hashes = span_hashes(data, starts, ends)
-        _, where, self.of = np.unique(hashes, return_index=True, return_inverse=True)
+        self.hashes, where, self.of = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         a, b = starts[where].copy(), ends[where].copy()
         for at, step in ((a, 1), (b, -1)):
             live = np.arange(len(at))
@@ -75,6 +75,25 @@ class Words:
         self.size = size
 
 
+def gathered(column) -> tuple[Words, np.ndarray]:
+    """The words of all rows, read in slices, and the place of each row's first word."""
+    parts, row_word, seen = [], [np.zeros(1, np.int64)], 0
+    for t in texts(column, lower=True):
+        parts.append(Words(t.data, t.starts, t.ends))
+        row_word.append(t.row_word[1:] + seen)
+        seen += len(t.starts)
+    out = object.__new__(Words)
+    join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
+    out.hashes, one, number = np.unique(join([w.hashes for w in parts], np.uint64), return_index=True, return_inverse=True)
+    before = np.cumsum([0] + [len(w.hashes) for w in parts])
+    out.of = join([number[a + w.of] for a, w in zip(before, parts)], np.int64)
+    sizes = join([w.size for w in parts], np.int64)
+    out.keys, out.size = join([w.keys for w in parts], np.uint64)[one], sizes[one]
+    out.trigrams = ragged(join([w.trigrams for w in parts], np.int64), (np.cumsum(sizes) - sizes)[one], out.size)
+    out.first = np.cumsum(out.size) - out.size
+    return out, np.concatenate(row_word)
+
+
 def windows(row_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, first word and length of all windows; a row without words has one of length 0."""
     n = np.diff(row_word)
@@ -198,14 +217,13 @@ def window_scores(net: Network, data: np.ndarray, starts: np.ndarray, ends: np.n
 def train(column, toxic: np.ndarray, seed: int = 1) -> Network:
     """Fits the network on whole texts (``column``: strings) and their 0/1 labels."""
     rng = np.random.default_rng(seed)
-    data, bounds = column_bytes(column)
-    t = cut(LOWER[data], bounds)
-    w = Words(t.data, t.starts, t.ends)
+    w, row_word = gathered(column)
     toxic = toxic.astype(np.float32)
     good, bad = max(float((1 - toxic).sum()), 0.0), float(toxic.sum())
     # texts that hold each word's core, by kind
     cores, core_of = np.unique(w.keys, return_inverse=True)
-    pair = np.unique(t.words_of() * np.int64(len(cores) + 1) + core_of[w.of]) if len(t.starts) else np.zeros(0, np.int64)
+    word_row = np.repeat(np.arange(len(row_word) - 1), np.diff(row_word))
+    pair = np.unique(word_row * np.int64(len(cores) + 1) + core_of[w.of])
     row, core = pair // (len(cores) + 1), pair % (len(cores) + 1)
     held = np.bincount(core, minlength=len(cores))
     held_bad = np.bincount(core, toxic[row] if len(row) else None, minlength=len(cores))
@@ -218,13 +236,7 @@ def train(column, toxic: np.ndarray, seed: int = 1) -> Network:
         net.p["out"][:] = 0
         net.p["bias"][0] = min(prior, -1.0) if not bad else max(prior, 1.0)
         return net
-    wrow, first, length = windows(t.row_word)
-    # at most TRAIN_WINDOWS of each text, spread evenly
-    count = np.bincount(wrow, minlength=len(toxic))
-    place = np.arange(len(wrow)) - np.repeat(np.cumsum(count) - count, count)
-    step = -(-count // TRAIN_WINDOWS)
-    keep = place % step[wrow] == 0
-    wrow, first, length = wrow[keep], first[keep], length[keep]
+    wrow, first, length = windows(row_word)
     heads = np.flatnonzero(np.concatenate([[True], wrow[1:] != wrow[:-1]]))
     spans = np.concatenate([heads, [len(wrow)]])
     guess = np.concatenate([np.zeros(1), odds])[core_of + 1] * own[core_of]  # by distinct word
@@ -283,15 +295,18 @@ def _subset(w: Words, some: np.ndarray) -> Words:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
-                  limit: int = TRAIN_ROWS) -> pa.Table:
-    """(text, y) of at most ``limit`` labelled ids, the first by their hash; rows with other labels than 0 and 1 are left out."""
+                  limit: int = TRAIN_ROWS, limit_bytes: int = TRAIN_BYTES) -> pa.Table:
+    """(text, y) of at most ``limit`` labelled ids, the first by their hash, whose
+    whole texts have ``limit_bytes`` at most; rows with other labels than 0 and 1 are left out."""
     chosen = (labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull())
               .select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("y"))
               .groupBy("_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("_id"), "_id").limit(limit))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text).cast("string").alias("text")).dropna(subset=["_id"])
     # at most ``limit`` rows of two numbers are broadcast; a repeated id counts once
+    # the running size is over at most ``limit`` rows
+    size = F.sum(F.octet_length(F.coalesce("text", F.lit("")))).over(Window.orderBy(F.xxhash64("_id"), "_id"))
     return (rows.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.first("text").alias("text"), F.first("y").alias("y"))
-            .orderBy("_id").select("text", "y").toArrow())
+            .withColumn("_size", size).where(F.col("_size") <= limit_bytes).orderBy("_id").select("text", "y").toArrow())
 
 
 def fit(docs: DataFrame, labels: DataFrame, **names) -> Network:

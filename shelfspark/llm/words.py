@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -186,7 +187,7 @@ class SpanCodes:
             total = int(size.sum())
             while self.used + total > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.int32)])
-            self.flat[self.used:self.used + total] = np.concatenate([np.asarray(c, np.int32) for c in codes])
+            self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(codes), np.int32, total)
             self.at = np.insert(self.at, place[new], self.used + np.cumsum(size) - size)
             self.size = np.insert(self.size, place[new], size)
             self.keys = np.insert(self.keys, place[new], keys[new])

@@ -1,5 +1,5 @@
 """Exploratory tables (EDA1-EDA9), previews and global top-k (TOP1-TOP6),
-sampling (SMP1).
+repeatable sampling by hash (SMP1).
 
 The reference draws charts from pandas copies of whole tables; here the
 tables behind the charts are computed in Spark and stay distributed.
@@ -21,20 +21,34 @@ def preview(df: DataFrame, key, n: int = PREVIEW_ROWS) -> DataFrame:
     return top_k(df, key, n)
 
 
-def top_by(df: DataFrame, col: str, tiebreak: list[str], k: int = PREVIEW_ROWS) -> DataFrame:
-    """TOP2: global top-k by one column desc, ties by ``tiebreak`` ascending."""
-    return top_k(df, [F.col(col).desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in tiebreak], k)
-
-
 def top_products_by_quantity(enriched: DataFrame, k: int = PREVIEW_ROWS) -> DataFrame:
     """TOP5 / EDA3: top-k products by total quantity over all interactions."""
     agg = enriched.groupBy("ProductID").agg(F.sum("Quantity").cast("long").alias("total_quantity"))
     return top_k(agg, [F.col("total_quantity").desc(), F.col("ProductID").asc()], k)
 
 
-def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    """SMP1: Bernoulli sample (the sampling operator itself)."""
-    return df.sample(fraction=fraction, seed=seed)
+def _share(fraction: float) -> str:
+    """The first eight hex digits below which that share of all hashes lies."""
+    return format(min(int(fraction * (1 << 32)), (1 << 32) - 1), "08x")
+
+
+def sample_rows(df: DataFrame, fraction: float = 0.1, keys=("OrderID", "ProductID"), seed: int = 42,
+                stratum: str | None = None, fractions: dict | None = None) -> DataFrame:
+    """SMP1: a sample by the hash of each row's key: the same rows on every run and
+    under every partitioning, and rows of one key stay together.
+
+    A row is taken if the MD5 of seed and key starts below ``fraction``. With
+    ``stratum``, ``fractions`` gives the share of a stratum's value (others:
+    ``fraction``). Without bias for any key; NULL key parts count as empty.
+    ``fraction`` 1 takes everything.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    digest = F.substring(F.md5(text), 1, 8)
+    taken = lambda f: F.lit(True) if f >= 1 else digest < F.lit(_share(f))
+    keep = taken(fraction)
+    for value, f in (fractions or {}).items():
+        keep = F.when(F.col(stratum) == value, taken(f)).otherwise(keep)
+    return df.where(keep)
 
 
 def interaction_type_counts(enriched: DataFrame) -> DataFrame:

@@ -12,16 +12,10 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.columns import as_of_date
 
+# Fixed value: recency of a pair that never met.
 NEVER_DAYS = 999
 
 
-def source_counts(union: DataFrame) -> DataFrame:
-    """AGG11 / FEA1: num_sources and the sorted set of sources per pair."""
-    return (union.groupBy("CustomerID", "ProductID")
-                 .agg(F.countDistinct("candidate_source").alias("num_sources"),
-                      F.sort_array(F.collect_set("candidate_source")).alias("candidate_sources")))
-
-
 def interaction_features(cands: DataFrame, interactions: DataFrame) -> DataFrame:
     """FEA2 / JN12: events (0 when none), last time, repeat flag (events > 0)."""
     ui = interactions.select("CustomerID", "ProductID", "interaction_events", "last_interaction_ts")
@@ -57,7 +51,7 @@ def final_features(cand_sources: DataFrame, interactions: DataFrame, features: D
     """final_features: FEA1 provenance + FEA2 + FEA3 + FEA4.
 
     ``cand_sources`` has CustomerID, ProductID, num_sources, candidate_sources
-    (``candidates.candidates_with_sources`` or ``source_counts``).
+    (``candidates.candidates_with_sources``).
     """
     base = cand_sources.select("CustomerID", "ProductID", "num_sources", "candidate_sources")
     df = with_recency_days(interaction_features(base, interactions), as_of)

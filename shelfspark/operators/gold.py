@@ -58,6 +58,12 @@ def order_items(enriched: DataFrame) -> DataFrame:
     return purchases(enriched).select("OrderID", "ProductID").distinct()
 
 
+def frequent_items(items: DataFrame, min_support: int) -> DataFrame:
+    """Rows of ``order_items`` whose product is in at least ``min_support`` orders."""
+    support = items.groupBy("ProductID").agg(F.count(F.lit(1)).alias("_support"))
+    return items.join(support.where(F.col("_support") >= min_support).select("ProductID"), "ProductID", "left_semi")
+
+
 def _pairs(items: DataFrame, chunk_items: int) -> DataFrame:
     """Each order's pairs a < b. An order has ceil(items / ``chunk_items``)
     buckets, one in ordinary orders; item p is in bucket h(p). The left side
@@ -84,8 +90,15 @@ def frequently_bought_together(enriched: DataFrame, min_support: int = 1,
     ``COUNT(*)``: one aggregate level instead of two. One join key holds about
     ``chunk_items`` items a side, whatever the size of its order (``_pairs``).
     The output is inherently every co-purchased pair.
+
+    With ``min_support`` above 1, products in fewer orders than that leave before
+    the self-join: a pair is in no more orders than either of its products
+    (a-priori), so no pair of the result is lost and rare products make no pairs.
     """
-    return (_pairs(order_items(enriched), chunk_items).groupBy("ProductID_A", "ProductID_B")
+    items = order_items(enriched)
+    if min_support > 1:
+        items = frequent_items(items, min_support)
+    return (_pairs(items, chunk_items).groupBy("ProductID_A", "ProductID_B")
                  .agg(F.count(F.lit(1)).alias("together_orders"))
                  .where(F.col("together_orders") >= min_support))
 

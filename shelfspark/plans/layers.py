@@ -48,29 +48,17 @@ class Layers:
         return cls(fx.customers(spark, sf_dir), fx.products(spark, sf_dir), sales, as_of=as_of, **kw)
 
     def materialize(self, *names: str, root: str | None = None,
-                    table_names: dict | None = None,
-                    partitions: dict | None = None) -> "Layers":
+                    table_names: dict | None = None) -> "Layers":
         """Write the named tables once (in order) as Parquet and read them back:
         later branches scan a written table instead of recomputing its
         lineage. Without ``root`` the tables go to fresh folders under the
         shared checkpoint folder; with ``root`` to ``root/<table name>``
-        (the medallion runner). ``partitions`` maps a name to
-        ``(column, expression)``: the table is written partitioned by that
-        derived column (e.g. the event date of the fact). Returns ``self``."""
+        (the medallion runner). Returns ``self``."""
         import os
         from shelfspark.session import written
         for name in names:
-            df = getattr(self, name)
             path = None if root is None else os.path.join(root, (table_names or {}).get(name, name))
-            part = (partitions or {}).get(name)
-            if part is None:
-                self.__dict__[name] = written(df, f"layer-{name}", path)
-            else:
-                from shelfspark.session import scratch_path
-                col, expr = part
-                path = path or scratch_path(df.sparkSession, f"layer-{name}")
-                df.withColumn(col, expr).write.mode("overwrite").partitionBy(col).parquet(path)
-                self.__dict__[name] = df.sparkSession.read.parquet(path)
+            self.__dict__[name] = written(getattr(self, name), f"layer-{name}", path)
         return self
 
     # ---- gold -------------------------------------------------------

@@ -73,7 +73,6 @@ def test_simple8b_round_trip(values):
 def test_tokens(spark, sf, rows):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(queries.tokenizer_file("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     got, start = by_id(queries.q_tokens(spark, sf)), 0
     for i, text, *_ in rows:
         ids = t.encode(text or "", add_special_tokens=False).ids + [2]
@@ -81,6 +80,24 @@ def test_tokens(spark, sf, rows):
         start += len(ids)
 
 
+def test_token_pieces_follow_the_library():
+    """Random texts with letters that change under lower-casing, joiners, special tokens and punctuation."""
+    from tokenizers import Tokenizer
+    name = queries.tokenizer_file("word_bpe_49k.json")
+    t, rng = Tokenizer.from_file(name), random.Random(11)
+    marks = ["İ", "ı", "K", "ß", "ẞ", "é", "e\u0301", "\u0307", "Ω", "ﬁ", "٣", "½", "漢", "\u200d", "\U0001F600", "<|endoftext|>", "<|ENDOFTEXT|>",
+             "<|startoftext|>", "<|", "|>", "'s", "'LL", "...", "!?", "_", "\u00a0", "\u3000", " ", " ", "\n", "\t", "a", "Bc", "9", "12", "Kİ.", "$", "~"]
+    rows = ["Kİ.", "x<|endoftext|>y.", "<|endoftext|>"] + ["".join(rng.choice(marks) for _ in range(rng.randint(1, 14))) for _ in range(6000)]
+    codes = tokens.SpanCodes(tokens.word_encoder(name))
+    got = []
+    for part in texts(pa.array(rows), limit=20_000):
+        data, starts, ends, row_piece = tokens.pieces(part)
+        flat, size = codes(data, starts, ends)
+        bounds = np.concatenate([[0], np.cumsum(tokens.per_row(size, row_piece))]).tolist()
+        got += [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+    assert [(r, g) for r, g in zip(rows, got) if g != t.encode(r, add_special_tokens=False).ids] == []
+
+
 def test_bpe(spark, sf, rows):
     import public_tokenizers as P
     import tiktoken
@@ -521,3 +538,8 @@ def test_pipeline_against_a_plain_version(spark, sf, rows, tmp_path):
     for i, r in got.items():
         own = enc.encode_ordinary(left[i])
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(own), sha(struct.pack(f"<{len(own)}I", *own)), sha(left[i])), i
+
+
+def test_long_zero_runs_are_no_ip(spark):
+    assert pii.base_spans("0" * 5000 + "1.2.3.4") == [(0, 5007, 1)]
+    assert pii.base_spans("1" * 5000 + ".2.3.4") == []
