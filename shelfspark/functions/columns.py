@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Interaction weights used by the recency-weighted score.
@@ -61,6 +61,16 @@ def is_type(col, name: str) -> Column:
     return F.lower(_c(col)) == F.lit(name)
 
 
+#: A stored fact carries its types in lower case beside the published ones, under this name.
+TYPE_KEY = "type_key"
+
+
+def with_type_key(df: DataFrame, col: str = "InteractionType") -> DataFrame:
+    """FLT4: the interaction type in lower case, so that a filter on it is a plain
+    equality that reaches the scan."""
+    return df.withColumn(TYPE_KEY, F.lower(col))
+
+
 def age_group(age) -> Column:
     """Eight age labels; NULL age is 'Unknown'."""
     a = _c(age)

@@ -5,8 +5,9 @@
   shuffle, so a hot key ships at most ``n`` rows per map task.
 * ``top_k``: ``orderBy().limit()`` -> TakeOrderedAndProject (per-task
   top-k, then a k-row merge); no full sort.
-* ``histogram``: equal-width bins; min/max come from one scalar subquery
-  (executed once, a 2-value result), then a partial-aggregated count.
+* ``histogram``: equal-width bins in one pass over the input: partial counts of
+  narrow cells with their least and greatest value, merged into bins; only the
+  values in the few cells that a bin's edge crosses are told apart one by one.
 * ``assign_ids``: consecutive ids after ``max(existing)`` from a
   distributed sort plus per-partition offsets (a table with one row per
   partition), never a single-partition window over the data.
@@ -50,22 +51,50 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+# A cell of ``histogram`` holds the doubles that agree in this many binary digits.
+CELL_DIGITS = 12
+
+
+def _cell(x: Column) -> Column:
+    """The cell of a double: its leading binary digits, scaled to its exponent.
+    Any cutting is right, as each cell keeps its least and greatest value."""
+    digits = F.greatest(F.floor(F.log2(F.abs(x))) - CELL_DIGITS, F.lit(-1000))  # the scale of tiny values stays above 0
+    scale = F.pow(F.lit(2.0), digits)
+    return F.when(x == 0, 0.0).otherwise(F.floor(x / scale) * scale)
+
+
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Equal-width histogram of a numeric column.
 
     Bins span [min, max]; the last bin is closed on the right; NULLs are
     ignored; only non-empty bins are returned. Columns: bin (0-based),
     bin_start, bin_end, n.
+
+    The input is worked out once: its values go to a narrow written table (no
+    shuffle). Cells merge to (least, greatest, count) by partial aggregation, a
+    small table whatever the input; an edge crosses one cell at most, and only the
+    values of the crossed cells are looked at one by one.
     """
+    from shelfspark.session import written
+
     x = F.col(col).cast("double")
-    vals = df.select(x.alias("_x")).where(F.col("_x").isNotNull())
-    stats = vals.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi")).alias("s"))
-    s = stats.scalar()
+    vals = written(df.select(x.alias("_x")).where(F.col("_x").isNotNull()).withColumn("_cell", _cell(F.col("_x"))), "histogram")
+    cells = written(vals.groupBy("_cell").agg(F.min("_x").alias("_least"), F.max("_x").alias("_greatest"),
+                                              F.count(F.lit(1)).alias("_n")), "histogram-cells")
+    s = cells.agg(F.struct(F.min("_least").alias("lo"), F.max("_greatest").alias("hi"))).scalar()
     lo, hi = s.getField("lo"), s.getField("hi")
     width = (hi - lo) / F.lit(float(bins))
-    b = F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_x") - lo) / width).cast("int"), F.lit(bins - 1)))
-    counts = vals.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+    def bin_of(v: str) -> Column:
+        return F.when(hi == lo, F.lit(0)).otherwise(
+            F.least(F.floor((F.col(v) - lo) / width).cast("int"), F.lit(bins - 1)))
+
+    ends = cells.select("_cell", "_n", bin_of("_least").alias("bin"), bin_of("_greatest").alias("_last"))
+    whole = ends.where(F.col("bin") == F.col("_last")).select("bin", "_n")
+    # an edge crosses one cell, so there are at most ``bins`` of them: a proven, tiny broadcast
+    crossed = F.broadcast(ends.where(F.col("bin") < F.col("_last")).select("_cell"))
+    parted = vals.join(crossed, "_cell", "left_semi").select(bin_of("_x").alias("bin"), F.lit(1).cast("long").alias("_n"))
+    counts = whole.unionByName(parted).groupBy("bin").agg(F.sum("_n").cast("long").alias("n"))
     return counts.select(
         "bin",
         (lo + F.col("bin") * width).alias("bin_start"),

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.functions.columns import TYPE_KEY
 from shelfspark.sources.days import EVENT_DATE
 
 # Rows without a customer are dealt over so many join keys.
@@ -89,9 +90,10 @@ def sales_fact(sales: DataFrame) -> DataFrame:
     neither drop nor repeat fact rows: aggregates that read only sales
     columns are identical over this narrower fact, and at scale the fact is
     not shuffled through joins whose columns are never read."""
-    day = [EVENT_DATE] if EVENT_DATE in sales.columns else []  # a fact stored by day keeps its partition column
+    # a stored fact keeps the columns that its scans are filtered by
+    stored = [c for c in (EVENT_DATE, TYPE_KEY) if c in sales.columns]
     return (sales.where(F.col("OrderID").isNotNull() & F.col("ProductID").isNotNull())
-                 .select(*SALES_FACT_COLUMNS, *day))
+                 .select(*SALES_FACT_COLUMNS, *stored))
 
 
 def sales_with_products(sales: DataFrame, products: DataFrame) -> DataFrame:

@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions.columns import (
-    as_of_date, interaction_weight, is_type, price_band, recency_decay,
+    TYPE_KEY, as_of_date, interaction_weight, is_type, price_band, recency_decay,
 )
+from shelfspark.sources.days import period
 
 
 def purchases(df: DataFrame) -> DataFrame:
-    """FLT4: case-insensitive ``InteractionType = 'purchase'``."""
+    """FLT4: case-insensitive ``InteractionType = 'purchase'``; a fact stored with its
+    types in lower case (``with_type_key``) is filtered by equality, in the scan."""
+    if TYPE_KEY in df.columns:
+        return df.where(F.col(TYPE_KEY) == "purchase")
     return df.where(is_type("InteractionType", "purchase"))
 
 
@@ -103,15 +107,16 @@ def frequently_bought_together(enriched: DataFrame, min_support: int = 1,
                  .where(F.col("together_orders") >= min_support))
 
 
-def trending_products(enriched: DataFrame, as_of=None, days: int = 30) -> DataFrame:
+def trending_products(enriched: DataFrame, as_of=None, days: int = 30, grain: str = "day") -> DataFrame:
     """AGG4 + FLT5 gold_trending_products_30d: purchases on or after
-    ``as_of - days`` (midnight, inclusive; no upper bound)."""
+    ``as_of - days`` (midnight, inclusive; no upper bound). ``grain``: of a fact
+    that is stored by period (``sources.days``)."""
     start = F.date_sub(as_of_date(as_of), days)
     recent = purchases(enriched).where(F.col("EventTime") >= start)
     if "event_date" in enriched.columns:
-        # a fact stored partitioned by event date: the same bound on the
+        # a fact stored partitioned by event date: the bound's own period on the
         # partition column lets the scan skip older partitions
-        recent = recent.where(F.col("event_date") >= start)
+        recent = recent.where(F.col("event_date") >= period(start, grain))
     # One pass, three levels: (product, customer, labels) with hash
     # aggregation over the raw rows, then (product, customer), then product:
     # the distinct-customer count is the number of non-NULL customers left

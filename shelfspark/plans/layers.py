@@ -31,7 +31,7 @@ EVENTS_AS_OF = "2024-01-31"
 class Layers:
     def __init__(self, customers: DataFrame, products: DataFrame, sales: DataFrame,
                  as_of=ORDERS_AS_OF, limit: int = cnd.DEFAULT_LIMIT,
-                 top_list: int = cnd.DEFAULT_TOP_LIST, recs: int = 10):
+                 top_list: int = cnd.DEFAULT_TOP_LIST, recs: int = 10, grain: str = "day"):
         self.silver_customers = dims.conform_customers(customers)
         self.silver_products = dims.conform_products(products)
         self.silver_sales = sales
@@ -39,6 +39,7 @@ class Layers:
         self.limit = limit
         self.top_list = top_list
         self.recs = recs
+        self.grain = grain  # of stored sales with a partition column
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, as_of=ORDERS_AS_OF, **kw) -> "Layers":
@@ -95,7 +96,7 @@ class Layers:
 
     @cached_property
     def trending(self) -> DataFrame:
-        return gold.trending_products(self.fact_products, self.as_of)
+        return gold.trending_products(self.fact_products, self.as_of, grain=self.grain)
 
     @cached_property
     def preferences(self) -> DataFrame:

@@ -21,6 +21,7 @@ from shelfspark.operators import clean, dims, explore, features as fea, gold
 from shelfspark.plans import oracle as O
 from shelfspark.plans.layers import EVENTS_AS_OF, ORDERS_AS_OF, Layers
 from shelfspark.sources import fixtures as fx
+from shelfspark.sources.tables import write_bucketed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -382,8 +383,69 @@ def q_assigned_ids(spark, d):
     return dims.assign_new_ids(sup, cust, "c_custkey", ["s_suppkey"])
 
 
+SAMPLE_STRATA = {"purchase": 0.25, "view": 0.05}
+
+
 def q_sample_sales(spark, d):
-    return explore.sample_rows(_L(spark, d).enriched, 0.1, 42)
+    return rounded(explore.sample_rows(_L(spark, d).enriched, 0.1))
+
+
+def q_sample_sales_strata(spark, d):
+    """SMP1 by interaction type: a share of its own for each stratum."""
+    return rounded(explore.sample_rows(_L(spark, d).enriched, 0.1, stratum="InteractionType", fractions=SAMPLE_STRATA))
+
+
+def q_sink_candidates(spark, d):
+    """SNK1: the final candidates as the bucketed table that later jobs join."""
+    return write_bucketed(_Lm(spark, d).candidates, "candidates")
+
+
+def q_sink_labeled(spark, d):
+    """SNK2: features and labels from bucketed candidates and interactions (their
+    joins and counts need no shuffle), written into the same buckets."""
+    L = _Lm(spark, d)
+    cands = write_bucketed(L.candidates, "candidates")
+    pairs = write_bucketed(L.interactions, "interactions")
+    return rounded(write_bucketed(fea.labeled_features(cands, pairs), "labeled", dealt=True))
+
+
+def _medallion(spark, d, *only):
+    """A run of the medallion pipeline over the raw feeds, then a refresh with the
+    second half of the sales files and the updated products."""
+    import os
+    from shelfspark.plans import medallion
+    from shelfspark.session import scratch_path
+    from shelfspark.sources.csv import write_feed
+    root = scratch_path(spark, "medallion")
+    feeds = [os.path.join(root, x) for x in ("customers", "products", "sales")]
+    sales, products = fx.raw_sales(spark, d), fx.raw_products(spark, d)
+    late, updated = F.col("Season").isin("Summer", "Fall"), F.col("IsUpdated") == "Yes"
+    write_feed(fx.raw_customers(spark, d), feeds[0])
+    write_feed(products.where(~updated), feeds[1])
+    write_feed(sales.where(~late), feeds[2])
+    run = lambda names: medallion.run(spark, *feeds, os.path.join(root, "tables"), as_of=ORDERS_AS_OF, only=names,
+                                      grain="month")
+    run(["gold_sales_enriched"])
+    write_feed(products.where(updated), feeds[1], mode="append")
+    write_feed(sales.where(late), feeds[2], mode="append")
+    return run(only)
+
+
+def q_medallion_recommendations(spark, d):
+    """SNK3: recommendations of the pipeline after an incremental refresh."""
+    recs = _medallion(spark, d, "gold_final_recommendations").read("gold_final_recommendations")
+    return recs.select("CustomerID", F.array_join(F.transform("recommended_products", lambda x: x.cast("string")), ",")
+                       .alias("recommended_products"))
+
+
+def q_medallion_enriched(spark, d):
+    """SNK3 + FLT5: the fact table by day after an incremental refresh."""
+    return rounded(_medallion(spark, d).read("gold_sales_enriched"))
+
+
+def q_medallion_trending(spark, d):
+    """FLT5: trending products of the pipeline, from the days of its window alone."""
+    return _medallion(spark, d, "gold_trending_products_30d").read("gold_trending_products_30d")
 
 
 def q_als_recommendations(spark, d):
@@ -423,6 +485,14 @@ def q_stream_dedup_sales(spark, d):
     return rounded(_streaming().stream_dedup_roundtrip(spark, fx.raw_sales(spark, d), _ingest()))
 
 
+def q_feed_rejects(spark, d):
+    """STR5: each row of a damaged sales feed with its error class."""
+    number = F.col("OrderID").cast("bigint")
+    raw = fx.raw_sales(spark, d).withColumn("ProductID", F.when(number % 73 == 0, F.concat(F.lit("P-"), "ProductID"))
+                                            .when(number % 79 != 0, F.col("ProductID")))
+    return _streaming().feed_rejects_roundtrip(spark, raw, number % 71 == 0)
+
+
 def q_stream_snapshot_products(spark, d):
     return rounded(_streaming().stream_snapshot_roundtrip(spark, fx.raw_products(spark, d), _ingest()))
 
@@ -461,11 +531,10 @@ FROM b GROUP BY bin, lo, hi"""
 
 
 def _ev_weighted() -> str:
-    return (f"SELECT CustomerID, ProductID, SUM({O._weight('InteractionType')} * "
-            f"{O._decay('EventTime', EVENTS_AS_OF)}) AS recency_weighted_score, "
-            "COUNT(*) AS interaction_events, MAX(EventTime) AS last_interaction_ts "
-            "FROM fx_interactions WHERE CustomerID IS NOT NULL AND ProductID IS NOT NULL "
-            "GROUP BY CustomerID, ProductID")
+    return (f"SELECT CustomerID, ProductID, SUM(ifnull(points, 0.5e0) * {O._decay('EventTime', EVENTS_AS_OF)}) "
+            "AS recency_weighted_score, COUNT(*) AS interaction_events, MAX(EventTime) AS last_interaction_ts "
+            "FROM fx_interactions LEFT JOIN type_weights ON kind = lower(InteractionType) "
+            "WHERE CustomerID IS NOT NULL AND ProductID IS NOT NULL GROUP BY CustomerID, ProductID")
 
 
 HYB = "CustomerID, ProductID, " + _r(["cf_weighted_score", "recency_weighted_score",
@@ -498,6 +567,12 @@ VERSIONS_R = _cols_r("ProductID, ProductName, Brand, AvailableColors, AvailableS
 
 W = O.with_ctes
 
+def _sample_sql(share: str) -> str:
+    """Rows whose hash, as a number from 0 to 1, lies below ``share``."""
+    return ("CAST('0x' || substr(md5(concat('42|', ifnull(OrderID, ''), '|', ifnull(CAST(ProductID AS VARCHAR), ''))), 1, 8) "
+            f"AS BIGINT) < floor(({share}) * 4294967296e0)")
+
+
 # source -> the CTE with all its pairs, each active user's groups, each group's products
 GROUP_SOURCES = {
     "same_category": ("c_cat", "SELECT CustomerID, Category AS grp FROM preferences",
@@ -564,7 +639,7 @@ ORACLE: dict[str, str] = {
                                + ", interaction_events, last_interaction_ts FROM weighted", "weighted"),
     "events_interactions_weighted": W("SELECT CustomerID, ProductID, " + _r(["recency_weighted_score"])
                                       + f", interaction_events, last_interaction_ts FROM ({_ev_weighted()}) t",
-                                      "fx_interactions"),
+                                      "fx_interactions", "type_weights"),
     "hybrid_scores": W(f"SELECT {HYB} FROM hybrid", "hybrid"),
     "hybrid_scores_onepass": W(f"SELECT {HYB} FROM hybrid", "hybrid"),
     "final_recommendations": W("SELECT CustomerID, CAST(rn AS INTEGER) AS rank, ProductID, "
@@ -659,7 +734,7 @@ ORACLE: dict[str, str] = {
         "SELECT CustomerID, CAST(SUM(interaction_events) AS BIGINT) AS total_interactions, "
         "MAX(last_interaction_ts) AS last_interaction, "
         f"CAST(floor(date_diff('second', MAX(last_interaction_ts), TIMESTAMP '{EVENTS_AS_OF} 00:00:00') / 86400.0e0) AS BIGINT) "
-        f"AS days_since_last_interaction FROM ({_ev_weighted()}) w GROUP BY CustomerID", "fx_interactions"),
+        f"AS days_since_last_interaction FROM ({_ev_weighted()}) w GROUP BY CustomerID", "fx_interactions", "type_weights"),
     "product_variants": W(
         "SELECT ProductID, 'color' AS variant_type, trim(v) AS variant FROM (SELECT ProductID, "
         "unnest(string_split(AvailableColors, ',')) AS v FROM latest_versions WHERE AvailableColors <> 'NA') a "
@@ -678,6 +753,24 @@ ORACLE: dict[str, str] = {
                     "+ ROW_NUMBER() OVER (ORDER BY s_suppkey) AS NewID FROM supplier",
     "csv_roundtrip_customers": W(f"SELECT {CUST_CLEAN_R} FROM clean_customers", "clean_customers"),
     "csv_inferred_customers": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "sample_sales": W(f"SELECT {ENRICHED_R} FROM enriched WHERE {_sample_sql('0.1')}", "enriched"),
+    "sample_sales_strata": W(f"SELECT {ENRICHED_R} FROM enriched WHERE " + _sample_sql(
+        "CASE InteractionType " + " ".join(f"WHEN '{k}' THEN {f}" for k, f in SAMPLE_STRATA.items()) + " ELSE 0.1 END"), "enriched"),
+    "sink_candidates": W("SELECT CustomerID, ProductID, candidate_source FROM c_final", "c_final"),
+    "sink_labeled": W("SELECT CustomerID, ProductID, candidate_source, user_total_interactions, "
+                      "interaction_count, has_interacted, " + _r(["user_product_affinity"])
+                      + ", is_repeat_interaction, label FROM labeled", "labeled"),
+    "medallion_recommendations": W("SELECT CustomerID, string_agg(CAST(ProductID AS VARCHAR), ',' ORDER BY rn) "
+                                   "AS recommended_products FROM ranked_recs WHERE rn <= 10 GROUP BY CustomerID",
+                                   "ranked_recs", instead=O.FROM_FEEDS),
+    "medallion_enriched": W(f"SELECT {ENRICHED_R} FROM enriched", "enriched", instead=O.FROM_FEEDS),
+    "medallion_trending": W("SELECT * FROM trending", "trending", instead=O.FROM_FEEDS),
+    "feed_rejects": W("""SELECT *, COUNT(*) OVER (PARTITION BY error) AS stream_rows, COUNT(*) OVER (PARTITION BY error) AS batch_rows
+FROM (SELECT OrderID, ProductID, "Timestamp", CASE WHEN n % 71 = 0 THEN 'malformed_line' WHEN ProductID IS NULL THEN 'missing_key'
+        WHEN starts_with(ProductID, 'P-') THEN 'unparsable_key' WHEN "Timestamp" = 'junk' THEN 'bad_time'
+        WHEN Quantity = '0' THEN 'bad_quantity' WHEN PriceAtPurchase IS NULL THEN 'bad_price' ELSE '' END AS error
+      FROM (SELECT * REPLACE (CASE WHEN n % 73 = 0 THEN concat('P-', ProductID) WHEN n % 79 = 0 THEN NULL ELSE ProductID END
+              AS ProductID) FROM (SELECT *, CAST(OrderID AS BIGINT) AS n FROM fx_raw_sales)))""", "fx_raw_sales"),
     "stream_bronze_sales": W("SELECT * FROM fx_raw_sales", "fx_raw_sales"),
     "stream_dedup_sales": W(f"SELECT {SALES_R} FROM clean_sales", "clean_sales"),
     "stream_snapshot_products": W(f"SELECT {PRODUCTS_R} FROM clean_products", "clean_products"),
@@ -698,9 +791,9 @@ ORACLE["eda_user_activity_hist"] = _hist_query(
     "per_user AS (SELECT CustomerID, SUM(interaction_score) AS total_score FROM interactions GROUP BY CustomerID)",
     ["interactions"], "per_user", "total_score", 50)
 ORACLE["eda_recency_hist"] = _hist_query(
-    f"evw AS ({_ev_weighted()})", ["fx_interactions"], "evw", "recency_weighted_score", 30)
+    f"evw AS ({_ev_weighted()})", ["fx_interactions", "type_weights"], "evw", "recency_weighted_score", 30)
 ORACLE["eda_hybrid_hist"] = _hist_query("hy AS (SELECT * FROM hybrid)", ["hybrid"], "hy", "hybrid_score", 50)
 
-# Rows-only (no SQL oracle): non-deterministic by design or iterative.
-ROWS_ONLY = {"sample_sales", "als_recommendations", "als_heldout_ranking"}
+# Rows-only (no SQL oracle): iterative models.
+ROWS_ONLY = {"als_recommendations", "als_heldout_ranking"}
 ORACLE = {k: v for k, v in ORACLE.items() if k in QUERIES and k not in ROWS_ONLY}

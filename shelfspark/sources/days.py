@@ -8,6 +8,10 @@ never read while it is overwritten, and a repeated merge changes nothing: a run
 that was broken off is simply run again. A table has one writer at a time
 (``streaming.ingest`` has the form for several).
 
+Sparse feeds can be stored by a longer ``grain`` ("week", "month"), so partitions
+keep a size worth a file; ``event_date`` is then the period's first day, and what
+is said of days holds for periods.
+
 Each day is dealt by ``rebalance``: small days share a task, a day that holds a
 third of all rows is split over several, and files are bounded by days plus
 splits. Lists of days pass the driver; there are as many as the calendar has.
@@ -18,7 +22,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.session import written
@@ -42,8 +46,13 @@ def remove(spark: SparkSession, path: str) -> None:
     store.delete(at, True)
 
 
-def with_day(df: DataFrame, time: str = "EventTime") -> DataFrame:
-    return df.withColumn(EVENT_DATE, F.to_date(time))
+def period(time: Column, grain: str = "day") -> Column:
+    """The first day of the period that ``time`` lies in."""
+    return F.to_date(time) if grain == "day" else F.trunc(F.to_date(time), grain)
+
+
+def with_day(df: DataFrame, time: str = "EventTime", grain: str = "day") -> DataFrame:
+    return df.withColumn(EVENT_DATE, period(F.col(time), grain))
 
 
 def read_days(spark: SparkSession, path: str, days: Iterable[dt.date] | None = None) -> DataFrame | None:
@@ -73,13 +82,14 @@ def replace_days(rows: DataFrame, path: str, days: Iterable[dt.date]) -> None:
 
 
 def merge_days(batch: DataFrame, path: str, keys: list[str], latest: Callable[[DataFrame], DataFrame],
-               time: str = "EventTime", before: Callable[[list[dt.date]], None] | None = None) -> list[dt.date]:
+               time: str = "EventTime", before: Callable[[list[dt.date]], None] | None = None,
+               grain: str = "day") -> list[dt.date]:
     """Merge ``batch`` into the table at ``path``; ``latest`` keeps one row per
     ``keys`` by a total order. Returns the rewritten days: those of the batch,
     and those that held another version of one of its keys. ``before`` gets them
     first, for those who must not forget them if the merge breaks off."""
     spark = batch.sparkSession
-    rows = written(with_day(batch, time), "day-batch")
+    rows = written(with_day(batch, time, grain), "day-batch")
     days = set(days_of(rows))
     old = read_days(spark, path)
     if old is not None and days:
@@ -89,5 +99,5 @@ def merge_days(batch: DataFrame, path: str, keys: list[str], latest: Callable[[D
     if days:
         if before is not None:
             before(sorted(days))
-        replace_days(with_day(latest(rows.drop(EVENT_DATE)), time), path, days)
+        replace_days(with_day(latest(rows.drop(EVENT_DATE)), time, grain), path, days)
     return sorted(days)

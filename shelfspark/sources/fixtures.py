@@ -105,14 +105,17 @@ def product_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All-string, dirty customers feed (the 12 CSV columns)."""
+    """All-string, dirty customers feed (the 12 CSV columns): a second version of
+    every 23rd customer and an exact copy of every 29th."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    k = F.col("c_custkey")
+    k, v = F.col("c_custkey"), F.col("v")
     return (c.join(n, c.c_nationkey == n.n_nationkey)
+             .withColumn("v", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+             .where((v == 0) | ((v == 1) & (k % 23 == 0)) | ((v == 2) & (k % 29 == 0)))
              .select(
                  F.when(k % 97 == 0, F.lit(None).cast(S)).otherwise(k.cast(S)).alias("CustomerID"),
-                 F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("CustomerName"),
+                 F.concat(F.lit("  "), F.col("c_name"), F.when(v == 1, " II ").otherwise(" ")).alias("CustomerName"),
                  F.concat(F.lit("+91 "), (F.lit(6000000000) + k).cast(S), F.lit("-")).alias("ContactNumber"),
                  F.when(k % 10 == 0, F.lit("n/a")).when(k % 10 == 1, F.lit(None).cast(S))
                   .otherwise((F.lit(15) + k % 60).cast(S)).alias("Age"),
@@ -120,7 +123,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.concat(F.lit(" "), F.col("n_name")).alias("Location"),
                  F.col("c_mktsegment").alias("SubscriptionStatus"),
                  F.lit(None).cast(S).alias("PaymentMethod"),
-                 F.when(k % 11 == 0, F.lit("x")).otherwise((k % 51).cast(S)).alias("PreviousPurchases"),
+                 F.when(k % 11 == 0, F.lit("x")).otherwise(((k + v % 2) % 51).cast(S)).alias("PreviousPurchases"),
                  F.when(k % 4 == 0, "High").when(k % 4 == 1, "medium")
                   .when(k % 4 == 2, "Very Frequent").otherwise("Weekly").alias("FrequencyOfPurchases"),
                  F.lit(None).cast(S).alias("PreferredSeason"),

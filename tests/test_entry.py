@@ -10,7 +10,9 @@ from conftest import SF_SMALL
 FAST_KEYS = ["final_recommendations", "hybrid_scores", "clean_customers", "clean_sales", "sales_enriched",
              "frequently_bought_together", "trending_30d", "candidates_final", "features_final",
              "features_labeled", "eda_user_activity_hist", "assigned_ids", "product_variants",
-             "csv_roundtrip_customers", "stream_snapshot_products"]
+             "csv_roundtrip_customers", "stream_snapshot_products", "feed_rejects",
+             "sample_sales", "sample_sales_strata", "sink_candidates", "sink_labeled", "medallion_recommendations",
+             "medallion_enriched", "medallion_trending"]
 
 
 def test_entry_schema(spark):
@@ -24,8 +26,15 @@ def test_every_query_has_oracle_or_is_rows_only():
     present, are tested on their own (tests/llm)."""
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) - set(E.LLM_QUERIES) == {"als_recommendations", "als_heldout_ranking"} | (
-        {"sample_sales"} if "sample_sales" not in o else set())
+    assert set(q) - set(o) - set(E.LLM_QUERIES) == {"als_recommendations", "als_heldout_ranking"}
+
+
+def test_oracle_is_independent_of_the_engine():
+    import ast
+    import inspect
+    from shelfspark.plans import oracle
+    used = [n for n in ast.walk(ast.parse(inspect.getsource(oracle))) if isinstance(n, (ast.Import, ast.ImportFrom))]
+    assert all(isinstance(n, ast.ImportFrom) and n.module == "__future__" for n in used)
 
 
 @pytest.mark.parametrize("key", FAST_KEYS)

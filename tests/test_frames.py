@@ -36,6 +36,24 @@ def test_histogram_constant_column(spark):
     assert [(r.bin, r.n) for r in histogram(df, "x", 10).collect()] == [(0, 2)]
 
 
+def test_histogram_of_spread_and_skewed_values(spark):
+    """Cells that edges cross, tiny and negative values, many equal ones."""
+    rng = np.random.default_rng(5)
+    vals = np.concatenate([rng.normal(0, 1, 4000), np.exp(rng.normal(0, 8, 1000)) * 1e-9, [0.0] * 2000, [-5.0, 5.0, 5e-324, -1e-310]])
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double").repartition(7)
+    for bins in (1, 7, 50, 1000):
+        got = {r.bin: r.n for r in histogram(df, "x", bins).collect()}
+        lo, hi = vals.min(), vals.max()
+        at = np.minimum(np.floor((vals - lo) / ((hi - lo) / bins)).astype(int), bins - 1)
+        assert got == {int(b): int(c) for b, c in zip(*np.unique(at, return_counts=True))}
+    plan = histogram(df, "x", 50)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan  # the input itself is not read again: its values were written once
+
+
+def test_histogram_of_an_empty_table(spark):
+    assert histogram(spark.createDataFrame([(None,)], "x double"), "x", 5).collect() == []
+
+
 def test_assign_ids_equals_row_number(spark):
     new = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("key")).repartition(9)
     existing = spark.createDataFrame([(5,), (41,)], "cid long")
@@ -43,3 +61,17 @@ def test_assign_ids_equals_row_number(spark):
     want = sorted((r.key, r.NewID) for r in new.select(
         "key", (F.row_number().over(Window.orderBy("key")) + 41).alias("NewID")).collect())
     assert got == want
+
+
+def test_sample_is_the_same_under_every_partitioning(spark):
+    from shelfspark.operators.explore import sample_rows
+    df = spark.range(0, 20000).select(F.col("id").cast("string").alias("OrderID"), (F.col("id") % 7).alias("ProductID"),
+                                      F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("kind"))
+    one = sorted(map(tuple, sample_rows(df, 0.1).collect()))
+    assert one == sorted(map(tuple, sample_rows(df.repartition(13, "kind"), 0.1).collect()))
+    assert 1800 < len(one) < 2200 and one != sorted(map(tuple, sample_rows(df, 0.1, seed=1).collect()))
+    assert sample_rows(df, 1.0).count() == 20000 and sample_rows(df, 0.0).count() == 0
+    by = {r.kind: r["count"] for r in sample_rows(df, 0.0, stratum="kind", fractions={"a": 0.5}).groupBy("kind").count().collect()}
+    assert set(by) == {"a"} and 3100 < by["a"] < 3600
+    # a smaller share is part of a larger one
+    assert sample_rows(df, 0.05).exceptAll(sample_rows(df, 0.1)).isEmpty()

@@ -1,5 +1,8 @@
-"""End-to-end medallion run from CSV feeds (SNK3) equals the lazy plan."""
+"""The medallion runner (SNK3): every table equals the lazy plan over all files, a
+refresh rewrites only the days it must, trending reads only its window (FLT5),
+rejected rows are kept apart (STR5)."""
 
+import glob
 import os
 
 from pyspark.sql import functions as F
@@ -8,50 +11,135 @@ from shelfspark.functions.columns import as_of_timestamp
 from shelfspark.operators import clean
 from shelfspark.plans import medallion
 from shelfspark.plans.layers import Layers
+from shelfspark.schemas import BRONZE_SALES, SALES_COLUMNS
 from shelfspark.session import scratch_path
 from shelfspark.sources import fixtures as fx
 from shelfspark.sources.csv import write_feed
 
 from conftest import SF_SMALL
 
+AS_OF = "2001-11-05"
 
-def test_medallion_run(spark):
+
+def rows(df, columns=None):
+    """Sorted rows; doubles at ten digits (sums of another order)."""
+    columns = sorted(columns or df.columns)
+    show = lambda v: f"{v * 1.00000000000037:.10g}" if isinstance(v, float) else str(sorted(v, key=str) if isinstance(v, list) else v)
+    return sorted(tuple(show(r[c]) for c in columns) for r in df.select(*columns).collect())
+
+
+def lazy(spark, sales):
+    ing = as_of_timestamp(AS_OF)
+    return Layers(clean.clean_customers(fx.raw_customers(spark, SF_SMALL), ing),
+                  clean.clean_products(fx.raw_products(spark, SF_SMALL), ing), clean.clean_sales(sales, ing), as_of=AS_OF)
+
+
+def recent_sales(spark):
+    """The sales of some months (and rows without a readable time)."""
+    sales = fx.raw_sales(spark, SF_SMALL)
+    return sales.where(F.col("Timestamp").between("2001-09-20", "2001-11-30") | (F.col("Timestamp") == "junk"))
+
+
+def feeds(spark, sales):
     root = scratch_path(spark, "t-medallion")
-    feeds = {k: os.path.join(root, "feeds", k) for k in ("customers", "products", "sales")}
-    write_feed(fx.raw_customers(spark, SF_SMALL), feeds["customers"])
-    write_feed(fx.raw_products(spark, SF_SMALL), feeds["products"])
-    write_feed(fx.raw_sales(spark, SF_SMALL), feeds["sales"])
-    out = os.path.join(root, "tables")
-    t = medallion.run(spark, feeds["customers"], feeds["products"], feeds["sales"], out,
-                      as_of="2001-11-05")
-    for name in list(medallion.GOLD_TABLES.values()) + list(medallion.SERVING_TABLES.values()):
-        assert t.read(name).count() >= 0
-    ing = as_of_timestamp("2001-11-05")
-    lazy = Layers(clean.clean_customers(fx.raw_customers(spark, SF_SMALL), ing),
-                  clean.clean_products(fx.raw_products(spark, SF_SMALL), ing),
-                  clean.clean_sales(fx.raw_sales(spark, SF_SMALL), ing), as_of="2001-11-05")
-    got = t.read("gold_final_recommendations").select(
-        "CustomerID", F.array_join("recommended_products", ",").alias("r"))
-    want = lazy.final_recs.select("CustomerID", F.array_join("recommended_products", ",").alias("r"))
-    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
-    assert t.read("gold_candidate_products").count() == lazy.candidates.count()
-    # rerunning the sales ingest with no new files leaves bronze_sales unchanged
-    from shelfspark.schemas import BRONZE_SALES
-    from shelfspark.streaming.ingest import ingest_csv_stream
-    n = t.read("bronze_sales").count()
-    ingest_csv_stream(spark, feeds["sales"], BRONZE_SALES, t.path("bronze_sales"),
-                      os.path.join(out, "_checkpoints", "bronze_sales"))
-    assert t.read("bronze_sales").count() == n
-
-
-def test_trending_prunes_date_partitions(spark):
-    from shelfspark.operators.gold import trending_products
-    path = scratch_path(spark, "t-part")
-    fact = Layers.from_fixtures(spark, SF_SMALL).enriched
-    fact.withColumn("event_date", F.to_date("EventTime")).write.partitionBy("event_date").parquet(path)
-    stored = spark.read.parquet(path)
-    tr = trending_products(stored, "2001-11-05")
-    plan = tr._jdf.queryExecution().executedPlan().toString()
+    paths = [os.path.join(root, "feeds", k) for k in ("customers", "products", "sales")]
+    write_feed(fx.raw_customers(spark, SF_SMALL), paths[0])
+    write_feed(fx.raw_products(spark, SF_SMALL), paths[1])
+    write_feed(sales, paths[2])
+    return paths, os.path.join(root, "tables")
+
+
+def files_by_day(out, table):
+    return {d.rsplit("=", 1)[1]: sorted(os.listdir(d)) for d in glob.glob(f"{out.removeprefix('file:')}/{table}/event_date=*")}
+
+
+def test_every_table_equals_the_lazy_plan(spark):
+    sales = fx.raw_sales(spark, SF_SMALL)
+    paths, out = feeds(spark, sales)
+    t = medallion.run(spark, *paths, out, as_of=AS_OF, grain="month")
+    want = lazy(spark, sales).materialize("silver_sales", *medallion.GOLD_TABLES, *medallion.SERVING_TABLES)
+    for layer, name in {**medallion.GOLD_TABLES, **medallion.SERVING_TABLES}.items():
+        frame = getattr(want, layer)
+        assert t.read(name).columns == frame.columns, name
+        assert rows(t.read(name)) == rows(frame), name
+    # a run without new files changes nothing
+    before = files_by_day(out, "gold_sales_enriched")
+    again = medallion.run(spark, *paths, out, as_of=AS_OF, only=["gold_trending_products_30d"], grain="month")
+    assert files_by_day(out, "gold_sales_enriched") == before
+    assert rows(again.read("gold_trending_products_30d")) == rows(want.trending)
+
+
+def test_refresh_rewrites_only_touched_days(spark):
+    sales = recent_sales(spark)
+    valid = clean.clean_sales(sales, as_of_timestamp(AS_OF))
+    late_day = str(valid.agg(F.max(F.to_date("EventTime"))).first()[0])
+    late = F.coalesce(F.to_date(F.try_to_timestamp(F.col("Timestamp"))) == F.lit(late_day).cast("date"), F.lit(False))
+    paths, out = feeds(spark, sales.where(~late))
+    only = ["gold_trending_products_30d", "gold_user_price_profile"]
+    medallion.run(spark, *paths, out, as_of=AS_OF, only=only)
+    before = {k: files_by_day(out, k) for k in ("silver_sales", "gold_sales_enriched")}
+    # the new file: the last day, and a new version of one item of an older day
+    old = valid.where(F.to_date("EventTime") < F.lit(late_day).cast("date")).orderBy("OrderID", "ProductID").first()
+    moved = (sales.where((F.col("OrderID") == old.OrderID) & (F.col("ProductID") == str(old.ProductID)))
+                  .withColumn("Timestamp", F.lit(f"{late_day} 12:00:00")).dropDuplicates())
+    write_feed(sales.where(late).unionByName(moved), paths[2], mode="append")
+    t = medallion.run(spark, *paths, out, as_of=AS_OF, only=only)
+    touched = {late_day, str(old.EventTime.date())}
+    for table, was in before.items():
+        now = files_by_day(out, table)
+        assert {d for d in set(now) | set(was) if now.get(d) != was.get(d)} <= touched, table
+        assert now[late_day] != was.get(late_day)
+    want = lazy(spark, sales.unionByName(moved))
+    assert rows(t.read("gold_sales_enriched")) == rows(want.enriched)
+    assert rows(t.read("gold_user_price_profile")) == rows(want.price_profile)
+
+
+def test_changed_dimension_rewrites_its_days(spark):
+    sales = recent_sales(spark)
+    paths, out = feeds(spark, sales)
+    medallion.run(spark, *paths, out, as_of=AS_OF, only=["gold_user_price_profile"])
+    before = files_by_day(out, "gold_sales_enriched")
+    one = clean.clean_sales(sales, as_of_timestamp(AS_OF)).where("CustomerID IS NOT NULL").orderBy("CustomerID").first().CustomerID
+    changed = fx.raw_customers(spark, SF_SMALL).withColumn(
+        "Gender", F.when(F.col("CustomerID") == str(one), F.lit("Other")).otherwise(F.col("Gender")))
+    write_feed(changed, paths[0])
+    t = medallion.run(spark, *paths, out, as_of=AS_OF, only=["gold_user_price_profile"])
+    fact = t.read("gold_sales_enriched")
+    assert {r[0] for r in fact.where(F.col("CustomerID") == one).select("Gender").distinct().collect()} == {"Other"}
+    days = {str(r[0]) for r in fact.where(F.col("CustomerID") == one).select(F.to_date("EventTime")).distinct().collect()}
+    now = files_by_day(out, "gold_sales_enriched")
+    assert {d for d in now if now[d] != before[d]} == days
+
+
+def test_runner_reads_only_the_days_of_the_window(spark):
+    sales = recent_sales(spark)
+    paths, out = feeds(spark, sales)
+    t = medallion.run(spark, *paths, out, as_of=AS_OF, only=["gold_trending_products_30d"])
+    graph = medallion.layers(spark, out, AS_OF)
+    plan = graph.trending._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
-    want = trending_products(fact, "2001-11-05")
-    assert sorted(map(str, tr.collect())) == sorted(map(str, want.collect()))
+    assert rows(t.read("gold_trending_products_30d")) == rows(lazy(spark, sales).trending)
+    # files stay in proportion to days, and the stored day is not published
+    days = files_by_day(out, "gold_sales_enriched")
+    parts = sum(f.endswith(".parquet") for names in days.values() for f in names)
+    assert parts <= len(days) + spark.sparkContext.defaultParallelism
+    # FLT4: types are stored in lower case too, so the filter reaches the scan
+    plan = graph.interactions._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(type_key,purchase)" in plan and "lower(" not in plan
+    assert "event_date" not in t.read("gold_sales_enriched").columns and len(t.read("gold_sales_enriched").columns) == 24
+
+
+def test_rejected_rows_are_kept_apart(spark):
+    sales = recent_sales(spark)
+    paths, out = feeds(spark, sales)
+    t = medallion.run(spark, *paths, out, as_of=AS_OF, only=["gold_user_price_profile"])
+    bad = t.read("bronze_customers_rejects")
+    raw = fx.raw_customers(spark, SF_SMALL)
+    assert {r.error for r in bad.select("error").collect()} <= {"missing_key"}
+    assert bad.count() == raw.where("CustomerID IS NULL").count()
+    assert t.read("bronze_customers").count() + bad.count() == raw.count()
+    good = medallion.bronze_sales(spark, out)
+    from shelfspark.streaming.ingest import appended_rows, reject_schema
+    rejected = appended_rows(spark, t.path("bronze_sales_rejects"), reject_schema(BRONZE_SALES))
+    assert good.columns == SALES_COLUMNS
+    assert good.count() + rejected.count() == sales.count() and rejected.where("error IS NULL").count() == 0

@@ -1,6 +1,7 @@
 """Invariants of the gold / scoring / candidate / feature layers."""
 
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from shelfspark.operators import candidates as cnd
@@ -202,3 +203,44 @@ def test_hot_user_candidates_exact(spark):
     got = key(L.candidate_sources)
     assert got == key(_naive_candidates(L))
     assert sum(1 for r in got if r[0] == 0) == 200
+
+
+def test_min_support_prunes_before_the_self_join(spark):
+    """A-priori: rare products leave first; the pairs are those of the plain result."""
+    from shelfspark.operators import gold
+    rng = np.random.default_rng(3)
+    lines = {(str(o), int(p)) for o in range(300) for p in rng.zipf(1.3, 6) if p < 400}
+    df = spark.createDataFrame([(o, p, "Purchase") for o, p in sorted(lines)], "OrderID string, ProductID long, InteractionType string")
+    plain = gold.frequently_bought_together(df)
+    for support in (2, 5, 20):
+        want = plain.where(F.col("together_orders") >= support)
+        got = gold.frequently_bought_together(df, min_support=support)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    items = gold.order_items(df)
+    frequent = gold.frequent_items(items, 20)
+    assert gold._pairs(frequent, 1000).count() < gold._pairs(items, 1000).count() / 2
+
+
+def test_rows_without_a_customer_and_hot_customers_are_spread(spark):
+    """JN1: a third of the rows have no customer, a fifth one customer: no task holds twice the median."""
+    from shelfspark.operators.facts import join_customers
+    i = F.col("id")
+    sales = spark.range(0, 60000).select(
+        i.cast("string").alias("OrderID"), i.alias("ProductID"), F.lit("2001-01-01").cast("timestamp_ntz").alias("EventTime"),
+        F.when(i % 3 == 0, F.lit(None)).when(i % 5 == 0, F.lit(7)).otherwise(i % 4001).cast("long").alias("CustomerID"))
+    customers = spark.range(0, 4001).select(F.col("id").alias("CustomerID"), F.concat(F.lit("c"), "id").alias("CustomerName"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = join_customers(sales, customers, hot_share=0.01).withColumn("_task", F.spark_partition_id())
+        sizes = sorted(r["count"] for r in got.groupBy("_task").count().collect())
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2], sizes
+        want = sales.join(customers, "CustomerID", "left")
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+        nulls_only = join_customers(sales, customers)
+        assert sorted(map(str, nulls_only.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
