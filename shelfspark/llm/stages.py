@@ -1,7 +1,11 @@
 """The stages of corpus_pipeline.py: each takes (spark, docs, sf_dir).
 
 Every stage judges all documents that the one before kept and returns their
-columns; the last one returns the encoded documents' digests.
+columns; the last one returns the encoded documents' digests. A null text is kept
+by every filter (it is not toxic and holds no line, word or item), rows of one id
+are judged one by one, and of equal documents the one with the smallest id stays
+(near duplicates; null ids last). Empty tables give empty tables; columns beyond
+those of the operators pass through.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.llm import decontaminate, lines, neardup, queries, toxicity
+from shelfspark.llm.words import unused
 from shelfspark.session import written
 
 
@@ -33,10 +38,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: five-word shingles, similarity 0.8."""
-    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
-    found = neardup.near_duplicates(numbered, row_col="_row")
-    gone = found.where(~F.col("first")).select(F.col("row").alias("_row"))
-    return numbered.join(gone, "_row", "left_anti").select(*docs.columns)
+    row = unused(docs, "_row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-documents")
+    found = neardup.near_duplicates(numbered, row_col=row)
+    gone = found.where(~F.col("first")).select(F.col("row").alias(row))
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
