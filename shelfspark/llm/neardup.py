@@ -6,18 +6,20 @@
    universe of 2^20 places; the second, an array, is read shifted by k places
    for coordinate k, so no further hash function is computed.
 2. Texts of one digest are copies: one of them stands for all.
-3. Coordinates are banded. Rows that share a band meet in a bucket; large
-   buckets are cut into blocks, and pairs of blocks are dealt out. Within a
-   block pair the signatures tell which pairs can be similar at all; of those a
-   spanning forest is taken, best estimates first, not all pairs.
+3. Coordinates are banded. Rows that share a band meet in a bucket. The rows of
+   a bucket of more than BLOCK are dealt to blocks, and about PIVOTS of them to
+   each of its blocks, so no row goes to more than one block but for these.
+   Within a block the signatures tell which pairs can be similar at all; of those
+   a spanning forest is taken, best estimates first, not all pairs.
 4. The forest's pairs are verified on their full shingle sets and the links
-   joined to components. Buckets that still hold several components go on with
-   signatures of LONG coordinates and, for sets of up to EXACT shingles, the
-   sets themselves, which settle a pair on the spot: again a forest between
-   components first, then every pair of different components that can be
-   similar and was not tried. So no link between components is lost, and what
-   leaves a bucket beyond the forests is only pairs with a larger set that lie
-   just below the threshold.
+   joined to components. Only buckets that still hold several components go on;
+   there the rows outside the bucket's largest component meet each other and all
+   of that component, block by block, so the work grows with what is still open.
+   Sets of up to EXACT shingles go along and settle a pair on the spot; of larger
+   ones signatures of LONG coordinates do. Again a forest between components comes
+   first, then every pair of different components that can be similar and was not
+   tried. So no link between components is lost, and what leaves a bucket beyond
+   the forests is only pairs with a larger set that lie just below the threshold.
 
 A pair at the threshold misses all 32 bands with probability 5e-8, and falls
 below the bounds of the signatures (0.65 of 128, 0.745 of 1024 at 0.8) with
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm.words import Texts, mix, small_batches, texts
@@ -48,9 +50,12 @@ COORDINATES = BANDS * ROWS
 MARGIN = 0.15
 #: Coordinates of the signatures that settle what the first forest left open, and their margin.
 LONG, LONG_MARGIN = 1024, 0.055
-#: Sets of up to so many shingles go along whole with their long signature.
+#: Sets of up to so many shingles go along whole, instead of a long signature.
 EXACT = 1024
-BLOCK = 512
+#: Rows of one block, and rows of a larger bucket that go to all of its blocks, about.
+BLOCK, PIVOTS = 2048, 16
+#: Pairs that are held at once within a block, and shingles whose coordinates are.
+WAVE, GATHER = 2_000_000, 2048
 #: Texts of at most so many candidates are picked by a broadcast join.
 BROADCAST_ROWS = 1_000_000
 
@@ -103,17 +108,16 @@ def shingle_sets(t: Texts, words: np.ndarray, k: int) -> list[np.ndarray]:
 
 
 def signatures(sets: list[np.ndarray], coordinates: int = COORDINATES) -> np.ndarray:
-    """(n, coordinates) MinHash values; 0 for empty sets."""
-    size = np.fromiter(map(len, sets), np.int64, len(sets))
-    out = np.zeros((coordinates, len(sets)), np.int32)
-    full = np.flatnonzero(size)
-    if len(full):
-        place = (mix(np.concatenate(sets)) >> np.uint64(64 - UNIVERSE_BITS)).astype(np.int64)
-        first = (np.cumsum(size) - size)[full]
-        perm, top = permutation(), 1 << UNIVERSE_BITS
-        for k in range(coordinates):
-            out[k, full] = np.minimum.reduceat(perm[k:k + top].take(place), first)
-    return out.T
+    """(n, coordinates) MinHash values; 0 for empty sets. A shingle's coordinates
+    lie side by side in the second permutation, from its place in the first on."""
+    out = np.zeros((len(sets), coordinates), np.int32)
+    shifted = np.lib.stride_tricks.sliding_window_view(permutation(), coordinates)
+    for i, own in enumerate(sets):
+        place = (mix(own) >> np.uint64(64 - UNIVERSE_BITS)).astype(np.int64)
+        for at in range(0, len(place), GATHER):
+            least = shifted[place[at:at + GATHER]].min(0)
+            out[i] = np.minimum(out[i], least) if at else least
+    return out
 
 
 def _bytes(sig: np.ndarray) -> list[bytes]:
@@ -122,115 +126,162 @@ def _bytes(sig: np.ndarray) -> list[bytes]:
 
 
 def sketches(docs: DataFrame, id_col: str, text: str, shingle: int, row_col: str | None = None) -> DataFrame:
-    """row, id, a, b (digest), n (set size), bands, sig (a byte per coordinate)."""
+    """row, id, a, b (digest), n (set size), sig (a byte per coordinate)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in texts(batch.column(2), lower=True):
                 words = t.hashes()
                 digest, sets = digests(t, words).view(np.int64), shingle_sets(t, words, shingle)
-                sig = signatures(sets).astype(np.uint64)
-                band = np.zeros((len(t), BANDS), np.uint64)
-                for j in range(ROWS):
-                    band = mix(band * np.uint64(0x9E3779B97F4A7C15) + sig[:, j::ROWS] + np.uint64(1))
-                band = mix(band + np.arange(BANDS, dtype=np.uint64))
                 n = np.fromiter(map(len, sets), np.int64, len(sets))
                 rows = batch.slice(t.first, len(t))
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(1), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array(n),
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(t) + 1, dtype=np.int32) * BANDS),
-                                              pa.array(band.reshape(-1).view(np.int64))),
-                     pa.array(_bytes(sig), pa.binary())],
-                    names=["row", "id", "a", "b", "n", "bands", "sig"])
+                     pa.array(_bytes(signatures(sets).astype(np.uint64)), pa.binary())],
+                    names=["row", "id", "a", "b", "n", "sig"])
 
     row = F.col(row_col).cast("long") if row_col else F.monotonically_increasing_id()
     rows = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(task, "row long, id long, a long, b long, n long, bands array<long>, sig binary")
+    return rows.mapInArrow(task, "row long, id long, a long, b long, n long, sig binary")
+
+
+def band_keys(sig: Column) -> Column:
+    """The keys of a signature's bands: ROWS coordinates each."""
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
+                       lambda k: F.xxhash64(k, F.substring(sig, k * ROWS + 1, F.lit(ROWS))))
+
 
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """How many numbers two sorted arrays of distinct ones share."""
+    if len(x) < len(y):
+        x, y = y, x
+    return int((x[np.minimum(x.searchsorted(y), len(x) - 1)] == y).sum()) if len(x) else 0
 
-def _agreeing(keys, nodes, sizes, sigs, sets, groups, bounds, percent: int, forest: bool) -> list[tuple[int, int]]:
-    """Pairs of rows with one key that lie in different groups and whose
-    signatures (``sigs``, the short ones first) all agree in their ``bounds``
-    places or more, less those whose ``sets`` (bytes; None where not at hand)
-    are both there and not similar enough; with ``forest`` a spanning forest of
-    the key's groups, best agreement first. A key's rows are next to each other."""
-    n, found, opened = len(keys), [], {}
 
-    def whole(k: int) -> set:
-        if k not in opened:
-            opened[k] = set(np.frombuffer(sets[k], np.uint64).tolist())
-        return opened[k]
+def short_set(x: np.ndarray) -> bytes:
+    """The set by the upper halves of its hashes."""
+    return np.unique((mix(x) >> np.uint64(32)).astype(np.uint32)).tobytes()
 
-    def similar(a: int, b: int) -> bool:
-        if sets[a] is None or sets[b] is None:
+
+class Bucketed:
+    """Rows of some buckets, those of one key next to each other."""
+
+    def __init__(self, part: pa.Table, percent: int):
+        self.key, self.node, self.n, self.group = (part.column(c).to_numpy() for c in ("key", "node", "n", "group"))
+        self.percent = percent
+        self.sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint8).reshape(len(self.key), -1)
+        more = "shingles" in part.column_names
+        self.sets = [None if x is None else np.frombuffer(x, np.uint32) for x in part.column("shingles").to_pylist()] if more else None
+        self.long = [None if x is None else np.frombuffer(x, np.uint8) for x in part.column("long").to_pylist()] if more else None
+
+    def similar(self, i: int, j: int) -> bool:
+        """Whether the two sets can be similar enough by what is at hand."""
+        if self.sets is None:
             return True
-        both = len(whole(a) & whole(b))
-        return 100 * both >= percent * (int(sizes[a]) + int(sizes[b]) - both)
-
-    step = 1
-    while step < n:
-        i = np.flatnonzero(keys[step:] == keys[:-step])
-        if not len(i):
-            break
-        j = i + step
-        small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
-        can = (100 * small >= percent * large) & (groups[i] != groups[j])
-        i, j = i[can], j[can]
-        for s in range(0, len(i), 50_000):
-            x, y, agree = i[s:s + 50_000], j[s:s + 50_000], None
-            for sig, bound in zip(sigs, bounds):
-                parts = [(sig[x[c:c + 5000]] == sig[y[c:c + 5000]]).sum(1) for c in range(0, len(x), 5000)]
-                agree = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        x, y, n, m = self.sets[i], self.sets[j], int(self.n[i]), int(self.n[j])
+        if x is not None and y is not None:
+            both = _shared(x, y) + n - len(x) + m - len(y)  # at least as many as the whole hashes share
+            return 100 * both >= self.percent * (n + m - both)
+        if self.long[i] is not None and self.long[j] is not None:
+            return (self.long[i] == self.long[j]).sum() >= int(np.ceil(LONG * (self.percent / 100 - LONG_MARGIN)))
+        return True
+
+    def waves(self) -> Iterator[np.ndarray]:
+        """(i, j, agreeing coordinates) of the pairs of one key that lie in different
+        groups and whose sizes and signatures allow them to be similar."""
+        bound, step, held, n = int(np.ceil(COORDINATES * (self.percent / 100 - MARGIN))), 1, [], len(self.key)
+        while step < n:
+            i = np.flatnonzero(self.key[step:] == self.key[:-step])
+            if not len(i):
+                break
+            j = i + step
+            small, large = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
+            can = (100 * small >= self.percent * large) & (self.group[i] != self.group[j])
+            i, j = i[can], j[can]
+            for at in range(0, len(i), 5000):
+                x, y = i[at:at + 5000], j[at:at + 5000]
+                agree = (self.sig[x] == self.sig[y]).sum(1)
                 go = agree >= bound
-                x, y, agree = x[go], y[go], agree[go]
-            if sets is not None:
-                go = np.fromiter(map(similar, x.tolist(), y.tolist()), bool, len(x))
-                x, y, agree = x[go], y[go], agree[go]
-            if len(x):
-                found.append(np.stack([x, y, agree], 1))
-        step += 1
-    if not found:
-        return []
-    pairs = np.concatenate(found)
-    if forest:
-        pairs = pairs[np.lexsort((-pairs[:, 2], keys[pairs[:, 0]]))]
-        parent: dict[tuple, tuple] = {}
-
-        def root(v: tuple) -> tuple:
-            while (up := parent.setdefault(v, v)) != v:
+                if go.any():
+                    held.append(np.stack([x[go], y[go], agree[go]], 1).astype(np.int32))
+            step += 1
+            if sum(map(len, held)) >= WAVE:
+                yield np.concatenate(held)
+                held = []
+        if held:
+            yield np.concatenate(held)
+
+    def pairs(self, forest: bool) -> np.ndarray:
+        """(u, v) with u < v of the pairs that can be similar; with ``forest`` a
+        spanning forest of each key's groups, best agreement first."""
+        found: list[tuple[int, int]] = []
+        place = np.zeros(0, np.int64)
+        if forest:
+            _, place = np.unique(np.stack([self.key, self.group], 1), axis=0, return_inverse=True)
+            place = place.reshape(-1)
+        parent = np.arange(int(place.max(initial=-1)) + 1)
+
+        def root(v: int) -> int:
+            while (up := parent[v]) != v:
                 parent[v] = v = parent[up]
             return v
 
-        chosen = []
-        for x, y, key, g, h in zip(*pairs[:, :2].T.tolist(), keys[pairs[:, 0]].tolist(), groups[pairs[:, 0]].tolist(),
-                                   groups[pairs[:, 1]].tolist()):
-            if (p := root((key, g))) != (q := root((key, h))):
-                parent[p] = q
-                chosen.append((x, y))
-        pairs = np.array(chosen, np.int64).reshape(-1, 2)
-    u, v = nodes[pairs[:, 0]], nodes[pairs[:, 1]]
-    return np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], 1), axis=0).tolist()
-
-
-def candidate_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """(u, v) with u < v from ``members`` (key, size of the bucket, node, n, sig, group and, if there, long and shingles)."""
-    kinds = ["sig", "long"] if "long" in members.columns else ["sig"]
-    whole = ["shingles"] if "long" in members.columns else []
-    bounds = [int(np.ceil(COORDINATES * (percent / 100 - MARGIN))), int(np.ceil(LONG * (percent / 100 - LONG_MARGIN)))]
-    blocks = F.ceil(F.col("bucket") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = (members.withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
-                     "node", "n", "group", *kinds, *whole))
-    dealt = dealt.repartition("key").sortWithinPartitions("key", "node")
+        for wave in self.waves():
+            if not forest:
+                found += [(i, j) for i, j in wave[:, :2].tolist() if self.similar(i, j)]
+                continue
+            wave = wave[np.argsort(-wave[:, 2], kind="stable")]
+            for at in range(0, len(wave), 20_000):
+                while (parent != parent[parent]).any():
+                    parent = parent[parent]
+                some = wave[at:at + 20_000, :2]
+                some = some[parent[place[some[:, 0]]] != parent[place[some[:, 1]]]]
+                for i, j in some.tolist():
+                    if (p := root(place[i])) != (q := root(place[j])) and self.similar(i, j):
+                        parent[p] = q
+                        found.append((i, j))
+        at = np.array(found, np.int64).reshape(-1, 2)
+        u, v = self.node[at[:, 0]], self.node[at[:, 1]]
+        return np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], 1), axis=0)
+
+
+def first_blocks(members: DataFrame) -> DataFrame:
+    """``members`` (key, bucket: its size, node, ..) with the blocks of each row as ``blocks``."""
+    n = F.ceil(F.col("bucket") / BLOCK).cast("int")
+    pivot = F.pmod(F.xxhash64("node", F.lit("pivot")), F.ceil(F.col("bucket") / PIVOTS).cast("int")) == 0
+    own = F.array(F.pmod(F.xxhash64("node"), n).cast("int"))
+    blocks = F.when((n > 1) & pivot, F.sequence(F.lit(0), n - 1)).otherwise(own)
+    return members.withColumn("blocks", F.transform(blocks, lambda k: F.xxhash64("key", k)))
+
+
+def open_blocks(members: DataFrame) -> DataFrame:
+    """``members`` (key, node, group, ..) of the keys that hold several groups with
+    ``blocks``: blocks of the rows outside the key's largest group meet each other
+    and the blocks of that group, whose rows do not meet."""
+    sizes = members.groupBy("key", "group").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("key").agg(F.count("*").alias("groups"), F.sum("n").alias("rows"), F.max(F.struct("n", "group")).alias("main"))
+    mixed = largest.where("groups > 1").select("key", "rows", F.col("main.group").alias("main"), F.col("main.n").alias("main_rows"))
+    count = lambda n: F.ceil(n / BLOCK).cast("int")
+    rest, main = count(F.col("rows") - F.col("main_rows")), count(F.col("main_rows"))
+    place = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    among = F.transform(every(rest), lambda k: F.xxhash64("key", F.lit("rest"), F.least(place(rest), k), F.greatest(place(rest), k)))
+    across = F.transform(every(main), lambda k: F.xxhash64("key", F.lit("main"), place(rest), k))
+    of_main = F.transform(every(rest), lambda k: F.xxhash64("key", F.lit("main"), k, place(main)))
+    blocks = (F.when(F.col("rows") <= BLOCK, F.array("key"))
+              .when(F.col("group") == F.col("main"), of_main).otherwise(F.concat(among, across)))
+    return members.join(mixed, "key").withColumn("blocks", blocks).drop("rows", "main", "main_rows")
+
+
+def candidate_pairs(dealt: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """(u, v) with u < v from rows (blocks, node, n, sig, group and, if there, long and shingles)."""
+    more = [c for c in ("shingles", "long") if c in dealt.columns]
+    rows = dealt.select(F.explode("blocks").alias("key"), "node", "n", "group", "sig", *more)
+    rows = rows.repartition("key").sortWithinPartitions("key", "node")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(part: pa.Table) -> pa.RecordBatch:
-            key, node, n, group = (part.column(c).to_numpy() for c in ("key", "node", "n", "group"))
-            sigs = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(len(key), -1) for c in kinds]
-            sets = part.column("shingles").to_pylist() if whole else None
-            pairs = np.array(_agreeing(key, node, n, sigs, sets, group, bounds, percent, forest), np.int64).reshape(-1, 2)
+            pairs = Bucketed(part, percent).pairs(forest)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
         held = None
@@ -247,7 +298,7 @@ def candidate_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame
         if held is not None:
             yield work(held)
 
-    return dealt.mapInArrow(task, "u long, v long").distinct()
+    return rows.mapInArrow(task, "u long, v long").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -258,7 +309,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(p) + len(q) - len(np.union1d(p, q))
+                both = _shared(p, q)
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
@@ -295,17 +346,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     full = sk.where("n > 0")
     node = full.groupBy("a", "b").agg(F.min("row").alias("node"), F.min_by("id", "row").alias("any_id"))
     node = written(node, "nodes")
-    reps = full.join(node.select(F.col("node").alias("row")), "row").select("row", "n", "bands", "sig")
-    keys = reps.select(F.col("row").alias("node"), F.explode("bands").alias("key"))
+    reps = full.join(node.select(F.col("node").alias("row")), "row").select("row", "n", "sig")
+    keys = reps.select(F.col("row").alias("node"), F.explode(band_keys(F.col("sig"))).alias("key"))
     buckets = keys.groupBy("key").agg(F.count("*").alias("bucket")).where("bucket > 1")
     shared = written(keys.join(buckets, "key"), "buckets")
     sig = reps.select(F.col("row").alias("node"), "n", "sig")
-    signed = shared.join(sig, "node")
-    pairs = written(candidate_pairs(signed.withColumn("group", F.col("node")), percent, forest=True), "pairs")
+    signed = first_blocks(shared).join(sig, "node").withColumn("group", F.col("node"))
+    pairs = written(candidate_pairs(signed, percent, forest=True), "pairs")
 
     def from_texts(some: DataFrame, long: bool) -> DataFrame:
-        """(node, shingles) of ``some`` (node); with ``long`` also their long
-        signatures, and shingles of sets of up to EXACT alone."""
+        """(node, shingles) of ``some`` (node); with ``long`` short sets, of up to EXACT
+        alone, and long signatures of those that a larger set can be similar to."""
         ids = written(some.distinct().join(node, "node"), "wanted")
         wanted = ids.select(F.col("any_id").alias("want")).distinct()
         if wanted.count() <= BROADCAST_ROWS:
@@ -318,8 +369,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 for t in texts(batch.column(0), lower=True):
                     words = t.hashes()
                     d, sets = digests(t, words).view(np.int64), shingle_sets(t, words, shingle)
-                    raw = [x.tobytes() if not long or len(x) <= EXACT else None for x in sets]
-                    sig = _bytes(signatures(sets, LONG).astype(np.uint64)) if long else [None] * len(raw)
+                    raw, sig = [x.tobytes() for x in sets], [None] * len(sets)
+                    if long:
+                        raw = [short_set(x) if len(x) <= EXACT else None for x in sets]
+                        for k in [k for k, x in enumerate(sets) if 100 * len(x) > percent * EXACT]:
+                            sig[k] = _bytes(signatures([sets[k]], LONG).astype(np.uint64))[0]
                     yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(raw, pa.binary()),
                                                       pa.array(sig, pa.binary())], names=["a", "b", "shingles", "long"])
 
@@ -334,18 +388,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     links = linked(pairs, "links")
     comp = components(links)
-    rest = None
+    held = None
     for forest in (True, False):
         # buckets that hold rows of several components
-        grouped = (signed if rest is None else rest).drop("group").join(comp, "node", "left") \
-            .withColumn("group", F.coalesce("root", "node")).drop("root")
-        mixed = grouped.groupBy("key").agg((F.min("group") < F.max("group")).alias("mixed")).where("mixed").select("key")
-        rest = grouped.join(mixed, "key", "left_semi")
-        if "long" not in rest.columns:
+        rest = (shared.select("key", "node") if held is None else held.drop("group", "blocks")).join(comp, "node", "left")
+        rest = open_blocks(rest.withColumn("group", F.coalesce("root", "node")).drop("root"))
+        if held is None:
             rest = written(rest, "open-buckets")
-            rest = rest.join(from_texts(rest.select("node"), long=True), "node")
-        rest = written(rest, "open-buckets")
-        more = written(candidate_pairs(rest, percent, forest).join(pairs, ["u", "v"], "left_anti"), "more-pairs")
+            sets = written(from_texts(rest.select("node"), long=True), "open-sets")
+        held = rest
+        several = held.join(sig, "node").join(sets, "node")
+        more = written(candidate_pairs(several, percent, forest).join(pairs, ["u", "v"], "left_anti"), "more-pairs")
         if more.isEmpty():  # the forest may hold tried pairs alone, and leave others to the last turn
             continue
         late = linked(more, "more-links")
