@@ -2,12 +2,14 @@
 
 Patterns find four base kinds in whole texts. The CRF labels words by the
 shapes of themselves and their neighbours; it is trained with exact gradients
-(forward-backward) on the small labelled table EXAMPLES, and decoded by Viterbi
-over batches of padded segments. A word without a digit, "@" or "+" that is no "dot" is labelled
-only within REACH words of one that has any: everywhere else the outside label
-is fixed, so segments cover all words that can carry a label. Spans that the
-CRF finds and that touch no base span are added under names of their own
-(crf_email, crf_phone, crf_id); base spans always stay.
+(forward-backward) on the small labelled table EXAMPLES. Every word of a text is
+labelled, by Viterbi over batches of padded texts; a text of over LONG_TEXT words
+is decoded in blocks at once, each from every label that it may begin with, and
+the blocks' best paths are then joined, which gives the best path of the whole.
+Spans that the CRF finds are added under names of their own (crf_email, crf_phone,
+crf_id) if they touch no base span and can be what they are called: an address
+spells out its "dot", a phone number has 7 to 15 digits, an identifier 6 to 30.
+So texts with neither a digit nor "dot" need no labels. Base spans always stay.
 
 Null texts count as empty. Positions are code points, ends exclusive.
 """
@@ -22,12 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.words import small_batches, without
+from shelfspark.llm.words import Texts, small_batches, without
+from shelfspark.llm.words import texts as cut_texts
 
 KINDS = ("email", "ip", "card", "phone", "crf_email", "crf_phone", "crf_id")
-REACH = 4
-#: Viterbi works on so many words at once.
-DECODE_WORDS = 200_000
+#: Viterbi works on so many words at once; longer texts than LONG_TEXT in blocks of BLOCK words.
+DECODE_WORDS, LONG_TEXT, BLOCK = 200_000, 4096, 256
+#: Distinct words whose scores are kept.
+KEPT_WORDS = 100_000
 
 # Patterns of the contract. The local part of an address is looked for to the
 # left of its "@"; a run of digits is entered at its start only: a start inside
@@ -121,11 +125,12 @@ v1.2.3-beta build 20240101 on x86_64
 @home and @work are tags with 3 uses
 """
 LABELS = ("O", "B-email", "I-email", "B-phone", "I-phone", "B-id", "I-id")
+_BEGINS = np.array([x[0] == "B" for x in LABELS])
 _WORD = re.compile(r"[^\x20\x09-\x0d]+")
 _WHITE = re.compile(r"[\x20\x09-\x0d]+")
 _ENDS = ".,;:!?\"'`#*$%&|<>{}"
-#: A word that may be part of a span: in whole texts and in single words alike.
-_TRIGGER = re.compile(r"[0-9@+]|(?<![^\x20\x09-\x0d])(?:dot|\(dot\)|\[dot\])(?![^\x20\x09-\x0d])", re.I)
+#: What every span that the CRF adds holds.
+_TRIGGER = re.compile(r"\d|dot", re.I)
 FEATURES = 1 << 12
 _CUES = frozenset("at dot call phone tel tel. fax text ring reach mail write contact ssn iban passport tax id number security "
                   "(at) [at] (dot) [dot] al".split())
@@ -169,6 +174,7 @@ class Crf:
         self.w = np.zeros((len(self.OFFSETS) * FEATURES, n))
         self.t, self.s = np.zeros((n, n)), np.zeros(n)
         self.ids: dict[str, np.ndarray] = {}
+        self.kept: tuple[np.ndarray, np.ndarray] | None = None
 
     def word_ids(self, word: str) -> np.ndarray:
         ids = self.ids.get(word)
@@ -245,29 +251,101 @@ class Crf:
 
     def decode(self, segments: list[list[str]]) -> list[np.ndarray]:
         """The best labels of each segment."""
-        out: list = [None] * len(segments)
-        order = sorted(range(len(segments)), key=lambda i: len(segments[i]))
+        rows, size = self.rows(segments)
+        bounds = np.concatenate([[0], np.cumsum(size)])
+        return np.split(self.viterbi(self.w[rows].sum(1), bounds), bounds[1:-1])
+
+    def unary(self, t: Texts) -> np.ndarray:
+        """Scores of all words of a slice of texts; those of each distinct word are worked out once and kept."""
+        w = self.w.reshape(len(self.OFFSETS), FEATURES, len(LABELS))
+        keys, where, back = np.unique(t.hashes(), return_index=True, return_inverse=True)
+        if self.kept is None or len(self.kept[0]) > KEPT_WORDS:
+            self.kept = np.zeros(0, np.uint64), np.zeros((len(w), 0, len(LABELS)))
+        known, scores = self.kept
+        at = np.searchsorted(known, keys)
+        new = np.ones(len(keys), bool)
+        new[at < len(known)] = known[at[at < len(known)]] != keys[at < len(known)]
+        if new.any():
+            raw = t.data.tobytes()
+            words = [raw[a:b].decode("utf-8", "replace") for a, b in zip(t.starts[where[new]].tolist(), t.ends[where[new]].tolist())]
+            ids = np.array([[_feature(f) for f in shape(x)] for x in words])
+            known, scores = np.insert(known, at[new], keys[new]), np.insert(scores, at[new], w[:, ids].sum(2), axis=1)
+            self.kept = known, scores
+        own = np.searchsorted(known, keys)[back.reshape(-1)]
+        row, out = t.words_of(), np.zeros((len(own), len(LABELS)))
+        for k, off in enumerate(self.OFFSETS):
+            place = np.arange(len(own)) + off
+            ok = (place >= 0) & (place < len(own))
+            ok[ok] = row[place[ok]] == row[ok]
+            none = w[k, 0] * ids_per_word()
+            out += np.where(ok[:, None], scores[k][own[np.where(ok, place, 0)]], none)
+        return out
+
+    def viterbi(self, u: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """The best labels of all words, given their scores and each text's place among them."""
+        out, size = np.zeros(len(u), np.int64), np.diff(bounds)
+        order = [i for i in np.argsort(size, kind="stable").tolist() if size[i]]
+        while order and size[order[-1]] > LONG_TEXT:
+            i = order.pop()
+            out[bounds[i]:bounds[i + 1]] = self._long(u[bounds[i]:bounds[i + 1]])
         while order:
-            top, some = 0, []
-            while order and (not some or (top := max(top, len(segments[order[-1]]))) * (len(some) + 1) <= DECODE_WORDS):
+            top, some = int(size[order[-1]]), []
+            while order and top * (len(some) + 1) <= max(DECODE_WORDS, top):
                 some.append(order.pop())
-            u, mask, _ = self.padded([segments[i] for i in some])
-            best, back = self.s + u[:, 0], []
-            for t in range(1, u.shape[1]):
-                step = best[:, :, None] + self.t
-                from_ = step.argmax(1)
-                new = np.take_along_axis(step, from_[:, None], 1)[:, 0] + u[:, t]
-                go = mask[:, t, None]
-                back.append(np.where(go, from_, np.arange(len(LABELS))))
-                best = np.where(go, new, best)
-            path = np.zeros((len(some), u.shape[1]), np.int64)
-            path[:, -1] = best.argmax(1)
-            for t in range(u.shape[1] - 1, 0, -1):
-                path[:, t - 1] = np.take_along_axis(back[t - 1], path[:, t][:, None], 1)[:, 0]
-            for i, p in zip(some, path):
-                out[i] = p[: len(segments[i])]
+            mask = np.arange(top) < size[some][:, None]
+            at = np.where(mask, bounds[some][:, None] + np.arange(top), 0)
+            best, back = self._forward((self.s + u[at[:, 0]])[:, None], u[at], mask)
+            out[at[mask]] = _trace(back, np.zeros(len(some), np.int64), best[:, 0].argmax(1))[mask]
         return out
 
+    def _forward(self, best: np.ndarray, u: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """(rows, starts, labels): the scores of the best paths from each start to each
+        label after a row's last word, and of each further word where they come from."""
+        back = []
+        for t in range(1, u.shape[1]):
+            step = best[:, :, :, None] + self.t
+            from_ = step.argmax(2)
+            new = np.take_along_axis(step, from_[:, :, None], 2)[:, :, 0] + u[:, t, None]
+            go = mask[:, t, None, None]
+            back.append(np.where(go, from_, np.arange(len(LABELS))).astype(np.int8))
+            best = np.where(go, new, best)
+        return best, back
+
+    def _long(self, u: np.ndarray) -> np.ndarray:
+        """The best labels of one long text, its blocks worked on at once."""
+        k, blocks = len(LABELS), -(-len(u) // BLOCK)
+        mask = (np.arange(blocks * BLOCK) < len(u)).reshape(blocks, BLOCK)
+        padded = np.zeros((blocks * BLOCK, k))
+        padded[: len(u)] = u
+        padded = padded.reshape(blocks, BLOCK, k)
+        begin = self.t + padded[:, 0, None]  # from each label that may come before
+        begin[0] = self.s + padded[0, 0]
+        best, back = self._forward(begin, padded, mask)
+        total, came = best[0, 0], np.zeros((blocks, k), np.int64)
+        for b in range(1, blocks):
+            paths = total[:, None] + best[b]
+            came[b] = paths.argmax(0)
+            total = paths.max(0)
+        start, end = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
+        end[-1] = total.argmax()
+        for b in range(blocks - 1, 0, -1):
+            start[b] = end[b - 1] = came[b, end[b]]
+        return _trace(back, start, end)[mask]
+
+
+def _trace(back: list[np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The labels of each row's path from ``start`` that ends in ``end``."""
+    rows = np.arange(len(end))
+    path = np.zeros((len(end), len(back) + 1), np.int64)
+    path[:, -1] = end
+    for t in range(len(back), 0, -1):
+        path[:, t - 1] = back[t - 1][rows, start, path[:, t]]
+    return path
+
+
+def ids_per_word() -> int:
+    return len(shape("x"))
+
 
 def labelled_examples(table: str = EXAMPLES) -> tuple[list[list[str]], list[np.ndarray]]:
     words, gold = [], []
@@ -292,57 +370,30 @@ def train(table: str = EXAMPLES) -> Crf:
     return crf
 
 
-def segments_of(text: str) -> list[list[tuple[int, int]]]:
-    """Bounds of the words that may carry a label: those within REACH words of a trigger, in runs."""
-    if not _TRIGGER.search(text):
-        return []
-    out: list[list[tuple[int, int]]] = []
-    recent: list[tuple[int, int]] = []  # words that no segment has yet, REACH at most
-    left = 0
-    for m in _WORD.finditer(text):
-        w = m.span()
-        word = m[0]
-        if _TRIGGER.search(word):
-            if left or (out and not recent):
-                out[-1].append(w)
-            else:
-                out.append([*recent, w])
-            recent, left = [], REACH
-        elif left:
-            out[-1].append(w)
-            left -= 1
-        else:
-            recent = [*recent[-(REACH - 1):], w]
-    return out
-
-
-def crf_spans(crf: Crf, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+def crf_spans(crf: Crf, column: pa.Array) -> list[list[tuple[int, int, int]]]:
     """(start, end, kind) of each text by the CRF; runs of B and I labels of one kind."""
-    where, segs = [], []
-    for i, text in enumerate(texts):
-        for seg in segments_of(text):
-            where.append((i, seg))
-            segs.append([text[a:b] for a, b in seg])
-    out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    out: list[list[tuple[int, int, int]]] = [[] for _ in range(len(column))]
     kinds = {"email": 4, "phone": 5, "id": 6}
-    for (i, seg), labels in zip(where, crf.decode(segs) if segs else []):
-        k = 0
-        while k < len(seg):
-            name = LABELS[labels[k]]
-            if name[0] != "B":
-                k += 1
-                continue
-            e = k + 1
-            while e < len(seg) and LABELS[labels[e]] == "I-" + name[2:]:
+    wanted = np.flatnonzero([t is not None and _TRIGGER.search(t) is not None for t in column.to_pylist()])
+    for t in cut_texts(column.take(pa.array(wanted))):
+        labels = crf.viterbi(crf.unary(t), t.row_word)
+        raw, row = t.data.tobytes(), t.words_of()
+        inner = np.concatenate([[0], np.cumsum((t.data & 0xC0) == 0x80)])  # bytes that begin no code point
+        for k in np.flatnonzero(_BEGINS[labels]).tolist():
+            i, e = int(row[k]), k + 1
+            while e < len(labels) and row[e] == i and labels[e] == labels[k] + 1:
                 e += 1
-            a = seg[k][0] + core(texts[i][seg[k][0]:seg[k][1]])[0]
-            b = seg[e - 1][0] + core(texts[i][seg[e - 1][0]:seg[e - 1][1]])[1]
-            found = _WHITE.sub(" ", texts[i][a:b])
-            n = sum(c.isdigit() for c in found)
-            if name[2:] == "email" and " dot" in found.lower().replace("(", " ").replace("[", " ") or \
-                    name[2:] == "phone" and 7 <= n <= 15 or name[2:] == "id" and 6 <= n <= 30:
-                out[i].append((a, b, kinds[name[2:]]))
-            k = e
+            words = [raw[t.starts[j]:t.ends[j]].decode("utf-8", "replace") for j in (k, e - 1)]
+            base = int(t.bounds[i])
+            place = lambda byte: int(byte - base - (inner[byte] - inner[base]))  # noqa: E731, B023
+            a = place(t.starts[k]) + core(words[0])[0]
+            b = place(t.starts[e - 1]) + core(words[1])[1]
+            text = raw[t.starts[k]:t.ends[e - 1]].decode("utf-8", "replace")
+            found = _WHITE.sub(" ", text[core(words[0])[0]:b - place(t.starts[k])])
+            name, n = LABELS[labels[k]][2:], sum(c.isdecimal() for c in found)
+            if name == "email" and " dot" in found.lower().replace("(", " ").replace("[", " ") or \
+                    name == "phone" and 7 <= n <= 15 or name == "id" and 6 <= n <= 30:
+                out[wanted[t.first + i]].append((a, b, kinds[name]))
     return out
 
 
@@ -360,7 +411,7 @@ def find(docs: DataFrame, crf: Crf | None = None, text: str = "text") -> DataFra
         for batch in batches:
             texts = [t or "" for t in batch.column(place).to_pylist()]
             rows = []
-            for t, more in zip(texts, crf_spans(crf, texts)):
+            for t, more in zip(texts, crf_spans(crf, batch.column(place))):
                 base = base_spans(t)
                 free = [s for s in more if not any(a < s[1] and s[0] < b for a, b, _ in base)]
                 rows.append([{"start": a, "end": b, "kind": k} for a, b, k in sorted(base + free, key=lambda s: (s[0], s[2]))])
