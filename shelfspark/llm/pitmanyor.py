@@ -12,6 +12,8 @@ probability.
 Seating is sampled by Gibbs: given the other restaurants, the number of tables
 of a dish is drawn by seating its customers one after another (from the 64th on
 in growing groups whose chance of a new table is taken at the group's start).
+Draws follow from hashes of the dish, sweep and sample, so scores do not depend on
+how rows are dealt to tasks.
 A sweep goes from the longest contexts to the shortest, as a restaurant's
 customers are its children's tables. After BURN_IN sweeps SAMPLES are kept, and
 predictive probabilities are averaged over them.
@@ -51,24 +53,72 @@ BURN_IN, SAMPLES = 2, 3
 PAIR_SWEEPS = 2
 FREQUENT = 1_000_000
 _SHARDS = 16
+_SEATED = [f"{c}{s}" for c in ("customers", "tables") for s in range(SAMPLES)]
 _BEFORE, _AFTER = 0x20, 0x0A  # bytes that no word holds: before its first, after its last
 _END = int(span_hashes(np.array([_AFTER], np.uint8), np.zeros(1, np.int64), np.ones(1, np.int64)).view(np.int64)[0])
 
 
-def seat(customers: np.ndarray, fresh: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+def uniform(keys: np.ndarray, at: np.ndarray | int) -> np.ndarray:
+    """Numbers in (0, 1) that follow from 64-bit keys and the draw's number ``at``
+    alone: the same whatever rows are in one batch, also after a lost task."""
+    h = mix(keys + np.atleast_1d(np.asarray(at, np.uint64)) * np.uint64(0x9E3779B97F4A7C15))
+    return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+
+
+def binomial(n: np.ndarray, p: np.ndarray, keys: np.ndarray, at: int) -> np.ndarray:
+    """Binomial draws by ``keys``: customer by customer in groups of up to 64, by
+    the inverse of the distribution for few successes, else by its normal limit."""
+    out = np.zeros(len(n))
+    small = n <= 64
+    if small.any():
+        some, most = np.flatnonzero(small), int(n[small].max())
+        u = uniform(keys[some, None], at + np.arange(most))
+        out[some] = ((u < p[some, None]) & (np.arange(most) < n[some, None])).sum(1)
+    few = ~small & (n * p <= 16)
+    if few.any():
+        some = np.flatnonzero(few)
+        u, q, m = uniform(keys[some], at), p[some], n[some].astype(np.float64)
+        term = np.exp(m * np.log1p(-np.minimum(q, 0.5)))
+        total, k = term.copy(), np.zeros(len(some))
+        for j in range(1, 129):
+            up = u > total
+            if not up.any():
+                break
+            k[up] = j
+            term = term * (m - j + 1) / j * q / (1 - q)
+            total += term
+        out[some] = np.minimum(k, m)
+    many = ~small & ~few
+    if many.any():
+        some = np.flatnonzero(many)
+        u, v = uniform(keys[some], at), uniform(keys[some], at + 1)
+        normal = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * v)
+        q, m = p[some], n[some].astype(np.float64)
+        out[some] = np.clip(np.rint(m * q + normal * np.sqrt(m * q * (1 - q))), 0, m)
+    return out
+
+
+def draw_keys(keys: np.ndarray, sweep: int, sample: int) -> np.ndarray:
+    """One stream of draws for each key, sweep and sample."""
+    stream = np.uint64((1 + sweep * SAMPLES + sample) * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF)
+    return mix(mix(keys.astype(np.int64).view(np.uint64)) + stream)
+
+
+def seat(customers: np.ndarray, fresh: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Tables of each dish after its customers sat down; ``fresh`` is the weight
-    of a new table, (strength + discount * tables) * parent probability."""
+    of a new table, (strength + discount * tables) * parent probability, ``keys``
+    (``draw_keys``) are the dishes' streams of draws."""
     order = np.argsort(-customers, kind="stable")
-    c, a = customers[order], fresh[order]
+    c, a, key = customers[order], fresh[order], keys[order]
     t = np.minimum(c, 1).astype(np.float64)
     seated, step = 1, 1
     live = int(np.searchsorted(-c, -1, "left"))  # those with more than one customer
     while live:
-        chance = a[:live] / (a[:live] + seated - DISCOUNT * t[:live])
+        chance = np.clip(a[:live] / (a[:live] + seated - DISCOUNT * t[:live]), 0, 1)
         if step == 1:
-            t[:live] += rng.random(live) < chance
+            t[:live] += uniform(key[:live], seated) < chance
         else:
-            t[:live] += rng.binomial(np.minimum(step, c[:live] - seated), np.clip(chance, 0, 1))
+            t[:live] += binomial(np.minimum(step, c[:live] - seated), chance, key[:live], seated)
         seated += step
         step = max(1, seated // 32) if seated >= 64 else 1
         live = int(np.searchsorted(-c[:live], -seated, "left"))
@@ -90,11 +140,10 @@ class Restaurants:
         return np.bincount(self.of, x, len(self.contexts))
 
 
-def gibbs(cells: np.ndarray, counts: np.ndarray, top: np.ndarray, seed: int) -> list[list[tuple]]:
+def gibbs(cells: np.ndarray, counts: np.ndarray, top: np.ndarray) -> list[list[tuple]]:
     """Samples of the seating of all restaurants with contexts of 1 .. ORDER - 1
     bytes. ``top``: the probability of each byte in the empty context. Of each
     sample, for each depth: (cells, customers, tables)."""
-    rng = np.random.default_rng(seed)
     levels: list[Restaurants] = []
     up = []  # place of each cell of depth j in depth j - 1
     cells_j = cells
@@ -120,7 +169,7 @@ def gibbs(cells: np.ndarray, counts: np.ndarray, top: np.ndarray, seed: int) ->
         for k, level in enumerate(levels):
             parent = top[level.cells & 255] if k == len(levels) - 1 else predictive[k + 1][up[k]]
             seats = level.totals(tables[k])[level.of]
-            tables[k] = seat(customers[k], (STRENGTH + DISCOUNT * seats) * parent, rng)
+            tables[k] = seat(customers[k], (STRENGTH + DISCOUNT * seats) * parent, draw_keys(level.cells * 8 + k, sweep, 0))
             if k + 1 < len(levels):
                 customers[k + 1] = np.bincount(up[k], tables[k], len(levels[k + 1].cells)).astype(np.int64)
         if sweep >= BURN_IN:
@@ -156,10 +205,15 @@ def _flat(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Spelling:
     """The averaged samples of all byte restaurants, for lookups."""
 
-    def __init__(self, data: bytes):
-        with np.load(io.BytesIO(data)) as z:
-            self.parts = dict(z)
-        self.top = self.parts["top"]  # (samples, 256)
+    def __init__(self, top: np.ndarray, places: list[list[str]]):
+        self.top, self.parts = top, {}  # (samples, 256); the files of each depth's cells
+        for depth, files in enumerate(places, 1):
+            cells, *seated = _arrays(files, "cell", *_SEATED)
+            c, k = (np.stack(x, 1).astype(float) for x in (seated[:SAMPLES], seated[SAMPLES:]))
+            contexts, first = np.unique(cells >> 8, return_index=True)
+            self.parts |= {f"contexts{depth}": contexts, f"cells{depth}": cells, f"kept{depth}": c - DISCOUNT * k}
+            for name, x in (("total", c), ("seats", k)):
+                self.parts[f"{name}{depth}"] = np.add.reduceat(x, first, axis=0) if len(cells) else x
 
     def words(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """log10 probability of each word's spelling, averaged over the samples; long words don't underflow."""
@@ -191,28 +245,9 @@ class Spelling:
         return p
 
 
-def _spelling_file(samples: DataFrame, top: np.ndarray) -> bytes:
-    """The lookup arrays from the table (sample, depth, cell, customers, tables)."""
-    parts = {"top": top}
-    for depth in range(1, ORDER):
-        t = samples.where(F.col("depth") == depth).groupBy("cell").agg(
-            *[F.sum(F.when(F.col("sample") == s, F.col(c))).alias(f"{c}{s}") for s in range(SAMPLES) for c in ("customers", "tables")]
-        ).toArrow().sort_by("cell")
-        cells = t.column("cell").to_numpy()
-        c = np.stack([t.column(f"customers{s}").to_numpy() for s in range(SAMPLES)], 1).astype(float).reshape(-1, SAMPLES)
-        k = np.stack([t.column(f"tables{s}").to_numpy() for s in range(SAMPLES)], 1).astype(float).reshape(-1, SAMPLES)
-        contexts, first = np.unique(cells >> 8, return_index=True)
-        parts |= {f"contexts{depth}": contexts, f"cells{depth}": cells, f"kept{depth}": c - DISCOUNT * k}
-        for name, x in (("total", c), ("seats", k)):
-            parts[f"{name}{depth}"] = np.add.reduceat(x, first, axis=0) if len(cells) else x
-    out = io.BytesIO()
-    np.savez(out, **parts)
-    return out.getvalue()
-
-
 @dataclass
 class Model:
-    spelling: str  # place of the lookup arrays
+    spelling: tuple[np.ndarray, list[list[str]]]  # the empty context's samples, the places of each depth's cells
     vocabulary: DataFrame  # hash, c, p1, room, logs of words and end token, see _seat_words
     pairs: DataFrame  # context, word, c, tables (averaged)
     frequent: list[str]  # places of the frequent words' arrays
@@ -321,12 +356,9 @@ def _seat_words(weighed: DataFrame, single: DataFrame, more: DataFrame | None, n
     def sit(fresh: float, sweep: int):
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                batch = batch.take(pa.array(np.argsort(batch.column(0).to_numpy())))
                 h, p = batch.column(0).to_numpy(), batch.column(2).to_numpy()
                 k = [batch.column(3 + s).to_numpy() for s in range(SAMPLES)]
-                seed = int(mix(h.view(np.uint64)).sum() & np.uint64(0x7FFFFFFF)) + sweep  # the same after a lost task
-                rng = np.random.default_rng(seed)
-                t = sum(seat(x, fresh * 10.0 ** p, rng) for x in k) / SAMPLES
+                t = sum(seat(x, fresh * 10.0 ** p, draw_keys(h, sweep, s)) for s, x in enumerate(k)) / SAMPLES
                 yield pa.RecordBatch.from_arrays([*[batch.column(j) for j in range(3)], pa.array(sum(k) / SAMPLES),
                                                   batch.column(3 + SAMPLES), pa.array(t)],
                                                  names=["hash", "c", "p", "k", "held", "tables"])
@@ -349,12 +381,9 @@ def _seat_pairs(more: DataFrame, words: DataFrame, sweep: int, name: str) -> Dat
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = pair_keys(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-            order = np.argsort(keys)
-            batch = batch.take(pa.array(order))
-            rng = np.random.default_rng(int(mix(keys.view(np.uint64)).sum() & np.uint64(0x7FFFFFFF)) + sweep)
             c, fresh = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(j) for j in range(3)], *[pa.array(seat(c, fresh, rng).astype(np.int64)) for _ in range(SAMPLES)]],
+                [*[batch.column(j) for j in range(3)], *[pa.array(seat(c, fresh, draw_keys(keys, sweep, s)).astype(np.int64)) for s in range(SAMPLES)]],
                 names=["context", "word", "c", *[f"t{s}" for s in range(SAMPLES)]])
 
     rows = more.select("context", "word", "c").join(words.select(F.col("hash").alias("word"), "p1"), "word").join(
@@ -427,7 +456,7 @@ def fit(docs: DataFrame, text: str = "text", folder: str | None = None, frequent
         cell, n = table.column("cell").to_numpy(), table.column("n").to_numpy()
         order = np.argsort(cell)
         out = []
-        for s, levels in enumerate(gibbs(cell[order], n[order], start, int(table.column("shard")[0].as_py()))):
+        for s, levels in enumerate(gibbs(cell[order], n[order], start)):
             for k, (own, customers, tables) in enumerate(levels):
                 out.append(pa.table({"sample": pa.array(np.full(len(own), s, np.int32)),
                                      "depth": pa.array(np.full(len(own), ORDER - 1 - k, np.int32)), "cell": own,
@@ -439,30 +468,24 @@ def fit(docs: DataFrame, text: str = "text", folder: str | None = None, frequent
     # the empty context: its customers are the tables of the one-byte contexts
     roots = samples.where("depth = 1").groupBy("sample", F.expr("cell & 255").cast("int").alias("byte")).agg(
         F.sum("tables").alias("n")).collect()  # at most SAMPLES * 256 rows
-    top, rng = np.zeros((SAMPLES, 256)), np.random.default_rng(3)
+    top = np.zeros((SAMPLES, 256))
     for s in range(SAMPLES):
         c = np.zeros(256, np.int64)
         for r in roots:
             if r["sample"] == s:
                 c[r["byte"]] = r["n"]
         t = np.minimum(c, 1).astype(float)
-        for _ in range(BURN_IN):
-            t = seat(c, (STRENGTH + DISCOUNT * t.sum()) / 256 * np.ones(256), rng)
+        for sweep in range(BURN_IN):
+            t = seat(c, (STRENGTH + DISCOUNT * t.sum()) / 256 * np.ones(256), draw_keys(np.arange(256), sweep, s))
         top[s] = (c - DISCOUNT * t + (STRENGTH + DISCOUNT * t.sum()) / 256) / (STRENGTH + c.sum())
-    spelling = shared.put(folder, "spelling.npz", _spelling_file(samples, top))
-
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Spelling(shared.get(spelling))
-        for batch in batches:
-            raw, a, b = _flat(batch.column(0).to_pylist())
-            p = model.words(raw, a, b)
-            yield pa.RecordBatch.from_arrays([pa.array(span_hashes(raw, a, b).view(np.int64)), batch.column(1), pa.array(p)],
-                                             names=["hash", "c", "p"])
+    seated = [F.sum(F.when(F.col("sample") == s, F.col(c))).alias(f"{c}{s}") for c in ("customers", "tables") for s in range(SAMPLES)]
+    spelling = (top, [_files(samples.where(F.col("depth") == depth).groupBy("cell").agg(*seated), "cell", folder, f"spelling{depth}")
+                      for depth in range(1, ORDER)])
 
     one_end = 1.0 / 256  # the end token is one more word, of even weight
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Spelling(shared.get(spelling))
+        model = Spelling(*spelling)
         for batch in batches:
             raw, a, b = _flat(batch.column(0).to_pylist())
             p = model.words(raw, a, b) + np.log10(1 - one_end)
@@ -504,7 +527,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     places, pair_places, spelling = model.frequent, model.frequent_pairs, model.spelling
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spell = Spelling(shared.get(spelling))
+        spell = Spelling(*spelling)
         known, c, logs = _arrays(places, "hash", "c", "logs")
         base = np.log10((c + 0.5) / denominator)
         often_pairs, gains = _arrays(pair_places, "pair", "gain")
