@@ -5,7 +5,10 @@ sample tells what each rule costs and how many documents it rejects; the rules
 are then chained in descending order of rejection per cost, so that most bad
 documents meet a cheap, selective rule first and the costly rules run only for
 what is left (CASE WHEN stops at the first hit). The order changes the cost,
-never the verdict: a document is rejected if any rule rejects it.
+never the verdict: a document is rejected if any rule rejects it. The counters
+are returned columns, so they are worked out for every document and once in the
+sample, before the rules are timed; what is timed and short-circuited is what a
+rule does beyond them.
 
 Null and empty texts count as no words and no lines with a word; extra columns
 pass through untouched unless they carry the name of an output column, which
@@ -20,12 +23,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.llm.words import unused
 from shelfspark.session import written
 
 #: The six white-space characters of the contract: space and \x09-\x0D.
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "[#*$%&|<>]"
 COUNTERS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+WORKING = ("_text", "_words", "_lines", "_windows", "_sorted", "_twice")
 SAMPLE_ROWS = 1000
 
 
@@ -122,10 +127,13 @@ def cascade(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None
     """Adds the counters, ``base_failed`` and ``kept`` to every document. Write
     the result before filtering by it: the planner would copy the counters'
     nested expressions into the filter many times."""
+    # input columns that carry a working column's name stand aside
+    aside = {c: unused(docs, f"{c}_aside") for c in docs.columns if c.lower() in WORKING}
+    docs, text = docs.withColumnsRenamed(aside), aside.get(text, text)
     chain = ordered(docs, rules or default_rules(), text, sample_rows)
     verdict = F.when(base_failed(), F.lit(False))
     for rule in chain:
         verdict = verdict.when(F.coalesce(rule.reject, F.lit(False)), F.lit(False))
     out = with_counters(docs.drop("base_failed", "kept"), text)
     return out.withColumns({"base_failed": base_failed(), "kept": verdict.otherwise(F.lit(True))}) \
-        .drop("_text", "_words", "_lines")
+        .drop("_text", "_words", "_lines").withColumnsRenamed({v: k for k, v in aside.items()})
