@@ -318,22 +318,38 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(task, "u long, v long")
 
 
+def _are_stars(e: DataFrame) -> bool:
+    """Whether each larger node has one edge and none is also a smaller one."""
+    ends = e.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        e.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): root is the smallest node of the component. Large-star and
-    small-star steps on written tables until the edges are stars."""
+    """(node, root) of the nodes that are not their component's smallest, the
+    root. Large-star and small-star steps on written tables until the edges are stars."""
     e = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "edges")
-    before = None
-    while True:
+    while not _are_stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        e = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
-        moved = e.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        moved = large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = written(moved.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = now
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``comp`` (of ``components``) after further links: only the components that
+    they join take part, each as its root."""
+    own = lambda side: comp.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root"))
+    roots = links.join(own("u"), "u", "left").join(own("v"), "v", "left").select(
+        F.coalesce("u_root", "u").alias("u"), F.coalesce("v_root", "v").alias("v"))
+    joined = components(roots)
+    onward = joined.select(F.col("node").alias("root"), F.col("root").alias("onward"))
+    moved = comp.join(onward, "root", "left").select("node", F.coalesce("onward", "root").alias("root"))
+    return written(moved.unionByName(joined), "components")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -386,8 +402,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         sets = from_texts(some.select(F.explode(F.array("u", "v")).alias("node")), long=False)
         return written(verified(some, sets, percent), name)
 
-    links = linked(pairs, "links")
-    comp = components(links)
+    comp = components(linked(pairs, "links"))
     held = None
     for forest in (True, False):
         # buckets that hold rows of several components
@@ -402,9 +417,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         if more.isEmpty():  # the forest may hold tried pairs alone, and leave others to the last turn
             continue
         late = linked(more, "more-links")
-        pairs, links = pairs.unionByName(more), links.unionByName(late)
+        pairs = pairs.unionByName(more)
         if not late.isEmpty():
-            comp = components(links)
+            comp = merged(comp, late)
 
     rows = (sk.select("row", "id", "n", "a", "b").join(node.select("a", "b", "node"), ["a", "b"], "left")
             .join(comp, "node", "left")
