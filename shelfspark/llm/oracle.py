@@ -61,12 +61,12 @@ counted AS (
            CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
            CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, ifnull(n, 0) AS n_repeat_words,
            len(l) AS n_lines, length(text) AS size, ifnull(kinds, 0) AS kinds, ifnull(with_letter, 0) AS with_letter,
-           greatest(len(w), 1) AS some
+           greatest(len(w), 1) AS held
     FROM cut LEFT JOIN chars USING (doc_id) LEFT JOIN covered USING (doc_id)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR n_symbols > 0.1e0 * word_chars OR word_chars > 25 * some OR word_chars < 2 * some
-            OR n_dup_lines > 0.3e0 * n_lines OR with_letter < 0.6e0 * some OR kinds < 0.05e0 * some
+       NOT (base_failed OR n_symbols > 0.1e0 * word_chars OR word_chars > 25 * held OR word_chars < 2 * held
+            OR n_dup_lines > 0.3e0 * n_lines OR with_letter < 0.6e0 * held OR kinds < 0.05e0 * held
             OR size > 40000 * greatest(n_lines, 1)) AS kept
 FROM judged
 """.replace("\\\\p", "\\p")
