@@ -58,6 +58,18 @@ def word_encoder(vocabulary: str) -> Encode:
     return encode
 
 
+_kept: dict[str, SpanCodes] = {}
+
+
+def span_codes(vocabulary: str) -> SpanCodes:
+    """The vocabulary's encoder with the pieces that it has met (SpanCodes bounds
+    them), kept by a worker process from one task to the next."""
+    if vocabulary not in _kept:
+        _kept.clear()
+        _kept[vocabulary] = SpanCodes(word_encoder(vocabulary))
+    return _kept[vocabulary]
+
+
 def pieces(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bytes, starts and ends of the pieces of words, and each row's first piece.
 
@@ -96,7 +108,7 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, folder: str | None = No
     rows = rows.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, part = SpanCodes(word_encoder(vocabulary)), TaskContext.get().partitionId()
+        codes, part = span_codes(vocabulary), TaskContext.get().partitionId()
         held, lengths, ids, n, before, number = [], [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
