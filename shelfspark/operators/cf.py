@@ -9,8 +9,8 @@ for every user, and measures the ranking on held-out pairs.
 * ``top_items`` finds each user's best items without scoring users x items.
   Item factors are written once in blocks of falling norm. A user's score of an
   item is at most |user| * |item|, so a task reads blocks in that order and
-  stops for a user once the block's largest norm cannot reach the user's
-  ``n``-th score. The result equals full scoring; nothing is cut. A worker
+  stops for a user once the largest norm of a block's part cannot reach the
+  user's ``n``-th score. The result equals full scoring; nothing is cut. A worker
   holds one block and one batch of users; nothing passes the driver.
 * ALS is iterative; its lineage is cut with checkpoints in the session's
   shared checkpoint folder every ``checkpoint_interval`` iterations.
@@ -33,6 +33,8 @@ from shelfspark.functions.frames import assign_ids
 from shelfspark.session import scratch_path, written
 
 BLOCK_ITEMS = 16_384
+#: Items that a batch of users is scored against at once: their bound is that of the first one.
+PART_ITEMS = 2_048
 BATCH_USERS = 1_024
 RECS = "CustomerID long, rank int, ProductID long, rating double"
 
@@ -50,8 +52,9 @@ def als_factors(interactions: DataFrame, rank: int = 10, max_iter: int = 5, reg:
     (CustomerID, features) and (ProductID, features)."""
     from pyspark.ml.recommendation import ALS
 
-    data = interactions.where(F.col("CustomerID").isNotNull() & F.col("ProductID").isNotNull()).select(
-        "CustomerID", "ProductID", F.col("interaction_score").cast("float").alias("rating"))
+    # written: the users, the items and the ratings are three readings of one plan
+    data = written(interactions.where(F.col("CustomerID").isNotNull() & F.col("ProductID").isNotNull()).select(
+        "CustomerID", "ProductID", F.col("interaction_score").cast("float").alias("rating")), "als-interactions")
     users, items = _numbered(data, "CustomerID", "user"), _numbered(data, "ProductID", "item")
     rows = written(data.join(users, "CustomerID").join(items, "ProductID").select("user", "item", "rating"), "als-ratings")
     if rows.isEmpty():
@@ -85,7 +88,7 @@ class _Blocks:
         self.held: tuple[int, tuple | None] = (-1, None)
 
     def __call__(self, k: int):
-        """(ids, factors, largest norm) of block ``k``; None beyond the last."""
+        """Parts (ids, factors, largest norm) of block ``k`` by falling norm; None beyond the last."""
         if self.held[0] != k:
             files = [f.path for f in self.store.get_file_info(fs.FileSelector(f"{self.path}/block={k}", allow_not_found=True))
                      if f.path.endswith(".parquet")]
@@ -94,11 +97,16 @@ class _Blocks:
                 with self.store.open_input_file(name) as f:
                     tables.append(pq.ParquetFile(f).read(columns=["ProductID", "features", "norm"]))
             table = pa.concat_tables(tables) if tables else None
-            self.held = k, None if table is None else (
-                table.column("ProductID").to_numpy(), _matrix(table.column("features").combine_chunks()),
-                float(table.column("norm").to_numpy().max()))
+            self.held = k, None if table is None else self._parts(table)
         return self.held[1]
 
+    @staticmethod
+    def _parts(table: pa.Table) -> list[tuple]:
+        norm = table.column("norm").to_numpy()
+        order = np.argsort(-norm, kind="stable")
+        ids, factors, norm = table.column("ProductID").to_numpy()[order], _matrix(table.column("features"))[order], norm[order]
+        return [(ids[a:a + PART_ITEMS], factors[a:a + PART_ITEMS], float(norm[a])) for a in range(0, len(ids), PART_ITEMS)]
+
 
 def _matrix(column) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
@@ -106,28 +114,44 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy().astype(np.float64).reshape(len(column), -1)
 
 
+def _seen_places(item: np.ndarray, order: np.ndarray, who: np.ndarray, what: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place in ``item``) of the pairs (``who``: row, ``what``: item) whose item is there; ``order`` sorts ``item``."""
+    at = order[np.minimum(np.searchsorted(item, what, sorter=order), len(item) - 1)]
+    there = item[at] == what
+    return who[there], at[there]
+
+
 def _best(users: np.ndarray, seen: list, blocks: _Blocks, n: int) -> tuple[np.ndarray, np.ndarray, int]:
     """Ids and scores (users x n, -inf where a user has fewer) and how many scores were worked out."""
     score, ids = np.full((len(users), n), -np.inf), np.full((len(users), n), np.iinfo(np.int64).max)
     norm, k, live, done = np.linalg.norm(users, axis=1), 0, np.arange(len(users)), 0
+    size = [0 if x is None else len(x) for x in seen]
+    who, what = np.repeat(np.arange(len(users)), size), np.concatenate([np.zeros(0, np.int64), *[x for x in seen if x is not None]])
     while len(live) and (block := blocks(k)) is not None:
-        item, factors, largest = block
-        live = live[norm[live] * largest * (1 + 1e-9) >= score[live, -1]]  # no later item scores higher
-        if not len(live):
-            break
-        own = users[live] @ factors.T
-        done += own.size
-        for i, u in enumerate(live.tolist()):
-            if seen[u] is not None:
-                own[i, np.isin(item, seen[u])] = -np.inf
-        if len(item) > n:  # ties at the n-th score are kept for the order by id
-            least = -np.partition(-own, n - 1, axis=1)[:, n - 1:n]
-            own[own < least] = -np.inf
-        for i, u in enumerate(live.tolist()):
-            at = np.flatnonzero(own[i] > -np.inf)
-            s, d = np.append(score[u], own[i, at]), np.append(ids[u], item[at])
-            order = np.lexsort((d, -s))[:n]
-            score[u], ids[u] = s[order], d[order]
+        for item, factors, largest in block:
+            live = live[norm[live] * largest * (1 + 1e-9) >= score[live, -1]]  # no later item scores higher
+            if not len(live):
+                break
+            own = users[live] @ factors.T
+            done += own.size
+            row = np.full(len(users), -1)
+            row[live] = np.arange(len(live))
+            mine = row[who] >= 0
+            own[_seen_places(item, np.argsort(item), row[who[mine]], what[mine])] = -np.inf
+            # only what reaches the n-th score so far counts; of more than n, ties at the n-th are kept for the order by id
+            least = score[live, -1:]
+            if len(item) > n:
+                least = np.maximum(least, -np.partition(-own, n - 1, axis=1)[:, n - 1:n])
+            i, j = np.nonzero((own >= least) & (own > -np.inf))
+            better, i = live[np.unique(i)], live[i]
+            # the rows' earlier best and these, by row, falling score and id: the first n of each row
+            i = np.concatenate([np.repeat(better, n), i])
+            s, d = np.concatenate([score[better].reshape(-1), own[row[i[len(better) * n:]], j]]), np.concatenate([ids[better].reshape(-1), item[j]])
+            order = np.lexsort((d, -s, i))
+            i, s, d = i[order], s[order], d[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            top = place < n
+            score[i[top], place[top]], ids[i[top], place[top]] = s[top], d[top]
         k += 1
     return ids, score, done
 

@@ -73,3 +73,32 @@ def test_held_out_ranking_finds_structure(spark):
     rows = [(int(u), int(i) * 2 + u % 2, 1) for u in range(120) for i in rng.choice(30, 12, False)]
     got = {r.model: r for r in cf.held_out_ranking(spark.createDataFrame(rows, "CustomerID long, ProductID long, interaction_score long")).collect()}
     assert got["als"].recall > 1.3 * got["popularity"].recall > 0
+
+
+def test_training_reads_its_rows_once(spark):
+    """The interactions may be a long plan: users, items and ratings come from one run of it."""
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    rows = [(u, i, 1) for u in range(12) for i in range(5)]
+    data = spark.createDataFrame(rows, "CustomerID long, ProductID long, interaction_score long")
+    cf.als_factors(data.mapInArrow(count, data.schema), max_iter=1)
+    assert runs.value == len(rows)
+
+
+def test_parts_of_a_block_have_their_own_bound(spark):
+    """A user is done within a block, not only at the end of one."""
+    rng = np.random.default_rng(6)
+    items, idf = factors(spark, rng, 6000, "ProductID", 0, 2.0)
+    blocks = cf._Blocks(cf.norm_blocks(idf, 10_000))
+    users = rng.normal(size=(50, 4))
+    seen = [np.array([i for i, _ in items[:40]]) if k % 2 else None for k in range(50)]
+    ids, score, done = cf._best(users, seen, blocks, 10)
+    full = users @ np.array([f for _, f in items]).T
+    full[1::2, :40] = -np.inf
+    assert np.allclose(score, -np.sort(-full, axis=1)[:, :10])
+    assert done < full.size
