@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.words import SpanCodes, Texts, mix, per_row, ragged, small_batches, texts, without
+from shelfspark.llm.words import SpanCodes, Texts, lean, mix, per_row, ragged, small_batches, texts, without
 
 LONG = 256
 #: White space beyond the six ASCII characters: texts with it are split whole.
@@ -250,7 +250,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text") ->
                     names=[*batch.schema.names, "n_tokens", "ids", "decoded"])
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(task, f"{names}, n_tokens long, ids binary, decoded binary")
+    return docs.mapInArrow(lean(task), f"{names}, n_tokens long, ids binary, decoded binary")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm import shared
-from shelfspark.llm.words import mix, small_batches, without
+from shelfspark.llm.words import lean, mix, small_batches, without
 from shelfspark.session import scratch_path, written
 
 MIN_DOCS = 10
@@ -144,7 +144,7 @@ def repeated(docs: DataFrame, text: str = "text") -> DataFrame:
             keys = keys[keys.any(1)].view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1])], names=["a", "b"])
 
-    rows = docs.select(F.col(text).cast("string")).mapInArrow(task, "a long, b long")
+    rows = docs.select(F.col(text).cast("string")).mapInArrow(lean(task), "a long, b long")
     return rows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
 
 
@@ -216,4 +216,4 @@ def drop_repeated(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS,
                                              names=[*names, "n_lines", "n_dropped"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(task, f"{schema}, n_lines long, n_dropped long")
+    return docs.mapInArrow(lean(task), f"{schema}, n_lines long, n_dropped long")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.words import Texts, mix, small_batches, texts
+from shelfspark.llm.words import Texts, lean, mix, small_batches, texts
 from shelfspark.session import written
 
 SHINGLE, PERCENT = 5, 80
@@ -142,7 +142,7 @@ def sketches(docs: DataFrame, id_col: str, text: str, shingle: int, row_col: str
 
     row = F.col(row_col).cast("long") if row_col else F.monotonically_increasing_id()
     rows = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(task, "row long, id long, a long, b long, n long, sig binary")
+    return rows.mapInArrow(lean(task), "row long, id long, a long, b long, n long, sig binary")
 
 
 def band_keys(sig: Column) -> Column:
@@ -298,7 +298,7 @@ def candidate_pairs(dealt: DataFrame, percent: int, forest: bool) -> DataFrame:
         if held is not None:
             yield work(held)
 
-    return rows.mapInArrow(task, "u long, v long").distinct()
+    return rows.mapInArrow(lean(task), "u long, v long").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -315,7 +315,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     x = sets.select(F.col("node").alias("u"), F.col("shingles").alias("x"))
     y = sets.select(F.col("node").alias("v"), F.col("shingles").alias("y"))
-    return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(task, "u long, v long")
+    return pairs.join(x, "u").join(y, "v").select("u", "v", "x", "y").mapInArrow(lean(task), "u long, v long")
 
 
 def _are_stars(e: DataFrame) -> bool:
@@ -393,7 +393,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                     yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(raw, pa.binary()),
                                                       pa.array(sig, pa.binary())], names=["a", "b", "shingles", "long"])
 
-        found = own.mapInArrow(task, "a long, b long, shingles binary, long binary")
+        found = own.mapInArrow(lean(task), "a long, b long, shingles binary, long binary")
         # rows of one id may hold other texts, or several copies of one: one value per digest
         one = found.join(ids.select("a", "b", "node"), ["a", "b"]).dropDuplicates(["node"])
         return one.select("node", "shingles", *(["long"] if long else []))

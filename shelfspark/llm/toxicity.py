@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfspark.llm.words import mix, ragged, small_batches, span_hashes, texts, without
+from shelfspark.llm.words import lean, mix, ragged, small_batches, span_hashes, texts, without
 
 WINDOW, STRIDE = 32, 16
 TRAIN_ROWS, TRAIN_BYTES = 3000, 48_000_000
@@ -330,4 +330,4 @@ def score(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(_sigmoid(worst))], names=[*names, "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(task, f"{schema}, score double")
+    return docs.mapInArrow(lean(task), f"{schema}, score double")

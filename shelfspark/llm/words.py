@@ -7,6 +7,9 @@ distinct word. No Python object is made for a word that was seen before.
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -36,6 +39,33 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(value))
 
 
+def release() -> None:
+    """Gives what this worker no longer uses back to the machine: objects that refer
+    to each other, Arrow's pool, and the C library's free memory (glibc alone has the call)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(task: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``task`` for ``mapInArrow``, whose worker does not keep its memory: Spark uses
+    the same Python workers for all later tasks, beside the executor's own heap."""
+
+    @functools.wraps(task)
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from task(batches)
+        finally:
+            release()
+
+    return run
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """Input columns that carry an output column's name give way to it."""
     return df.drop(*[c for c in df.columns if c.lower() in {n.lower() for n in names}])

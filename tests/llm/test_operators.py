@@ -2,6 +2,7 @@
 nulls, empty and long texts, ties, repeated rows and clashing extra columns."""
 
 import base64
+import gc
 import hashlib
 import itertools
 import math
@@ -17,7 +18,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfspark.llm import (bpe, decontaminate, lines, neardup, pii, pitmanyor, quality, queries, secrets, simple8b,
-                            tokens, toxicity)
+                            tokens, toxicity, words)
 from shelfspark.llm.words import held_out, texts
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -849,3 +850,29 @@ def test_pipeline_against_a_plain_version(spark, sf, rows, tmp_path):
 def test_long_zero_runs_are_no_ip(spark):
     assert pii.base_spans("0" * 5000 + "1.2.3.4") == [(0, 5007, 1)]
     assert pii.base_spans("1" * 5000 + ".2.3.4") == []
+
+
+def test_lean_tasks_free_what_refers_to_itself():
+    """A worker runs task after task: a finished one leaves nothing, nor does one that is broken off."""
+    import weakref
+
+    class Own:
+        pass
+
+    held = []
+
+    def task(batches):
+        own = Own()
+        own.me = own  # as a coder that keeps a method of its own
+        held.append(weakref.ref(own))
+        yield from batches
+
+    gc.disable()
+    try:
+        assert list(words.lean(task)(iter([1, 2]))) == [1, 2] and held[0]() is None
+        broken = words.lean(task)(iter([1, 2]))
+        assert next(broken) == 1
+        broken.close()
+        assert held[1]() is None
+    finally:
+        gc.enable()
