@@ -8,11 +8,13 @@ import os
 from pyspark.sql import functions as F
 
 from shelfspark.functions.columns import as_of_timestamp
+from shelfspark.functions.frames import latest_by
 from shelfspark.operators import clean
 from shelfspark.plans import medallion
 from shelfspark.plans.layers import Layers
 from shelfspark.schemas import BRONZE_SALES, SALES_COLUMNS
 from shelfspark.session import scratch_path
+from shelfspark.sources import days
 from shelfspark.sources import fixtures as fx
 from shelfspark.sources.csv import write_feed
 
@@ -143,3 +145,34 @@ def test_rejected_rows_are_kept_apart(spark):
     rejected = appended_rows(spark, t.path("bronze_sales_rejects"), reject_schema(BRONZE_SALES))
     assert good.columns == SALES_COLUMNS
     assert good.count() + rejected.count() == sales.count() and rejected.where("error IS NULL").count() == 0
+
+
+def test_day_table_is_written_once_and_may_be_read_by_its_own_rows(spark):
+    """A merge writes the table's days alone: no second copy of them, of the batch neither."""
+    import datetime as dt
+    path = scratch_path(spark, "t-days")
+    at = lambda day, hour: dt.datetime(2001, 5, day, hour)
+    frame = lambda some: spark.createDataFrame(some, "k long, EventTime timestamp_ntz, v string")
+    latest = lambda df: latest_by(df, "k", [F.col("EventTime").desc(), F.col("v")])
+    folders = lambda: set(os.listdir(os.path.dirname(path.removeprefix("file:"))))
+    days.merge_days(frame([(1, at(1, 0), "a"), (2, at(2, 0), "a"), (3, at(3, 0), "a"), (None, at(3, 1), "a")]), path, ["k"], latest)
+    was = folders()
+    # the only row of the first day moves to the second one; a day that is left alone keeps its file
+    third = os.listdir(f"{path.removeprefix('file:')}/event_date=2001-05-03")
+    touched = days.merge_days(frame([(1, at(2, 5), "b"), (4, at(4, 0), "b")]), path, ["k"], latest)
+    assert [d.day for d in touched] == [1, 2, 4] and folders() == was
+    got = {(r.k, r.v, r.event_date.day) for r in days.read_days(spark, path).collect()}
+    assert got == {(1, "b", 2), (2, "a", 2), (3, "a", 3), (None, "a", 3), (4, "b", 4)}
+    assert not days.exists(spark, f"{path}/event_date=2001-05-01")
+    assert os.listdir(f"{path.removeprefix('file:')}/event_date=2001-05-03") == third
+
+
+def test_feed_of_compressed_files(spark):
+    """The stream reads compressed files as it reads plain ones."""
+    from shelfspark.sources.csv import read_feed
+    path, plain = scratch_path(spark, "t-gzip"), scratch_path(spark, "t-plain")
+    write_feed(recent_sales(spark), path, compression="gzip")
+    write_feed(recent_sales(spark), plain)
+    assert rows(read_feed(spark, path, BRONZE_SALES)) == rows(read_feed(spark, plain, BRONZE_SALES))
+    size = lambda p: sum(os.path.getsize(f) for f in glob.glob(p.removeprefix("file:") + "/*.csv*"))
+    assert size(path) < 0.5 * size(plain)
