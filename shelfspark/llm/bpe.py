@@ -6,7 +6,9 @@ once. Merging works on padded matrices, one per length bucket: in each round
 every row merges its leftmost pair of the lowest rank, pairs are looked up in
 a hash table, the row is compacted by one place, and rows without a mergeable
 pair leave the matrix. Pieces of more than LONG bytes are merged one by one
-with a heap, which gives the same ids. Null texts count as empty.
+with a heap, which gives the same ids. Null texts count as empty. What a task
+keeps of the chunks and pieces it has met, and what it works on at once, is
+bounded, however many distinct ones its texts hold.
 """
 
 from __future__ import annotations
@@ -20,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.words import SpanCodes, Texts, lean, mix, per_row, ragged, small_batches, texts, without
+from shelfspark.llm.words import LEAN_BATCH, LEAN_SLICE, SpanCodes, Texts, lean, mix, per_row, ragged, small_batches, texts, without
 
 LONG = 256
+#: Distinct chunks and pieces that a task keeps, and places of a merge matrix.
+CHUNKS, PIECES, MATRIX = 200_000, 20_000, 250_000
 #: White space beyond the six ASCII characters: texts with it are split whole.
 _ODD_SPACE = "[\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
 _NONE = np.int32(0x7FFFFFFF)
@@ -87,7 +91,7 @@ class Bpe:
         self.token_at = np.cumsum(self.token_size) - self.token_size
         self.token_bytes = np.frombuffer(b"".join(token), np.uint8)
         self.pieces: dict[bytes, list[int]] = {}
-        self.codes = SpanCodes(self.encode_chunks)
+        self.codes = SpanCodes(self.encode_chunks, CHUNKS)
 
     def merge(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each piece, by buckets of like length."""
@@ -101,7 +105,7 @@ class Bpe:
             else:
                 buckets.setdefault(4 << max(0, (len(p) - 1).bit_length() - 2), []).append(i)
         for width, members in buckets.items():
-            step = max(1, 2_000_000 // width)
+            step = max(1, MATRIX // width)
             for k in range(0, len(members), step):
                 some = members[k:k + step]
                 for i, ids in zip(some, self._merge_matrix([pieces[i] for i in some], width)):
@@ -170,7 +174,7 @@ class Bpe:
 
     def encode_chunks(self, chunks: list[bytes]) -> list[list[int]]:
         """Ids of each chunk: its matches of the pattern, each merged separately."""
-        if len(self.pieces) > 1_000_000:
+        if len(self.pieces) > PIECES:
             self.pieces.clear()
         split = [[p.encode() for p in self.pattern.findall(c.decode("utf-8", "replace"))] for c in chunks]
         new = list({p for ps in split for p in ps if p not in self.pieces})
@@ -232,14 +236,14 @@ def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
 def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text") -> DataFrame:
     """Adds ``n_tokens``, ``ids`` (binary: little-endian unsigned 32-bit integers)
     and ``decoded`` (binary, from the ids)."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, LEAN_BATCH)
     docs = without(docs, "n_tokens", "ids", "decoded")
     place = docs.columns.index(text)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(rank_file, pattern)
         for batch in batches:
-            for t in texts(batch.column(place)):
+            for t in texts(batch.column(place), limit=LEAN_SLICE):
                 ids, n = bpe.encode(t)
                 ends = np.concatenate([[0], np.cumsum(n)])
                 raw = bpe.decode(ids)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm import shared
-from shelfspark.llm.words import lean, mix, small_batches, without
+from shelfspark.llm.words import LEAN_BATCH, lean, mix, small_batches, without
 from shelfspark.session import scratch_path, written
 
 MIN_DOCS = 10
@@ -135,7 +135,7 @@ class Shard:
 
 def repeated(docs: DataFrame, text: str = "text") -> DataFrame:
     """(a, b, n): hash halves of the line keys found in two documents or more."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, LEAN_BATCH)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +194,7 @@ class Probe:
 
 def drop_repeated(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS, places: list[str] | None = None) -> DataFrame:
     """``docs`` with the kept lines as ``text`` and added ``n_lines``, ``n_dropped``."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, LEAN_BATCH)
     docs = without(docs, "n_lines", "n_dropped").withColumn(text, F.col(text).cast("string"))
     places = index(docs, text) if places is None else places
     place, names = docs.columns.index(text), docs.columns

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.words import Texts, lean, mix, small_batches, texts
+from shelfspark.llm.words import LEAN_BATCH, LEAN_SLICE, Texts, lean, mix, small_batches, texts
 from shelfspark.session import written
 
 SHINGLE, PERCENT = 5, 80
@@ -130,7 +130,7 @@ def sketches(docs: DataFrame, id_col: str, text: str, shingle: int, row_col: str
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in texts(batch.column(2), lower=True):
+            for t in texts(batch.column(2), lower=True, limit=LEAN_SLICE):
                 words = t.hashes()
                 digest, sets = digests(t, words).view(np.int64), shingle_sets(t, words, shingle)
                 n = np.fromiter(map(len, sets), np.int64, len(sets))
@@ -357,7 +357,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """One row per document: row (``row_col`` if given, else numbered here), id, n_shingles, component (a row number that
     its members share), component_id, and first: whether it stands for its
     component (smallest id, then row; null ids last)."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, LEAN_BATCH)
     sk = written(sketches(docs, id_col, text, shingle, row_col), "sketches")
     full = sk.where("n > 0")
     node = full.groupBy("a", "b").agg(F.min("row").alias("node"), F.min_by("id", "row").alias("any_id"))
@@ -382,7 +382,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for t in texts(batch.column(0), lower=True):
+                for t in texts(batch.column(0), lower=True, limit=LEAN_SLICE):
                     words = t.hashes()
                     d, sets = digests(t, words).view(np.int64), shingle_sets(t, words, shingle)
                     raw, sig = [x.tobytes() for x in sets], [None] * len(sets)

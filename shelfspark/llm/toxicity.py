@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfspark.llm.words import lean, mix, ragged, small_batches, span_hashes, texts, without
+from shelfspark.llm.words import LEAN_BATCH, LEAN_SLICE, lean, mix, ragged, small_batches, span_hashes, texts, without
 
 WINDOW, STRIDE = 32, 16
 TRAIN_ROWS, TRAIN_BYTES = 3000, 48_000_000
@@ -203,7 +203,7 @@ def _ids(of: np.ndarray, start: np.ndarray, length: np.ndarray, last: int) -> np
 
 
 def window_scores(net: Network, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, row_word: np.ndarray,
-                  block: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+                  block: int = 2048) -> tuple[np.ndarray, np.ndarray]:
     """Row and log odds of each window."""
     w = Words(data, starts, ends)
     x, _ = net.inputs(w)
@@ -316,13 +316,13 @@ def fit(docs: DataFrame, labels: DataFrame, **names) -> Network:
 
 def score(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
     """``docs`` with ``score``, the probability of the worst window."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, LEAN_BATCH)
     docs = without(docs, "score")
     place, names = docs.columns.index(text), docs.columns
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in texts(batch.column(place), lower=True):
+            for t in texts(batch.column(place), lower=True, limit=LEAN_SLICE):
                 row, s = window_scores(net, t.data, t.starts, t.ends, t.row_word)
                 worst = np.full(len(t), -np.inf)
                 np.maximum.at(worst, row, s)

@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 2_000_000
 #: Bytes and rows of one Arrow batch: bounds a worker's memory.
 BATCH_BYTES, BATCH_ROWS = 8_000_000, 4_000
+#: The same for operators that follow one another in one session: what their workers and
+#: the executor hold adds up.
+LEAN_SLICE, LEAN_BATCH = 500_000, 2_000_000
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -30,9 +33,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Bounds the Arrow batches that workers get, unless the session says how."""
-    for key, value in (("maxBytesPerBatch", BATCH_BYTES), ("maxRecordsPerBatch", BATCH_ROWS)):
+    for key, value in (("maxBytesPerBatch", size), ("maxRecordsPerBatch", BATCH_ROWS)):
         key = f"spark.sql.execution.arrow.{key}"
         now = spark.conf.get(key).rstrip("b")
         if not now.isdigit() or int(now) > value or int(now) == 0:
@@ -40,8 +43,9 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def release() -> None:
-    """Gives what this worker no longer uses back to the machine: objects that refer
-    to each other, Arrow's pool, and the C library's free memory (glibc alone has the call)."""
+    """Gives what this worker no longer uses back to the machine: the powers, objects that
+    refer to each other, Arrow's pool, and the C library's free memory (glibc alone has the call)."""
+    _powers.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -94,11 +98,11 @@ _powers: list[np.ndarray] = []
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd base and of its inverse modulo 2^64, at least n of each."""
+    """Powers of the odd base and of its inverse modulo 2^64, at least n of each (by steps of 2^19)."""
     if not _powers or len(_powers[0]) < n:
         out = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
+            p = np.full(-(-n // (1 << 19)) << 19, base, np.uint64)
             p[0] = 1
             out.append(np.multiply.accumulate(p))
         _powers[:] = out

@@ -876,3 +876,16 @@ def test_lean_tasks_free_what_refers_to_itself():
         assert held[1]() is None
     finally:
         gc.enable()
+
+
+def test_bpe_memory_does_not_grow_with_distinct_words():
+    """A task keeps a bounded number of chunks and pieces, forgets them and gives the same ids again."""
+    rng = random.Random(3)
+    coder = bpe.Bpe(queries.tokenizer_file("byte_bpe_50k.tiktoken"), queries.split_pattern())
+    rows = [" ".join("".join(rng.choices("abcdefghijklm", k=9)) for _ in range(6000)) for _ in range(80)]
+    first = None
+    for t in texts(pa.array([*rows, rows[0]]), limit=500_000):
+        ids, n = coder.encode(t)
+        first = ids[:n[0]] if first is None else first
+    assert np.array_equal(ids[len(ids) - n[-1]:], first)
+    assert len(coder.pieces) <= 150_000 and len(coder.codes.keys) <= 450_000  # of 480,000 distinct words
