@@ -97,3 +97,28 @@ def test_buckets_follow_the_rows():
 def test_rejects_are_not_dealt_by_class(spark, no_broadcast):
     plan = _plan(E.queries()["feed_rejects"](spark, SF_SMALL))
     assert plan.lstrip().split("\n")[1].count("BroadcastHashJoin") or "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("source", ["same_category"])
+def test_fan_out_of_a_source_is_dealt_evenly(spark, monkeypatch, source):
+    """One group with nearly all users and products: every pair comes as often as in the
+    plain join (repeated and NULL keys too), and no task has a large share of them."""
+    monkeypatch.setattr(cnd, "BLOCK_USERS", 7)
+    monkeypatch.setattr(cnd, "BLOCK_PRODUCTS", 7)
+    monkeypatch.setattr(cnd, "TASK_PAIRS", 300)
+    users = [(u, "all") for u in range(60)] + [(u, "few") for u in range(0, 60, 9)] + [(3, "all"), (4, None), (None, "all"), (5, "none")]
+    products = [(p, "all") for p in range(80)] + [(p, "few") for p in range(0, 80, 7)] + [(2, "all"), (2, "all"), (6, None), (None, "few")]
+    u = spark.createDataFrame(users, "CustomerID long, g string")
+    p = spark.createDataFrame(products, "ProductID long, g string")
+    active = spark.createDataFrame([(i,) for i in range(50)], "CustomerID long")
+    both = {"same_category": lambda a: cnd.same_category(u.withColumnRenamed("g", "Category"), p.withColumnRenamed("g", "Category"), a),
+            "brand_affinity": lambda a: cnd.brand_affinity(u.withColumnRenamed("g", "Brand"), p.withColumnRenamed("g", "Brand"), a),
+            "age_group": lambda a: cnd.age_group(u.withColumnRenamed("g", "AgeGroup"), p.withColumnRenamed("g", "AgeGroup"), a),
+            "location": lambda a: cnd.location(p.withColumnRenamed("g", "CustomerLocation"), u.withColumnRenamed("g", "Location"), a)}[source]
+    once = u.distinct() if source == "brand_affinity" else u
+    for a in (active, None):
+        mine = once.where("CustomerID IS NOT NULL") if a is None else once.join(a, "CustomerID", "left_semi")
+        want = mine.join(p, "g").select("CustomerID", "ProductID", F.lit(source))
+        assert _rows(both(a).toDF(*want.columns)) == _rows(want)
+    sizes = [r["count"] for r in both(active).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 2 * 300, sizes
