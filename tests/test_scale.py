@@ -99,7 +99,7 @@ def test_rejects_are_not_dealt_by_class(spark, no_broadcast):
     assert plan.lstrip().split("\n")[1].count("BroadcastHashJoin") or "BroadcastHashJoin" in plan
 
 
-@pytest.mark.parametrize("source", ["same_category", "brand_affinity"])
+@pytest.mark.parametrize("source", ["same_category", "brand_affinity", "age_group"])
 def test_fan_out_of_a_source_is_dealt_evenly(spark, monkeypatch, source):
     """One group with nearly all users and products: every pair comes as often as in the
     plain join (repeated and NULL keys too), and no task has a large share of them."""
