@@ -122,3 +122,12 @@ def test_fan_out_of_a_source_is_dealt_evenly(spark, monkeypatch, source):
         assert _rows(both(a).toDF(*want.columns)) == _rows(want)
     sizes = [r["count"] for r in both(active).groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) >= 10 and max(sizes) <= 2 * 300, sizes
+
+
+def test_candidates_read_groups_without_product_attributes(spark, no_broadcast):
+    """Products of age groups and locations are those of the gold tables, made without the product dimension."""
+    L = Layers.from_fixtures(spark, SF_SMALL)
+    narrow = L.gold_inputs()
+    for name, group in (("agegroup_popular", "AgeGroup"), ("location_pop", "CustomerLocation")):
+        assert "part.parquet" not in _plan(narrow[name]), name
+        assert _rows(narrow[name].select(group, "ProductID")) == _rows(getattr(L, name).select(group, "ProductID"))
